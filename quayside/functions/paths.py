@@ -27,6 +27,11 @@ def snapshot_time(stamp: Column) -> Column:
     return F.to_timestamp(stamp, STAMP_FORMAT)
 
 
+def plain_path(uri: Column) -> Column:
+    """The path behind an encoded file URI."""
+    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+
+
 def file_name(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/\\]*)$", 1)
 

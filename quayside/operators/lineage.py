@@ -39,10 +39,11 @@ class Run:
 
 
 def file_facts(files: DataFrame) -> DataFrame:
-    """Lineage id and snapshot stamp for a frame of distinct file paths."""
-    source = F.col(SOURCE_NAME)
+    """Plain path, lineage id and snapshot stamp for a frame of distinct file URIs."""
+    source = paths.plain_path(F.col(SOURCE_NAME))
     return files.select(
         SOURCE_NAME,
+        source.alias("_path"),
         sha1_base36(paths.base_name(source)).alias("meta_lineage_id"),
         paths.snapshot_required(source).alias(SNAPSHOT),
     )
@@ -51,7 +52,7 @@ def file_facts(files: DataFrame) -> DataFrame:
 def with_lineage(df: DataFrame, facts: DataFrame, run: Run, source_system: str, offset: str) -> DataFrame:
     """Append the lineage columns and the snapshot of each row's file.
 
-    ``df`` carries the file path in ``meta_source_name``. The hash runs once per
+    ``df`` carries the file URI in ``meta_source_name``. The hash runs once per
     file, in ``facts``, and reaches the rows through a measured lookup.
     """
     data = [c for c in df.columns if c != SOURCE_NAME]
@@ -60,7 +61,7 @@ def with_lineage(df: DataFrame, facts: DataFrame, run: Run, source_system: str,
         *data,
         "meta_lineage_id",
         F.lit(source_system).alias("meta_source_system_name"),
-        SOURCE_NAME,
+        F.col("_path").alias(SOURCE_NAME),
         F.lit(offset).alias("meta_source_offset"),
         stamp.alias("meta_lineage_datetime"),
         F.lit(run.provenance_id).alias("meta_provenance_id"),

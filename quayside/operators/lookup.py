@@ -9,10 +9,13 @@ BROADCAST_BYTES = 64 << 20
 SALTS = 32
 
 
+def row_bytes() -> Column:
+    """Aggregate: approximate size of all rows, from their JSON text."""
+    return F.coalesce(F.sum(F.length(F.to_json(F.struct("*")))), F.lit(0))
+
+
 def measured_bytes(df: DataFrame) -> int:
-    """Approximate size of all rows, from their JSON text. One aggregation job."""
-    size = df.agg(F.sum(F.length(F.to_json(F.struct("*"))))).first()[0]
-    return size or 0
+    return df.agg(row_bytes()).first()[0]
 
 
 def lookup(

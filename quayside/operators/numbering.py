@@ -17,7 +17,7 @@ from quayside.session import checkpoint
 
 BLOCK = "_block"
 POSITION = "_position"
-CHUNK = 1 << 16
+CHUNK_BITS = 16
 
 
 def with_positions(scan: DataFrame) -> DataFrame:
@@ -63,31 +63,25 @@ def number_rows(positions: DataFrame, blocks: DataFrame, offset: int = 0) -> Dat
 
 
 def exclusive_running_sum(
-    df: DataFrame,
-    value: str,
-    order: str,
-    out: str,
-    partition: tuple[str, ...] = (),
-    chunk: int = CHUNK,
-    levels: int = 2,
+    df: DataFrame, value: str, order: str, out: str, partition: tuple[str, ...] = (), bits: int = CHUNK_BITS
 ) -> DataFrame:
     """Sum of ``value`` over all rows with a smaller ``order`` (an integer column).
 
-    Rows are cut into chunks of ``chunk`` order values. A window runs inside each
-    chunk, and the chunk totals, themselves summed in the same way, are joined
-    back. No task sees more than a chunk, however large one partition is; two
-    levels leave a single window one row per ``chunk ** 2`` order values.
+    Rows are cut into chunks of ``2 ** bits`` order values. A window runs inside
+    each chunk, and the sum before each chunk is joined back. Chunk totals go
+    through one window when there are no more of them than fit a chunk, and
+    otherwise through this function again, so no task sees more than a chunk.
     """
-    if levels == 0:
-        earlier = Window.partitionBy(*partition).orderBy(order).rangeBetween(Window.unboundedPreceding, -1)
-        return df.withColumn(out, F.coalesce(F.sum(value).over(earlier), F.lit(0)))
-
     cut = [*partition, "_chunk"]
-    chunked = df.withColumn("_chunk", F.floor(F.col(order) / chunk).cast("long"))
-    totals = chunked.groupBy(*cut).agg(F.sum(value).alias("_total")).withColumnRenamed("_chunk", "_order")
-    bases = exclusive_running_sum(totals, "_total", "_order", "_base", partition, chunk, levels - 1)
-    bases = bases.select(*partition, F.col("_order").alias("_chunk"), "_base")
+    chunked = df.withColumn("_chunk", F.shiftright(F.col(order).cast("long"), bits))
+    totals = checkpoint(chunked.groupBy(*cut).agg(F.sum(value).alias("_total")))
+    if totals.count() <= 1 << bits:
+        earlier = Window.partitionBy(*partition).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+        bases = totals.select(*cut, F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_base"))
+    else:
+        summed = exclusive_running_sum(totals.withColumnRenamed("_chunk", "_at"), "_total", "_at", "_base", partition, bits)
+        bases = checkpoint(summed.select(*partition, F.col("_at").alias("_chunk"), "_base"))
 
     inside = Window.partitionBy(*cut).orderBy(order).rangeBetween(Window.unboundedPreceding, -1)
     within = chunked.withColumn("_within", F.coalesce(F.sum(value).over(inside), F.lit(0)))
-    return within.join(bases, cut).select(*df.columns, (F.col("_within") + F.col("_base")).alias(out))
+    return lookup(within, bases, cut).select(*df.columns, (F.col("_within") + F.col("_base")).alias(out))

@@ -7,13 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.operators.lookup import lookup, measured_bytes
+from quayside.operators.lookup import lookup, row_bytes
 from quayside.session import checkpoint
 
 
 def depth_of(path: Column) -> Column:
     """Number of path segments, a leading slash counting as one empty segment."""
-    return F.size(F.split(path, "/", -1))
+    return F.length(path) - F.length(F.translate(path, "/", "")) + 1
 
 
 def match_prefix(
@@ -32,22 +32,26 @@ def match_prefix(
     files are neither exploded into ancestors nor grouped again.
     """
     table = checkpoint(table.select(prefix, *[c for c in [*on, *values] if c != prefix]))
-    size = measured_bytes(table)
     keys = [prefix, *on]
-    repeated = table.groupBy(*keys).count().where("count > 1").select(*keys).take(5)
-    if repeated:
+    facts = table.agg(
+        F.count(F.lit(1)).alias("entries"),
+        F.count_distinct(F.struct(*keys)).alias("distinct"),
+        F.collect_set(depth_of(F.col(prefix))).alias("depths"),
+        row_bytes().alias("size"),
+    ).first()
+    if facts["distinct"] < facts["entries"]:
+        repeated = table.groupBy(*keys).count().where("count > 1").select(*keys).take(5)
         raise ValueError(f"more than one entry for {[tuple(r) for r in repeated]}")
 
-    depths = sorted(r[0] for r in table.select(depth_of(F.col(prefix))).distinct().collect())
     found = files
     slots = []
-    for depth in sorted(depths, reverse=longest):
+    for depth in sorted(facts["depths"], reverse=longest):
         slot = f"_at_{depth}"
         level = table.where(depth_of(F.col(prefix)) == depth).select(
             F.col(prefix).alias("_prefix"), *on, F.struct(*values).alias(slot)
         )
         ancestor = F.when(depth_of(F.col(path)) >= depth, F.substring_index(path, "/", depth))
-        found = lookup(found.withColumn("_prefix", ancestor), level, ["_prefix", *on], size=size).drop("_prefix")
+        found = lookup(found.withColumn("_prefix", ancestor), level, ["_prefix", *on], size=facts["size"]).drop("_prefix")
         slots.append(F.col(slot))
     if not slots:
         kinds = {f.name: f.dataType for f in table.schema}

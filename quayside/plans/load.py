@@ -86,11 +86,12 @@ def plan_files(
     folders = {p for p, folder in asked if folder}
     parents = [r["path"] for r in roll_up(requested).collect()]
 
-    listed = list_files(spark, Files(parents))
+    listed = list_files(spark, Files.literal(parents))
     parent_table = spark.createDataFrame([(p, p, p not in folders) for p in parents], "prefix string, request string, as_file boolean")
-    planned = match_prefix(listed, parent_table, SOURCE_NAME, "prefix", ["request", "as_file"])
+    source = F.col("path")
+    listed = listed.withColumn("path", paths.plain_path(F.col(SOURCE_NAME)))
+    planned = match_prefix(listed, parent_table, "path", "prefix", ["request", "as_file"])
 
-    source = F.col(SOURCE_NAME)
     planned = planned.withColumn("subject", paths.store_subject(source, list(roots)))
     planned = planned.withColumn("extension", paths.extension(source))
     spec_table = spark.createDataFrame([(s.path.rstrip("/"), s.extension, s.name) for s in specs], "prefix string, extension string, spec string")
@@ -99,7 +100,7 @@ def plan_files(
     planned = planned.withColumn("ingest_id", F.sha2(F.concat_ws("|", source, F.col("modified").cast("string")), 256))
     planned = checkpoint(planned.withColumn("correlation_id", F.col("ingest_id")))
 
-    lost = [r[SOURCE_NAME] for r in planned.where("severity = 'error'").take(10)]
+    lost = [r["path"] for r in planned.where("severity = 'error'").take(10)]
     if lost:
         raise ValueError(f"no load spec for requested files {lost}")
     return planned.where("spec is not null")
@@ -153,14 +154,14 @@ def _load_group(spark, spec: LoadSpec, group: DataFrame, run: Run, audit, report
                 written.append(spec.target.write(stamped, tokens))
             done.add(number)
     except Exception as error:  # noqa: BLE001 - whatever fails is recorded and isolated
-        files = [r[0] for r in group.select(SOURCE_NAME).orderBy(SOURCE_NAME).toLocalIterator()]
+        files = [r[0] for r in group.select("path").orderBy("path").toLocalIterator()]
         if len(files) == 1:
             report.failures.append((files[0], str(error)))
             record(audit_rows(group, FAILED, spec.name, run.at, error=str(error)[:1000]), audit)
             return
         report.written.setdefault(spec.name, []).extend(written)
         middle = files[len(files) // 2]
-        for half in (F.col(SOURCE_NAME) < middle, F.col(SOURCE_NAME) >= middle):
+        for half in (F.col("path") < middle, F.col("path") >= middle):
             _load_group(spark, spec, group.where(half), run, audit, report, done)
         return
     report.written.setdefault(spec.name, []).extend(written)
@@ -174,9 +175,9 @@ def _scan(group: DataFrame, extension: str) -> Files:
     """
     names = [r[0] for r in group.select(SOURCE_NAME).take(MAX_NAMED_FILES + 1)]
     if len(names) <= MAX_NAMED_FILES:
-        return Files(names)
-    folders = group.select(paths.parent(F.col(SOURCE_NAME))).distinct()
-    return Files([r[0] for r in folders.toLocalIterator()], glob=f"*.{extension}" if extension else None)
+        return Files.named(names)
+    folders = group.select(paths.parent(F.col("path"))).distinct()
+    return Files.literal([r[0] for r in folders.toLocalIterator()], f"*.{extension}" if extension else None)
 
 
 def delete_loaded(spark: SparkSession, specs: dict[str, LoadSpec], planned: DataFrame, run: Run) -> None:
@@ -187,12 +188,12 @@ def delete_loaded(spark: SparkSession, specs: dict[str, LoadSpec], planned: Data
         stamp = _last_stamp(row["request"])
         for tokens in spec.source.type_tokens():
             spec.target.delete(spark, {**spec.base_tokens(run), **tokens}, snapshot=stamp)
-    for row in planned.where("as_file").select(SOURCE_NAME, "spec").collect():
-        spec, stamp = specs[row["spec"]], _last_stamp(row[SOURCE_NAME])
+    for row in planned.where("as_file").select("path", "spec").collect():
+        spec, stamp = specs[row["spec"]], _last_stamp(row["path"])
         if stamp is None:
-            raise ValueError(f"no snapshot stamp in path: {row[SOURCE_NAME]}")
+            raise ValueError(f"no snapshot stamp in path: {row['path']}")
         for tokens in spec.source.type_tokens():
-            spec.target.delete(spark, {**spec.base_tokens(run), **tokens}, snapshot=stamp, file=row[SOURCE_NAME])
+            spec.target.delete(spark, {**spec.base_tokens(run), **tokens}, snapshot=stamp, file=row["path"])
 
 
 def _last_stamp(path: str) -> str | None:

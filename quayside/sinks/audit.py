@@ -8,7 +8,6 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside import SOURCE_NAME
 from quayside.functions.paths import snapshot_or_null
 from quayside.sinks.targets import WriteInfo
 
@@ -24,7 +23,7 @@ def audit_rows(
     written: Sequence[WriteInfo] = (),
     error: str | None = None,
 ) -> DataFrame:
-    """One row per file. ``files`` has the path, ``ingest_id`` and ``correlation_id``."""
+    """One row per file. ``files`` has ``path``, ``ingest_id`` and ``correlation_id``."""
     details = [
         F.struct(
             F.lit(w.path).alias("ingested_path"),
@@ -35,9 +34,9 @@ def audit_rows(
         for w in written
     ]
     kind = "array<struct<ingested_path:string,details:map<string,string>>>"
-    stamp = snapshot_or_null(F.col(SOURCE_NAME)) if status == SUCCESS else F.lit(None).cast("string")
+    stamp = snapshot_or_null(F.col("path")) if status == SUCCESS else F.lit(None).cast("string")
     return files.select(
-        F.col(SOURCE_NAME).alias("source_path"),
+        F.col("path").alias("source_path"),
         F.lit(configuration).alias("configuration_name"),
         "ingest_id",
         "correlation_id",

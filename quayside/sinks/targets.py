@@ -253,11 +253,14 @@ class ManagedTable:
         done = self.versions(spark, path)
         merged = df
         if done:
+            # the merge reads its updates several times; parse the landed files just once
+            updates = checkpoint(df)
             if self.delete_unmatched:
-                newest = df.agg(F.max(SNAPSHOT)).first()[0]
-                df = df.where(F.col(SNAPSHOT) == newest)
+                newest = updates.agg(F.max(SNAPSHOT)).first()[0]
+                updates = updates.where(F.col(SNAPSHOT) == newest)
+            updates = checkpoint(latest_per_key(updates, self.keys))
             current = storage.read_table_files(spark, f"{path}/version={done[-1]}")
-            merged = merge_by_key(current, latest_per_key(df, self.keys), self.keys, self.delete_unmatched, self.evolve)
+            merged = merge_by_key(current, updates, self.keys, self.delete_unmatched, self.evolve)
         fresh = f"{path}/version={done[-1] + 1 if done else 1}"
         writer = with_file_count(merged, self.num_files).write.mode("overwrite")
         if self.partition_columns:

@@ -115,7 +115,7 @@ class Delimited:
 
     def _line(self, spark: SparkSession, file: str, number: int) -> str:
         """One line of one file. The first line comes from the first block alone."""
-        lines = with_positions(text_lines(spark, Files([file]), self.encoding))
+        lines = with_positions(text_lines(spark, Files.named([file]), self.encoding))
         if number == 1:
             found = lines.where(F.col(BLOCK) == 0)
         else:
@@ -137,11 +137,11 @@ class Delimited:
         options = {"header": self.has_header, "multiLine": True, "encoding": self.encoding, **self.options()}
         frames = []
         for example in examples:
-            schema = Files([example["file"]]).load(spark, "csv", inferSchema=False, **options).schema
+            schema = Files.named([example["file"]]).load(spark, "csv", inferSchema=False, **options).schema
             group = files
             if len(examples) > 1:
                 these = layouts.where(F.col("_layout") == example["_layout"]).select(SOURCE_NAME)
-                group = Files([r[0] for r in these.toLocalIterator()])
+                group = Files.named(r[0] for r in these.toLocalIterator())
             scan = group.reader(spark).schema(schema).options(**options).csv(list(group.paths))
             frames.append(_number_records(scan, self.has_header))
         return frames

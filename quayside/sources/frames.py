@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.readwriter import DataFrameReader
 
@@ -13,7 +16,8 @@ from pyspark.sql.readwriter import DataFrameReader
 class Frame:
     """A lazy frame and the tokens that say where it came from.
 
-    The frame carries each row's file path in ``meta_source_name``.
+    The frame carries each row's file in ``meta_source_name``, as the encoded URI
+    the scan gives it; lineage later puts the plain path there.
     """
 
     df: DataFrame
@@ -31,6 +35,16 @@ class Files:
     paths: Sequence[str]
     glob: str | None = None
 
+    @classmethod
+    def literal(cls, paths: Iterable[str], glob: str | None = None) -> "Files":
+        """Paths taken as they are and not as patterns."""
+        return cls([re.sub(r"([\\\[\]{}*?])", r"\\\1", p) for p in paths], glob)
+
+    @classmethod
+    def named(cls, uris: Iterable[str]) -> "Files":
+        """Files by the encoded URIs a scan gives."""
+        return cls.literal(map(unquote, uris))
+
     def reader(self, spark: SparkSession) -> DataFrameReader:
         reader = spark.read.option("recursiveFileLookup", "true")
         return reader.option("pathGlobFilter", self.glob) if self.glob else reader

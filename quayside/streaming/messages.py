@@ -30,17 +30,16 @@ INGEST, IGNORE, DELAY, DEAD_LETTER = "ingest", "ignore", "delay", "dead_letter"
 
 def parse_body(body: Column) -> Column:
     """The event as a struct, or null when a required field is missing."""
-    plain = _complete(F.from_json(body, BODY_SCHEMA))
     bare = F.when(body.rlike(ENVELOPE_SHAPE), F.regexp_replace(body, ENVELOPE, ""))
-    return F.coalesce(plain, _complete(F.from_json(bare, BODY_SCHEMA)))
+    read = F.array(F.from_json(body, BODY_SCHEMA), F.from_json(bare, BODY_SCHEMA))
+    return F.get(F.filter(read, _is_complete), F.lit(0))
 
 
-def _complete(event: Column) -> Column:
-    fields = [event["topic"], event["subject"], event["eventType"], event["data"]["api"]]
-    present = F.lit(True)
-    for value in fields:
-        present = present & value.isNotNull()
-    return F.when(present, event)
+def _is_complete(event: Column) -> Column:
+    whole = event["data"]["api"].isNotNull()
+    for name in ("topic", "subject", "eventType"):
+        whole = whole & event[name].isNotNull()
+    return whole
 
 
 def correlation_id(metadata: Column, message_id: Column) -> Column:
@@ -75,16 +74,17 @@ def classify(messages: DataFrame, environments: Sequence[tuple[str, str]]) -> Da
     for condition, result, why in reversed(rules):
         outcome = F.when(condition, F.lit(result)).otherwise(outcome)
         reason = F.when(condition, why).otherwise(reason)
-    return parsed.select(
+    decided = parsed.withColumn("outcome", outcome).withColumn("reason", reason)
+    return decided.select(
         *messages.columns,
         "environment",
         "container",
         event["subject"].alias("full_subject"),
         blob_subject(event["subject"]).alias("subject"),
         correlation_id(F.col("metadata"), F.col("message_id")).alias("correlation_id"),
-        outcome.alias("outcome"),
-        reason.alias("reason"),
-        F.when(outcome == DELAY, F.lit(COPY_WAIT_SECONDS)).alias("delay_seconds"),
+        "outcome",
+        "reason",
+        F.when(F.col("outcome") == DELAY, F.lit(COPY_WAIT_SECONDS)).alias("delay_seconds"),
     )
 
 
