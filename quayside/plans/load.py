@@ -23,7 +23,7 @@ from quayside.plans.reports import failure_digest
 from quayside.session import checkpoint
 from quayside.sinks import storage
 from quayside.sinks.audit import FAILED, STARTED, SUCCESS, audit_rows, record
-from quayside.sinks.targets import WriteInfo
+from quayside.sinks.targets import NotRegistered, WriteInfo
 from quayside.sources.frames import Files
 from quayside.sources.manifest import list_files
 
@@ -124,27 +124,27 @@ def load(
         delete_loaded(spark, by_name, planned, run)
     for row in planned.groupBy("spec").count().orderBy("spec").collect():
         group = planned.where(F.col("spec") == row["spec"])
-        _load_group(spark, by_name[row["spec"]], group, run, audit, report, set())
+        _load_group(spark, by_name[row["spec"]], group, run, audit, report)
     if report.failures:
         frame = spark.createDataFrame(report.failures, "subject string, error string")
         raise LoadFailed(failure_digest(frame).first(), report)
     return report
 
 
-def _load_group(spark, spec: LoadSpec, group: DataFrame, run: Run, audit, report: LoadReport, done: set[int]) -> None:
+def _load_group(spark, spec: LoadSpec, group: DataFrame, run: Run, audit, report: LoadReport, retry: set[tuple] | None = None) -> None:
     """Load one spec's files together; if that fails, halve the group to find the bad files.
 
-    ``done`` holds the frames already written for all of the group's files.
+    ``done`` holds the keys of frames already written for all of the group's files.
     """
-    if not done:
+    if retry is None:
         record(audit_rows(group, STARTED, spec.name, run.at), audit)
     written: list[WriteInfo] = []
-    done = set(done)
+    done = set(retry or ())
     try:
         facts = checkpoint(file_facts(group.select(SOURCE_NAME)))
         frames = spec.source.read(spark, _scan(group, spec.extension))
-        for number, frame in enumerate(frames):
-            if number in done:
+        for frame in frames:
+            if frame.key in done:
                 continue
             tokens = {**frame.tokens, **spec.base_tokens(run)}
             stamped = with_lineage(
@@ -152,11 +152,12 @@ def _load_group(spark, spec: LoadSpec, group: DataFrame, run: Run, audit, report
             ).where("meta_lineage_id is not null")
             if not stamped.isEmpty():
                 written.append(spec.target.write(stamped, tokens))
-            done.add(number)
+            done.add(frame.key)
     except Exception as error:  # noqa: BLE001 - whatever fails is recorded and isolated
         files = [r[0] for r in group.select("path").orderBy("path").toLocalIterator()]
-        if len(files) == 1:
-            report.failures.append((files[0], str(error)))
+        # written rows must not be written again, so a group that only failed to register stays whole
+        if len(files) == 1 or isinstance(error, NotRegistered):
+            report.failures += [(f, str(error)) for f in files]
             record(audit_rows(group, FAILED, spec.name, run.at, error=str(error)[:1000]), audit)
             return
         report.written.setdefault(spec.name, []).extend(written)

@@ -29,6 +29,10 @@ class WriteInfo:
     details: Mapping[str, str] = field(default_factory=dict)
 
 
+class NotRegistered(RuntimeError):
+    """The rows were written, but the catalog could not be brought up to date."""
+
+
 def _check_mode(mode: str) -> None:
     if mode not in SAVE_MODES:
         raise ValueError(f"save mode {mode!r} is none of {SAVE_MODES}")
@@ -80,7 +84,10 @@ class SnapshotFiles:
             df, mode = df.where(~clash), "append"
         writer = with_file_count(df, self.num_files).write.mode(mode).partitionBy(SNAPSHOT)
         writer.option("partitionOverwriteMode", "dynamic").parquet(path)
-        return self.register(df.sparkSession, df.schema, path, tokens)
+        try:
+            return self.register(spark, df.schema, path, tokens)
+        except Exception as error:
+            raise NotRegistered(str(error)) from error
 
     def register(self, spark: SparkSession, schema: T.StructType, path: str, tokens: Mapping[str, str]) -> WriteInfo:
         return WriteInfo(path)
@@ -224,12 +231,15 @@ class ManagedTable:
         if self.partition_columns:
             writer = writer.partitionBy(*self.partition_columns)
         writer.option("overwriteSchema", "true").option("partitionOverwriteMode", "static").save(path)
-        if self.save_mode == "overwrite":
-            spark.sql(f"DROP TABLE IF EXISTS {name}")
-        create_or_widen(spark, name, df.schema, path, self.partition_columns, self.format)
-        if self.partition_columns and self.format == "parquet":
-            spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
-        spark.catalog.refreshTable(name)
+        try:
+            if self.save_mode == "overwrite":
+                spark.sql(f"DROP TABLE IF EXISTS {name}")
+            create_or_widen(spark, name, df.schema, path, self.partition_columns, self.format)
+            if self.partition_columns and self.format == "parquet":
+                spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+            spark.catalog.refreshTable(name)
+        except Exception as error:
+            raise NotRegistered(str(error)) from error
 
     def _merge_in_place(self, df: DataFrame, name: str) -> None:
         same = F.lit(True)

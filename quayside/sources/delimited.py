@@ -70,9 +70,8 @@ class Delimited:
     def read(self, spark: SparkSession, files: Files) -> list[Frame]:
         multi_line = self.multi_line and self.skip_lines is None
         frames = self._read_records(spark, files) if multi_line else self._read_lines(spark, files)
-        if self.header_columns:
-            frames = [rename_positional(f, self.header_columns) for f in frames]
-        return [Frame(f, self.type_tokens()[0]) for f in frames]
+        tokens, names = self.type_tokens()[0], self.header_columns
+        return [Frame(rename_positional(f, names) if names else f, tokens, tuple(f.columns)) for f in frames]
 
     # one record per line: number the raw lines, then parse them
 

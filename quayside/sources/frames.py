@@ -17,11 +17,18 @@ class Frame:
     """A lazy frame and the tokens that say where it came from.
 
     The frame carries each row's file in ``meta_source_name``, as the encoded URI
-    the scan gives it; lineage later puts the plain path there.
+    the scan gives it; lineage later puts the plain path there. ``layout`` is the
+    header of the files, for sources that give one frame per distinct header.
     """
 
     df: DataFrame
     tokens: dict[str, str] = field(default_factory=dict)
+    layout: tuple[str, ...] = ()
+
+    @property
+    def key(self) -> tuple:
+        """What tells this frame from the others of its source, whatever files are read."""
+        return tuple(sorted(self.tokens.items())), self.layout
 
 
 @dataclass(frozen=True)

@@ -10,7 +10,7 @@ from quayside.sources.frames import Files
 
 
 def list_files(spark: SparkSession, files: Files) -> DataFrame:
-    """Path, size and time of every file, without reading any content."""
+    """Path, size and time of every file, without reading any content. Files of no length hold no rows and are left out."""
     listed = files.load(spark, "binaryFile").select(
         F.col("_metadata.file_path").alias(SOURCE_NAME),
         F.col("_metadata.file_size").alias("size"),

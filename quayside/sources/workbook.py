@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from quayside import SOURCE_NAME
 from quayside.functions.names import clean_name, quoted, require_unique
 from quayside.functions.paths import file_name
+from quayside.operators.lookup import lookup
 from quayside.operators.schema import clean_columns, rename_positional, union_by_name
 from quayside.session import checkpoint
 from quayside.sources.frames import Files, Frame
@@ -178,7 +179,7 @@ class SheetRange:
         frames = []
         for layout in sorted((r["_head"] for r in layouts), key=lambda h: [c or "" for c in h]):
             same = F.to_json(F.struct(F.col("_head"))) == F.to_json(F.struct(_array(layout).alias("_head")))
-            data = block.join(heads.where(same), keys).where(F.col("row") > F.col("_head_row"))
+            data = lookup(block, heads.where(same), keys).where(F.col("row") > F.col("_head_row"))
             names = [c if c else f"_c{n}" for n, c in enumerate(layout)]
             frames.append(_columns(data, names, carried, keep_unnamed=False))
         return frames
@@ -250,19 +251,20 @@ class WorkbookRanges:
         frames = []
         for r, tokens in zip(self.ranges, self.type_tokens()):
             for frame in self._extract(rows, r):
-                frames.append(Frame(frame, tokens))
+                layout = tuple(frame.columns)
+                if r.header_columns:
+                    frame = rename_positional(frame, r.header_columns)
+                frames.append(Frame(frame, tokens, layout))
         return frames
 
-    def _extract(self, rows: DataFrame, r: NamedRange) -> list[DataFrame]:
+    @staticmethod
+    def _extract(rows: DataFrame, r: NamedRange) -> list[DataFrame]:
         chosen = F.col("sheet") == r.sheet if r.sheet else F.col("sheet_order") == 0
         if r.required:
             lacking = rows.groupBy(SOURCE_NAME).agg(F.bool_or(chosen).alias("found")).where("not found").take(5)
             if lacking:
                 raise ValueError(f"no sheet {r.sheet!r} in {[row[0] for row in lacking]}")
-        frames = SheetRange(r.start, r.end, r.has_header).read(rows.where(chosen))
-        if r.header_columns:
-            frames = [rename_positional(f, r.header_columns) for f in frames]
-        return frames
+        return SheetRange(r.start, r.end, r.has_header).read(rows.where(chosen))
 
 
 @dataclass(frozen=True)

@@ -1,0 +1,94 @@
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import values
+from quayside.functions import paths
+from quayside.functions.text import sha1_base36
+from quayside.operators import lookup as lookup_module
+from quayside.operators.routing import first_environment, match_prefix, roll_up
+
+
+def one(spark, value, function):
+    return spark.createDataFrame([(value,)], "p string").select(function(F.col("p"))).first()[0]
+
+
+@pytest.mark.parametrize(
+    "path, stamp",
+    [
+        ("/in/snapshot_date=2024_01_02_03_04_05/a.csv", "2024_01_02_03_04_05"),
+        ("/in/snapshot_date=2024_01_02_03_04_05/a_2025_01_02_03_04_05.csv", "2025_01_02_03_04_05"),
+        ("/in/a.csv", None),
+    ],
+)
+def test_snapshot(spark, path, stamp):
+    assert one(spark, path, paths.snapshot_or_null) == stamp
+    if stamp is None:
+        with pytest.raises(Exception, match="no snapshot stamp"):
+            one(spark, path, paths.snapshot_required)
+
+
+def test_path_parts(spark):
+    assert one(spark, "a/b.c/d.tar.gz", paths.base_name) == "d.tar"
+    assert one(spark, "a/b.c/d.tar.gz", paths.extension) == "gz"
+    assert one(spark, "a/b.c/d", paths.extension) == ""
+    assert one(spark, "abfss://raw@acc.dfs/x/y.csv", paths.store_container) == "raw"
+    assert one(spark, "/x/y.csv", paths.store_container) is None
+    subject = "/blobServices/default/containers/raw/blobs/x/y.csv"
+    assert one(spark, subject, paths.blob_container) == "raw"
+    assert one(spark, subject, paths.blob_subject) == "/x/y.csv"
+    assert one(spark, "/other", paths.blob_container) is None
+    assert one(spark, "abfss://raw@acc/x", lambda c: paths.store_subject(c, ["abfss://q@acc", "abfss://raw@acc"])) == "/x"
+    assert one(spark, "/in/t/snapshot_date=1/a", paths.short_subject) == "/in/t"
+    assert one(spark, "a%20b%2520+", paths.plain_path) == "a b%20+"
+
+
+def test_lineage_id_is_known_sha1(spark):
+    # SHA-1 of "abc" is a9993e364706816aba3e25717850c26c9cd0d89d
+    text = one(spark, "abc", sha1_base36)
+    assert int(text, 36) == int("a9993e364706816aba3e25717850c26c9cd0d89d", 16) and text == text.upper()
+
+
+def test_templates_and_parameters():
+    assert paths.fill_text("/a/{type}/{x}", {"type": "t"}) == "/a/t/{x}"
+    prod = paths.environment_parameters("prod")
+    test = paths.environment_parameters("test", "bank")
+    assert paths.fill_parameters("${hiveDbPrefix}${lineOfBusinessDbPrefix}db", prod) == "db"
+    assert paths.fill_parameters("${hiveDbPrefix}${lineOfBusinessDbPrefix}db", test) == "test_bank_db"
+    assert paths.fill_parameters("/${lineOfBusinessDirectory}${environment}", test) == "/bank/test"
+
+
+@pytest.mark.parametrize("salted", [False, True])
+def test_longest_prefix(spark, monkeypatch, salted):
+    if salted:
+        monkeypatch.setattr(lookup_module, "BROADCAST_BYTES", -1)
+        monkeypatch.setattr(lookup_module.lookup, "__defaults__", (None, None, -1))
+    specs = spark.createDataFrame(
+        [("/a", "csv", "1"), ("/a/b", "csv", "2"), ("/a/b", "json", "3")], "prefix string, ext string, spec string"
+    )
+    files = spark.createDataFrame(
+        [("/a/x.csv", "csv"), ("/a/b/c/x.csv", "csv"), ("/a/b/x.json", "json"), ("/a/x.json", "json"), ("/z/x.csv", "csv"), ("/a/bc/x.csv", "csv")],
+        "path string, ext string",
+    )
+    found = match_prefix(files, specs, "path", "prefix", ["spec"], on=["ext"])
+    assert values(found, "path", "spec") == [
+        ("/a/b/c/x.csv", "2"), ("/a/b/x.json", "3"), ("/a/bc/x.csv", "1"), ("/a/x.csv", "1"), ("/a/x.json", None), ("/z/x.csv", None)
+    ]
+    with pytest.raises(ValueError, match="more than one"):
+        match_prefix(files, specs.union(specs), "path", "prefix", ["spec"], on=["ext"])
+    assert values(match_prefix(files, specs.limit(0), "path", "prefix", ["spec"], on=["ext"]), "spec") == [(None,)] * 6
+
+
+def test_roll_up_stops_at_segments(spark):
+    asked = spark.createDataFrame(
+        [("/a/b", True), ("/a/b/c", True), ("/a/b/c/f", False), ("/a/bc/g", False)], "path string, is_folder boolean"
+    )
+    assert values(roll_up(asked)) == [("/a/b",), ("/a/bc/g",)]
+
+
+def test_environment(spark):
+    envs = [("prod", "bank/prod"), ("test", "bank/test")]
+    assert one(spark, "/x/bank/test/bank/prod", lambda p: first_environment(p, envs)) == "prod"
+    assert one(spark, "/x", lambda p: first_environment(p, envs)) is None
+    assert one(spark, "/x", lambda p: first_environment(p, envs[:1])) == "prod"
+    assert one(spark, "/X/BANK/TEST", lambda p: first_environment(p, envs, ignore_case=True)) == "test"
+    assert one(spark, "/x", lambda p: first_environment(p, envs[:1], ignore_case=True)) is None
