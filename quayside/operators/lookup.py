@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quayside.functions.names import quoted
+
 BROADCAST_BYTES = 64 << 20
 SALTS = 32
 
@@ -31,12 +33,14 @@ def lookup(
     A table measured below ``broadcast_bytes`` is broadcast and ``facts`` is not
     shuffled. A larger one is repeated once per salt and joined on key and salt,
     so rows of one hot key spread over ``SALTS`` tasks. The salt must come out the
-    same when a lost task runs again: it defaults to a hash of the row. ``size``
-    gives a bound measured before.
+    same when a lost task runs again: it defaults to a hash of the row and its
+    partition number. ``size`` gives a bound measured before.
     """
     if (measured_bytes(table) if size is None else size) <= broadcast_bytes:
         return facts.join(F.broadcast(table), on, "left")
-    salt = F.xxhash64(*facts.columns) if salt is None else salt
+    if salt is None:
+        hashed = [F.col(quoted(f.name)) for f in facts.schema if "map<" not in f.dataType.simpleString()]
+        salt = F.xxhash64(F.spark_partition_id(), *hashed)
     spread = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     salted = facts.withColumn("_salt", F.pmod(salt, F.lit(SALTS)).cast("int"))
     return salted.join(spread, [*on, "_salt"], "left").drop("_salt")

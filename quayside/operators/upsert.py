@@ -27,8 +27,8 @@ def merge_by_key(
     updates are added; columns only in the table keep their value.
 
     Existing rows are joined once to the updates, as the left side: updates small
-    enough are broadcast and the table is not shuffled, otherwise hot table keys
-    can be split by adaptive execution. Only the key columns of the table are read
+    enough are broadcast and the table is not shuffled, otherwise adaptive execution
+    can split hot table keys, as they lie on the outer side. Only the key columns of the table are read
     a second time, to find the updates to insert. Rows with null keys are kept out
     of both joins, so they never pile up in one task.
     """
@@ -59,7 +59,7 @@ def merge_by_key(
 
     parts = [joined.select([merged(c) for c in out_columns])]
 
-    known = keyed.select(*keys).join(updates.select(*keys), list(keys), "left_semi").distinct()
+    known = keyed.select(*keys).join(by_key.select(*keys), list(keys), "left_semi").distinct()
     inserted = updates.where(complete).join(known, list(keys), "left_anti")
     parts += [inserted, updates.where(~complete)]
     if not delete_unmatched:

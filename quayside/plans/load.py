@@ -87,15 +87,15 @@ def plan_files(
     parents = [r["path"] for r in roll_up(requested).collect()]
 
     listed = list_files(spark, Files.literal(parents))
-    parent_table = spark.createDataFrame([(p, p, p not in folders) for p in parents], "prefix string, request string, as_file boolean")
+    entries = [(p, p, p not in folders) for p in parents]
+    parent_table = spark.createDataFrame(entries, "prefix string, request string, as_file boolean")
     source = F.col("path")
     listed = listed.withColumn("path", paths.plain_path(F.col(SOURCE_NAME)))
     planned = match_prefix(listed, parent_table, "path", "prefix", ["request", "as_file"])
 
     planned = planned.withColumn("subject", paths.store_subject(source, list(roots)))
     planned = planned.withColumn("extension", paths.extension(source))
-    spec_table = spark.createDataFrame([(s.path.rstrip("/"), s.extension, s.name) for s in specs], "prefix string, extension string, spec string")
-    planned = match_prefix(planned, spec_table, "subject", "prefix", ["spec"], on=["extension"])
+    planned = resolve_specs(planned, specs)
     planned = planned.withColumn("severity", unresolved_severity(F.col("spec"), F.col("as_file")))
     planned = planned.withColumn("ingest_id", F.sha2(F.concat_ws("|", source, F.col("modified").cast("string")), 256))
     planned = checkpoint(planned.withColumn("correlation_id", F.col("ingest_id")))
@@ -106,6 +106,13 @@ def plan_files(
     return planned.where("spec is not null")
 
 
+def resolve_specs(files: DataFrame, specs: Sequence[LoadSpec]) -> DataFrame:
+    """Add the name of the spec with the longest path prefix of each ``subject`` and its ``extension``."""
+    entries = [(s.path.rstrip("/"), s.extension, s.name) for s in specs]
+    table = files.sparkSession.createDataFrame(entries, "prefix string, extension string, spec string")
+    return match_prefix(files, table, "subject", "prefix", ["spec"], on=["extension"])
+
+
 def load(
     spark: SparkSession,
     specs: Sequence[LoadSpec],
@@ -117,20 +124,28 @@ def load(
 ) -> LoadReport:
     """Load all requested files; with ``reingest`` delete what they wrote before."""
     run = run or Run.now()
-    by_name = {s.name: s for s in specs}
     planned = plan_files(spark, specs, requests, roots)
-    report = LoadReport(planned)
     if reingest:
-        delete_loaded(spark, by_name, planned, run)
-    for row in planned.groupBy("spec").count().orderBy("spec").collect():
-        group = planned.where(F.col("spec") == row["spec"])
-        _load_group(spark, by_name[row["spec"]], group, run, audit, report)
+        delete_loaded(spark, {s.name: s for s in specs}, planned, run)
+    report = load_planned(spark, specs, planned, run, audit)
     if report.failures:
         frame = spark.createDataFrame(report.failures, "subject string, error string")
         raise LoadFailed(failure_digest(frame).first(), report)
     return report
 
 
+def load_planned(
+    spark: SparkSession, specs: Sequence[LoadSpec], planned: DataFrame, run: Run, audit: str | None = None
+) -> LoadReport:
+    """Load files whose spec is known; failures end up in the report."""
+    by_name = {s.name: s for s in specs}
+    report = LoadReport(planned)
+    for row in planned.groupBy("spec").count().orderBy("spec").collect():
+        group = planned.where(F.col("spec") == row["spec"])
+        _load_group(spark, by_name[row["spec"]], group, run, audit, report)
+    return report
+
+
 def _load_group(spark, spec: LoadSpec, group: DataFrame, run: Run, audit, report: LoadReport, retry: set[tuple] | None = None) -> None:
     """Load one spec's files together; if that fails, halve the group to find the bad files.
 

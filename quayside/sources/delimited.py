@@ -25,6 +25,7 @@ from quayside.session import checkpoint
 from quayside.sources.frames import Files, Frame
 
 MAX_LAYOUTS = 500
+MAX_NAMED_FILES = 100_000
 _BLANK = r"^[\x00-\x20]*$"
 
 
@@ -80,11 +81,30 @@ class Delimited:
         blocks = block_table(lines, _layout(self.has_header, self.delimiter))
         numbered = number_rows(lines, blocks)
         skipped = self.skip_lines or 0
+        if skipped:
+            layout = _layout(self.has_header, self.delimiter)
+            first_lines = numbered.where(F.col(LINE_NUMBER) == skipped + 1)
+            layouts = checkpoint(first_lines.select(SOURCE_NAME, layout.alias("_layout")))
+        else:
+            layouts = _first_layouts(blocks)
         data = numbered.where((F.col(LINE_NUMBER) > skipped + self.has_header) & ~F.col("value").rlike(_BLANK))
-        return [
-            self._parse(frame, names)
-            for names, frame in self._by_layout(spark, numbered, data, blocks, skipped)
-        ]
+
+        examples = _distinct_layouts(layouts)
+        frames = []
+        for example in examples:
+            these = layouts.where(F.col("_layout") == example["_layout"]).select(SOURCE_NAME)
+            named = _few_names(these) if len(examples) > 1 else None
+            if named:
+                # number these files alone, rather than go through all of them once per layout
+                frames += self._read_lines(spark, Files.named(named))
+                continue
+            names = self._names(spark, self._line(spark, example["file"], skipped + 1))
+            chosen = data
+            if len(examples) > 1:
+                wanted = these.withColumn("_wanted", F.lit(True))
+                chosen = lookup(data, wanted, [SOURCE_NAME]).where("_wanted").drop("_wanted")
+            frames.append(self._parse(chosen, names))
+        return frames
 
     def _parse(self, lines: DataFrame, names: Sequence[str]) -> DataFrame:
         record = F.from_csv("value", _ddl(names), self.options())
@@ -92,26 +112,6 @@ class Delimited:
         fields = [F.col("_record").getField(n).alias(n) for n in names]
         return parsed.select(*fields, LINE_NUMBER, SOURCE_NAME)
 
-    def _by_layout(self, spark, numbered, data, blocks, skipped):
-        """Pairs of column names and the lines of the files that have them."""
-        first_line = F.col(LINE_NUMBER) == skipped + 1
-        if skipped:
-            layout = _layout(self.has_header, self.delimiter)
-            layouts = checkpoint(numbered.where(first_line).select(SOURCE_NAME, layout.alias("_layout")))
-        else:
-            layouts = blocks.where(F.col("_before") == 0).select(SOURCE_NAME, F.col("_first_row").alias("_layout"))
-        examples = _distinct_layouts(layouts)
-        for example in examples:
-            names = self._names(spark, self._line(spark, example["file"], skipped + 1))
-            if len(examples) == 1:
-                yield names, data
-            else:
-                these = layouts.where(F.col("_layout") == example["_layout"]).select(
-                    SOURCE_NAME, F.lit(True).alias("_wanted")
-                )
-                chosen = lookup(data, these, [SOURCE_NAME]).where("_wanted").drop("_wanted")
-                yield names, chosen
-
     def _line(self, spark: SparkSession, file: str, number: int) -> str:
         """One line of one file. The first line comes from the first block alone."""
         lines = with_positions(text_lines(spark, Files.named([file]), self.encoding))
@@ -131,7 +131,7 @@ class Delimited:
     def _read_records(self, spark: SparkSession, files: Files) -> list[DataFrame]:
         lines = with_positions(text_lines(spark, files, self.encoding))
         blocks = block_table(lines, _layout(self.has_header, self.delimiter))
-        layouts = blocks.where(F.col("_before") == 0).select(SOURCE_NAME, F.col("_first_row").alias("_layout"))
+        layouts = _first_layouts(blocks)
         examples = _distinct_layouts(layouts)
         options = {"header": self.has_header, "multiLine": True, "encoding": self.encoding, **self.options()}
         frames = []
@@ -175,6 +175,18 @@ def _layout(has_header: bool, delimiter: str):
     return F.size(F.split("value", "\\Q" + delimiter + "\\E", -1)).cast("long")
 
 
+def _first_layouts(blocks: DataFrame) -> DataFrame:
+    """The layout of each file by its first line."""
+    first = blocks.where((F.col("_before") == 0) & (F.col("_rows") > 0))
+    return first.select(SOURCE_NAME, F.col("_first_row").alias("_layout"))
+
+
+def _few_names(files: DataFrame) -> list[str] | None:
+    """The file names, unless there are too many to hand to a scan one by one."""
+    names = [r[0] for r in files.take(MAX_NAMED_FILES + 1)]
+    return names if len(names) <= MAX_NAMED_FILES else None
+
+
 def _distinct_layouts(layouts: DataFrame) -> list:
     """One example file per layout; only these few rows reach the driver."""
     examples = layouts.groupBy("_layout").agg(F.min(SOURCE_NAME).alias("file")).take(MAX_LAYOUTS + 1)

@@ -5,7 +5,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import values
+from quayside.plans.load import LoadSpec
+from quayside.sinks import storage
+from quayside.sinks.targets import SnapshotFiles
+from quayside.sources.delimited import Delimited
 from quayside.streaming.arrivals import Arrivals, SpecsUnavailable
+from quayside.streaming.ingest import MessageLoader
 from quayside.streaming.messages import MESSAGE_SCHEMA, classify, retry_outcome
 
 ENVIRONMENTS = [("prod", "LakeProd"), ("test", "laketest")]
@@ -149,3 +154,30 @@ def test_failed_loads_become_dead_letters(spark, tmp_path):
     stream.send(CASES["plain"][0], CASES["success"][0])
     stream.run()
     assert stream.outcomes("message_id", "outcome", "reason") == [("plain", "ingest", None), ("success", "dead_letter", "bad file")]
+
+
+def test_files_are_loaded_on_arrival(spark, tmp_path):
+    stamp = "2024_01_01_00_00_00"
+    folder = tmp_path / "raw" / "in" / f"snapshot_date={stamp}"
+    folder.mkdir(parents=True)
+    (folder / "a.csv").write_text("id\n1\n")
+    (folder / "b.csv").write_text("id\n2\n")
+    (folder / "bad.csv").write_text("a b,a.b\n2\n")
+    spec = LoadSpec("orders", "/raw/in", "csv", Delimited("erp"), SnapshotFiles(str(tmp_path / "out")))
+    loader = MessageLoader(f"{tmp_path}/{{container}}{{subject}}", lambda: [spec], str(tmp_path / "audit"))
+    stream = Stream(spark, tmp_path, loader)
+
+    def arrived(name, file):
+        path = f"/blobServices/default/containers/raw/blobs/in/snapshot_date={stamp}/{file}"
+        return message(name, body(subject=path), metadata={"correlationId": "c-" + name})
+
+    stream.send(arrived("1", "a.csv"), arrived("2", "bad.csv"), arrived("3", "gone.csv"), arrived("4", "x.unknown"))
+    stream.send(arrived("5", "b.csv"), arrived("1", "a.csv"))
+    stream.run()
+    out = storage.read_table_files(spark, spec.target.path({}))
+    assert values(out, "id") == [("1",), ("2",)]
+    assert stream.outcomes() == [("1", "ingest"), ("2", "dead_letter"), ("3", "dead_letter"), ("4", "ingest"), ("5", "ingest")]
+    log = spark.read.parquet(str(tmp_path / "audit")).where("status <> 'STARTED'")
+    assert values(log, "ingest_id", "correlation_id", "status") == [
+        ("1", "c-1", "SUCCESS"), ("2", "c-2", "FAILED"), ("5", "c-5", "SUCCESS")
+    ]
