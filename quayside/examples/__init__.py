@@ -16,13 +16,13 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(sql: str | None = None):
-    """Register a function under its own name."""
+def query(sql: str, name: str | None = None):
+    """Register a function and its SQL, under the function's name unless another is given."""
 
     def register(function: Query) -> Query:
-        QUERIES[function.__name__] = function
-        if sql is not None:
-            ORACLES[function.__name__] = sql
+        key = name or function.__name__
+        QUERIES[key] = function
+        ORACLES[key] = sql
         return function
 
     return register

@@ -7,11 +7,21 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quayside import SOURCE_NAME
 from quayside.examples import query
-from quayside.examples.landing import file_count, table
+from quayside.examples.landing import STAMP, file_count, table
+from quayside.examples.text import ORDER_FILES, land_orders_csv
+from quayside.functions import paths
+from quayside.plans.load import LoadSpec
 from quayside.session import scratch_path
+from quayside.sinks import storage
+from quayside.sinks.targets import SnapshotFiles
+from quayside.sources.delimited import Delimited
+from quayside.sources.frames import Files
+from quayside.sources.manifest import list_files
 from quayside.streaming.arrivals import Arrivals
-from quayside.streaming.messages import classify
+from quayside.streaming.ingest import MessageLoader
+from quayside.streaming.messages import classify, retry_outcome
 
 ENVIRONMENTS = [("prod", "LakeProd"), ("test", "laketest")]
 
@@ -69,14 +79,14 @@ def classify_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-    select outcome, environment, count(*) as messages from ({_CLASSIFIED_SQL}) group by outcome, environment""")
+    select outcome, environment, count(*) as messages from ({_CLASSIFIED_SQL}) group by outcome, environment""", name="stream_dedupe_outcomes")
 def stream_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every message twice, in files the stream takes in several batches; each is handled once."""
     events = table(spark, sf_dir, "events")
     files = file_count(events, "event_id")
     sent = _messages(events).select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("copy")).drop("copy")
     folder = scratch_path(spark, "stream")
-    sent.repartition(files, "body").write.json(f"{folder}/messages")
+    sent.repartition(files).write.json(f"{folder}/messages")
     arrivals = Arrivals(
         f"{folder}/outcomes",
         ENVIRONMENTS,
@@ -85,3 +95,41 @@ def stream_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     arrivals.run(spark, f"{folder}/messages", f"{folder}/checkpoint", files_per_batch=max(1, files // 3))
     return arrivals.history(spark).groupBy("outcome", "environment").agg(F.count(F.lit(1)).alias("messages"))
+
+
+@query("""
+    select event_id, case when event_id % 6 <= 3 then 'delay' else 'dead_letter' end as outcome from events""")
+def retry_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").select("event_id", retry_outcome(F.col("event_id") % 6).alias("outcome"))
+
+
+@query(f"""
+    select cast(o_orderkey as varchar) as o_orderkey, '{STAMP}' as snapshot_date,
+           1 + row_number() over (partition by o_orderkey % {ORDER_FILES} order by o_orderkey) as meta_source_line_number
+    from orders""")
+def load_on_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One message per landed order file, each sent twice; the stream loads every file once."""
+    landed = storage.qualified(spark, land_orders_csv(spark, sf_dir))
+    root, folder = landed.rsplit("/", 1)
+    path = paths.plain_path(F.col(SOURCE_NAME))
+    subject = F.concat(F.lit("/blobServices/default/containers/raw/blobs"), F.substring(path, F.lit(len(root) + 1), F.length(path)))
+    event = F.struct(
+        F.lit("/accounts/lakeprod").alias("topic"),
+        subject.alias("subject"),
+        F.lit("Microsoft.Storage.BlobCreated").alias("eventType"),
+        F.struct(F.lit("PutBlob").alias("api")).alias("data"),
+    )
+    messages = list_files(spark, Files([landed])).select(
+        F.sha2(SOURCE_NAME, 256).alias("message_id"),
+        F.col("modified").alias("enqueued"),
+        F.to_json(event).alias("body"),
+        F.explode(F.array(F.lit(0), F.lit(1))).alias("delay_count"),
+    )
+    work = scratch_path(spark, "arrival")
+    messages.repartition(2, "delay_count").write.json(f"{work}/messages")
+    target = SnapshotFiles(f"{work}/orders")
+    spec = LoadSpec("orders", f"/raw/{folder}", "csv", Delimited("erp"), target)
+    loader = MessageLoader(f"{root}{{subject}}", lambda: [spec])
+    Arrivals(f"{work}/outcomes", ENVIRONMENTS, loader).run(spark, f"{work}/messages", f"{work}/checkpoint", 1)
+    loaded = storage.read_table_files(spark, target.path({}))
+    return loaded.select("o_orderkey", "snapshot_date", "meta_source_line_number")

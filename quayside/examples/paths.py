@@ -9,7 +9,9 @@ from quayside.examples import query
 from quayside.examples.landing import table
 from quayside.functions import paths
 from quayside.functions.text import sha1_base36
+from quayside.operators.lookup import lookup
 from quayside.operators.routing import first_environment, match_prefix, roll_up, unresolved_severity
+from quayside.session import checkpoint
 
 # host and path of a page, without scheme, query and fragment
 _PAGE_PATH = "regexp_replace(regexp_replace(url, '^[a-z]+://', ''), '[?#].*$', '')"
@@ -87,6 +89,30 @@ def lineage_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", sha1_base36(paths.base_name(F.col("url"))).alias("lineage_id"))
 
 
+@query(f"""
+    with p as (select page_id, split_part(url, '/', 3) as host, {_PAGE_PATH} as path,
+                      case when page_id % 3 = 0 then 'csv' else 'json' end as extension from pages),
+    k as (select host, extension, min(page_id) as first_page from p group by host, extension having min(page_id) % 2 = 0)
+    select page_id, case when first_page is not null then host || '.' || extension || ' spec' end as spec
+    from p left join k using (host, extension)""")
+def spec_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Specs kept under (container, short subject, extension), looked up for each landed path."""
+    host = F.substring_index("path", "/", 1)
+    kind = F.when(F.col("page_id") % 3 == 0, "csv").otherwise("json")
+    url = F.concat(F.lit("abfss://"), host, F.lit("@lake/in/snapshot_date=2024_01_01_00_00_00/p."), kind)
+    landed = page_paths(spark, sf_dir).select("page_id", url.alias("url"))
+    keyed = landed.select(
+        "page_id",
+        paths.store_container(F.col("url")).alias("container"),
+        paths.short_subject(paths.store_subject(F.col("url"), ["@lake"])).alias("subject"),
+        paths.extension(F.col("url")).alias("extension"),
+    )
+    key = ["container", "subject", "extension"]
+    specs = keyed.groupBy(*key).agg(F.min("page_id").alias("first")).where(F.col("first") % 2 == 0)
+    name = F.concat("container", F.lit("."), "extension", F.lit(" spec")).alias("spec")
+    return lookup(keyed, checkpoint(specs.select(*key, name)), key).select("page_id", "spec")
+
+
 def _spec_table(pages: DataFrame) -> DataFrame:
     """A spec per host, and a deeper one per host and language for French and Spanish."""
     host = F.substring_index("path", "/", 1)

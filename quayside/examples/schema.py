@@ -51,7 +51,7 @@ def cast_leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
     select doc_id, lang, about_source, about_size,
            unnest(case when length(text) > 0 then string_split(text, chr(10)) else [null] end) as lines
-    from (select doc_id, lang, source as about_source, n_chars as about_size, text from documents)""")
+    from (select doc_id, lang, source as about_source, n_chars as about_size, text from documents)""", name="flatten_all")
 def flatten_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     nested = table(spark, sf_dir, "documents").select(
         "doc_id",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bz2
 import io
 import zipfile
 from collections.abc import Iterable
@@ -57,6 +58,22 @@ def xml_rowtag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frame.df.drop(SOURCE_NAME)
 
 
+@query("""
+    select cast(c_custkey as varchar) as id, c_name as text, null as plan_code from customer
+    union all select cast(s_suppkey as varchar), null, s_name from supplier""")
+def xml_two_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two kinds of elements in one folder of files; leaves stay text without inference."""
+    folder = scratch_path(spark, "xml")
+    members = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("_id"), F.col("c_name").alias("_VALUE"))
+    plans = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("_id"), F.col("s_name").alias("code"))
+    members.write.format("xml").options(rootTag="all", rowTag="member").save(f"{folder}/members")
+    plans.write.format("xml").options(rootTag="all", rowTag="plan").save(f"{folder}/plans")
+    member, plan = Xml("erp", [XmlRow("member"), XmlRow("plan", infer=False)]).read(spark, Files([folder]))
+    return member.df.select("id", F.col("value").alias("text"), F.lit(None).cast("string").alias("plan_code")).union(
+        plan.df.select("id", F.lit(None).cast("string"), "code")
+    )
+
+
 @query("""
     select c_custkey as id, c_name as full_name, c_nationkey as nation, c_acctbal as balance, c_mktsegment as segment
     from customer""")
@@ -125,11 +142,11 @@ def _supplier_book(rows: pd.DataFrame) -> pd.DataFrame:
         for n, r in enumerate(ordered.itertuples(), 4)
     ]
     content = build_workbook({"Notes": [{"A1": "nothing here"}], "Data": [head, *body]})
-    return pd.DataFrame({SOURCE_NAME: [f"book{book}.xlsx"], "content": [content]})
+    return pd.DataFrame({SOURCE_NAME: [f"book{book}.xlsx.bz2"], "content": [bz2.compress(content)]})
 
 
 @query(f"""
-    select 'book' || (s_suppkey // {ROWS_PER_BOOK}) || '.xlsx' as meta_source_name, cast(s_suppkey as varchar) as "Supplier",
+    select 'book' || (s_suppkey // {ROWS_PER_BOOK}) || '.xlsx.bz2' as meta_source_name, cast(s_suppkey as varchar) as "Supplier",
            s_name as "Name", cast(s_nationkey as varchar) as "Nation"
     from supplier""")
 def workbook_range(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -56,6 +56,19 @@ def snapshot_write_current_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(target.names({})[0]).select("event_id", "event_type", "snapshot_date")
 
 
+@query(f"""select * from ({EVENT_ROWS})""")
+def snapshot_files_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half the events appended, some days replaced with all their events, the other days ignored or appended."""
+    directory = scratch_path(spark, "modes")
+    events = _events_by_day(spark, sf_dir)
+    even, replaced = F.col("event_id") % 2 == 0, F.col("snapshot_date") < "2024_01_10"
+    SnapshotFiles(directory, "append").write(events.where(even), {})
+    SnapshotFiles(directory, "overwrite").write(events.where(replaced), {})
+    SnapshotFiles(directory, "ignore").write(events.withColumn("event_type", F.lit("lost")), {})
+    SnapshotFiles(directory, "append").write(events.where(~even & ~replaced), {})
+    return _read_events(spark, SnapshotFiles(directory).path({}))
+
+
 @query(f"""select * from ({EVENT_ROWS})""")
 def managed_table_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = ManagedTable(
@@ -121,6 +134,19 @@ def load_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(f"""
+    select status, 'shard=' || (o_orderkey % {ORDER_FILES}) as folder,
+           case when status = 'SUCCESS' then '{STAMP}' end as snapshot_date,
+           case when status = 'SUCCESS' then 1 else 0 end as targets
+    from orders, (values ('STARTED'), ('SUCCESS')) as s(status) group by 1, 2""")
+def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = land_orders_csv(spark, sf_dir)
+    audit = scratch_path(spark, "audit")
+    load(spark, [_orders_spec(spark, folder)], [folder], RUN, audit=audit)
+    shard = F.regexp_extract("source_path", "/(shard=[0-9]+)/", 1).alias("folder")
+    return spark.read.parquet(audit).select("status", shard, "snapshot_date", F.size("ingested_details").alias("targets"))
+
+
 @query(f"""
     select cast(o_orderkey as varchar) as o_orderkey, '{STAMP}' as snapshot_date from orders""")
 def reingest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -260,7 +286,7 @@ def audit_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
            string_agg(case when n <= 2 then case when length(error) > 250 then left(error, 247) || '...' else error end end,
                       '\n' order by n) as errors,
            greatest(count(*) - 2, 0) as more_errors
-    from r group by ingest_id""")
+    from r group by ingest_id""", name="failure_digest")
 def failures_by_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     failed = _audit(spark, sf_dir).where("status = 'FAILED'")
     digest = failure_digest(failed.select("ingest_id", F.col("source_path").alias("subject"), "error"), ["ingest_id"])
@@ -269,13 +295,13 @@ def failures_by_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
     with t as (select cast(floor(epoch(ts) / 120) as bigint) as tick, count(*) as files from events group by 1)
-    select tick, files, files // 2 as per_minute, cast(sum(files) over (order by tick) as bigint) as done from t""")
+    select tick, files, files // 2 as per_minute, cast(sum(files) over (order by tick) as bigint) as done from t""", name="load_rate")
 def files_per_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_rate(table(spark, sf_dir, "events"), "ts")
 
 
 @query("""
-    select event_id as message_id, event_type, ts as seen from events order by ts desc, event_id limit 10""")
+    select event_id as message_id, event_type, ts as seen from events order by ts desc, event_id limit 10""", name="last_messages")
 def newest_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = table(spark, sf_dir, "events").select(
         F.col("event_id").alias("message_id"), "event_type", F.col("ts").alias("seen")

@@ -107,37 +107,20 @@ def running_line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exclusive_running_sum(counted, "breaks", "doc_id", "breaks_before")
 
 
-@query(f"""
-    with lines as (
-      select o_orderkey as k, 'O' as kind, o_custkey as v from orders
-      union all select l_orderkey, 'L', l_partkey from lineitem),
-    numbered as (
-      select *, row_number() over (partition by k % {ORDER_FILES} order by k, kind desc, v) as n from lines)
-    select kind, k as order_key, count(*) as line_count, cast(sum(v) as bigint) as value_sum,
-           min(n) as first_line, max(n) as last_line
-    from numbered group by kind, k""")
+@query("""
+    select 'O' as tag, cast(o_orderkey as varchar) as k, cast(o_custkey as varchar) as v from orders
+    union all select 'L', cast(l_orderkey as varchar), cast(l_partkey as varchar) from lineitem""")
 def delimited_record_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders")
-    files = file_count(orders, "o_orderkey")
-    lines = orders.select("o_orderkey", F.lit("O").alias("kind"), F.col("o_custkey").alias("v"))
-    lines = lines.union(table(spark, sf_dir, "lineitem").select("l_orderkey", F.lit("L"), "l_partkey"))
-    lines = lines.select(
-        shard("o_orderkey", files),
-        F.col("o_orderkey").alias("k"),
-        F.when(F.col("kind") == "O", 0).otherwise(1).alias("rank"),
-        "v",
-        F.concat_ws("|", "kind", "o_orderkey", "v").alias("value"),
-    )
-    folder = land_lines(lines, files, "records", ["k", "rank", "v"])
+    """Order and line records in the same folder of files, split again by their tag."""
+    orders = table(spark, sf_dir, "orders").select(F.lit("O"), "o_orderkey", "o_custkey", F.lit("unused"))
+    lines = table(spark, sf_dir, "lineitem").select(F.lit("L"), "l_orderkey", "l_partkey", F.lit(""))
+    both = orders.union(lines)
+    folder = f"{scratch_path(spark, 'records')}/snapshot_date={STAMP}"
+    both.select(F.concat_ws("|", *both.columns)).write.text(folder)
     types = [RecordType("header", "^O$", ["tag", "k", "customer"]), RecordType("detail", "^L$", ["tag", "k", "part"])]
     header, detail = DelimitedRecords("erp", "|", 1, types).read(spark, Files([folder]))
     whole = header.df.withColumnRenamed("customer", "v").unionByName(detail.df.withColumnRenamed("part", "v"))
-    return whole.groupBy(F.col("tag").alias("kind"), F.col("k").cast("bigint").alias("order_key")).agg(
-        F.count(F.lit(1)).alias("line_count"),
-        F.sum(F.col("v").cast("bigint")).alias("value_sum"),
-        F.min(LINE_NUMBER).alias("first_line"),
-        F.max(LINE_NUMBER).alias("last_line"),
-    )
+    return whole.select("tag", "k", "v")
 
 
 def land_customers_fixed(spark: SparkSession, sf_dir: str, stamp: str = STAMP) -> str:

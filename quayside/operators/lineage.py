@@ -38,14 +38,17 @@ class Run:
         }
 
 
-def file_facts(files: DataFrame) -> DataFrame:
-    """Plain path, lineage id and snapshot stamp for a frame of distinct file URIs."""
+def file_facts(files: DataFrame, snapshot: str | None = None) -> DataFrame:
+    """Plain path, lineage id and snapshot stamp for a frame of distinct file URIs.
+
+    The stamp comes from the path unless it is given.
+    """
     source = paths.plain_path(F.col(SOURCE_NAME))
     return files.select(
         SOURCE_NAME,
         source.alias("_path"),
         sha1_base36(paths.base_name(source)).alias("meta_lineage_id"),
-        paths.snapshot_required(source).alias(SNAPSHOT),
+        (paths.snapshot_required(source) if snapshot is None else F.lit(snapshot)).alias(SNAPSHOT),
     )
 
 

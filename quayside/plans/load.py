@@ -14,7 +14,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside import SOURCE_NAME
+from quayside import SNAPSHOT, SOURCE_NAME
 from quayside.functions import paths
 from quayside.operators.lineage import Run, file_facts, with_lineage
 from quayside.operators.routing import match_prefix, roll_up, unresolved_severity
@@ -24,10 +24,11 @@ from quayside.session import checkpoint
 from quayside.sinks import storage
 from quayside.sinks.audit import FAILED, STARTED, SUCCESS, audit_rows, record
 from quayside.sinks.targets import NotRegistered, WriteInfo
-from quayside.sources.frames import Files
+from quayside.sources.frames import Files, Frame
 from quayside.sources.manifest import list_files
 
 MAX_NAMED_FILES = 100_000
+SOURCE_SNAPSHOT = "source_snapshot"
 
 
 @dataclass(frozen=True)
@@ -43,9 +44,11 @@ class LoadSpec:
     source: Any
     target: Any
 
-    def base_tokens(self, run: Run) -> dict[str, str]:
+    def frame_tokens(self, run: Run, frame: dict[str, str], snapshot: str | None = None) -> dict[str, str]:
+        """All tokens a target template may use for one frame; later ones win."""
         source = {"sourceType": self.source.source_type, "sourceSystem": self.source.source_system}
-        return {**source, **self.target.tokens, **run.tokens}
+        stamp = {SOURCE_SNAPSHOT: snapshot} if snapshot else {}
+        return {**frame, **source, **self.target.tokens, **run.tokens, **stamp}
 
 
 @dataclass
@@ -158,16 +161,16 @@ def _load_group(spark, spec: LoadSpec, group: DataFrame, run: Run, audit, report
     try:
         facts = checkpoint(file_facts(group.select(SOURCE_NAME)))
         frames = spec.source.read(spark, _scan(group, spec.extension))
+        stamps = _target_stamps(spec, facts)
         for frame in frames:
-            if frame.key in done:
-                continue
-            tokens = {**frame.tokens, **spec.base_tokens(run)}
-            stamped = with_lineage(
-                clean_columns(frame.df), facts, run, spec.source.source_system, frame.tokens.get("sourceOffset", "")
-            ).where("meta_lineage_id is not null")
-            if not stamped.isEmpty():
-                written.append(spec.target.write(stamped, tokens))
-            done.add(frame.key)
+            stamped = _stamp(spec, frame, facts, run)
+            for stamp in stamps:
+                if (frame.key, stamp) in done:
+                    continue
+                rows = stamped if stamp is None else stamped.where(F.col(SNAPSHOT) == stamp)
+                if not rows.isEmpty():
+                    written.append(spec.target.write(rows, spec.frame_tokens(run, frame.tokens, stamp)))
+                done.add((frame.key, stamp))
     except Exception as error:  # noqa: BLE001 - whatever fails is recorded and isolated
         files = [r[0] for r in group.select("path").orderBy("path").toLocalIterator()]
         # written rows must not be written again, so a group that only failed to register stays whole
@@ -184,6 +187,34 @@ def _load_group(spark, spec: LoadSpec, group: DataFrame, run: Run, audit, report
     record(audit_rows(group, SUCCESS, spec.name, run.at, written), audit)
 
 
+def load_database(
+    spark: SparkSession, spec: LoadSpec, snapshot: str, run: Run | None = None
+) -> list[WriteInfo]:
+    """Load every table of a database source under one snapshot stamp."""
+    run = run or Run.now()
+    written = []
+    for frame in spec.source.read(spark):
+        names = checkpoint(frame.df.select(SOURCE_NAME).distinct())
+        rows = _stamp(spec, frame, checkpoint(file_facts(names, snapshot)), run)
+        if not rows.isEmpty():
+            written.append(spec.target.write(rows, spec.frame_tokens(run, frame.tokens, snapshot)))
+    return written
+
+
+def _stamp(spec: LoadSpec, frame: Frame, facts: DataFrame, run: Run) -> DataFrame:
+    """Cleaned and stamped rows of the files in ``facts``."""
+    offset = frame.tokens.get("sourceOffset", "")
+    rows = with_lineage(clean_columns(frame.df), facts, run, spec.source.source_system, offset)
+    return rows.where("meta_lineage_id is not null")
+
+
+def _target_stamps(spec: LoadSpec, facts: DataFrame) -> list[str | None]:
+    """The snapshots to write one by one, when the target's place depends on them."""
+    if not any("{" + SOURCE_SNAPSHOT + "}" in text for text in spec.target.tokens.values()):
+        return [None]
+    return sorted(r[0] for r in facts.select(SNAPSHOT).distinct().collect())
+
+
 def _scan(group: DataFrame, extension: str) -> Files:
     """The group's files by name, or past a bound their folders.
 
@@ -203,13 +234,13 @@ def delete_loaded(spark: SparkSession, specs: dict[str, LoadSpec], planned: Data
         spec = specs[row["spec"]]
         stamp = _last_stamp(row["request"])
         for tokens in spec.source.type_tokens():
-            spec.target.delete(spark, {**spec.base_tokens(run), **tokens}, snapshot=stamp)
+            spec.target.delete(spark, spec.frame_tokens(run, tokens, stamp), snapshot=stamp)
     for row in planned.where("as_file").select("path", "spec").collect():
         spec, stamp = specs[row["spec"]], _last_stamp(row["path"])
         if stamp is None:
             raise ValueError(f"no snapshot stamp in path: {row['path']}")
         for tokens in spec.source.type_tokens():
-            spec.target.delete(spark, {**spec.base_tokens(run), **tokens}, snapshot=stamp, file=row["path"])
+            spec.target.delete(spark, spec.frame_tokens(run, tokens, stamp), snapshot=stamp, file=row["path"])
 
 
 def _last_stamp(path: str) -> str | None:

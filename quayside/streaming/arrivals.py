@@ -2,7 +2,7 @@
 
 Each micro-batch leaves one folder in the outcome table, written in overwrite mode
 under its batch id, so a batch that runs again replaces what it wrote before. The
-table also is the memory of the stream: finished message ids are not handled again,
+table also is the memory of the stream: message ids once seen are not handled again,
 and delayed messages come back from it when they are due.
 """
 
@@ -76,7 +76,8 @@ class Arrivals:
             recent = earlier.where(F.col("batch_id") >= batch_id - self.remember_batches)
         else:
             recent = earlier
-        finished = recent.where(F.col("outcome") != DELAY).select("message_id")
+        # a delayed message comes back under an id of its own
+        seen = recent.select("message_id")
 
         names = T.StructType.fromDDL(MESSAGE_SCHEMA).names
         waiting = earlier.where((F.col("outcome") == DELAY) & (F.col("due_at") <= now))
@@ -85,7 +86,7 @@ class Arrivals:
             "delay_count", F.coalesce("delay_count", F.lit(0)) + 1
         )
         todo = batch.select(*names).unionByName(back.select(*names)).dropDuplicates(["message_id"])
-        todo = todo.join(finished, "message_id", "left_anti")
+        todo = todo.join(seen, "message_id", "left_anti")
         # handled several times below; the copy keeps all of them alike
         handled = checkpoint(classify(todo, self.environments))
 

@@ -12,6 +12,9 @@ from quayside.session import local_session  # noqa: E402
 def spark():
     session = local_session(8)
     session.sparkContext.setLogLevel("ERROR")
+    # compiling takes longer than running on rows as few as these
+    session.conf.set("spark.sql.codegen.wholeStage", "false")
+    session.conf.set("spark.sql.codegen.factoryMode", "NO_CODEGEN")
     return session
 
 

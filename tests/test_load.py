@@ -2,15 +2,17 @@ import uuid
 from datetime import datetime, timezone
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import values
 from quayside.functions.text import _base36
 from quayside.operators.lineage import Run
-from quayside.plans.load import LoadFailed, LoadSpec, load
+from quayside.plans.load import LoadFailed, LoadSpec, load, load_database
 from quayside.plans.reports import written_targets
 from quayside.sinks import storage
 from quayside.sinks.targets import HistoryTable, ManagedTable, SnapshotFiles
 from quayside.sources.delimited import Delimited, DelimitedRecords, RecordType
+from quayside.sources.frames import Frame
 from quayside.sources.structured import Json
 
 S1, S2 = "2024_01_01_00_00_00", "2024_01_02_00_00_00"
@@ -144,3 +146,31 @@ def test_scan_by_folder_past_the_name_limit(spark, land, tmp_path, monkeypatch):
     spec = csv_spec(tmp_path)
     load(spark, [spec, deep], [folder], RUN)
     assert values(stored(spark, spec), "id") == [("1",), ("2",)] and values(stored(spark, deep), "id") == [("3",)]
+
+
+def test_target_place_may_depend_on_the_snapshot(spark, land, tmp_path):
+    land({"a.csv": "id\n1\n"}, S1)
+    land({"a.csv": "id\n2\n"}, S2)
+    spec = csv_spec(tmp_path, SnapshotFiles(str(tmp_path / "out/{source_snapshot}/{date}")))
+    load(spark, [spec], [str(tmp_path / "in")], RUN)
+    for stamp, want in ((S1, "1"), (S2, "2")):
+        path = spec.target.path({"source_snapshot": stamp, "date": "2024_06_01"})
+        assert values(storage.read_table_files(spark, path), "id") == [(want,)]
+
+
+def test_database_tables_load_under_one_stamp(spark, tmp_path):
+    class Tables:
+        source_type, source_system = "jdbc", "erp"
+
+        def read(self, session):
+            made = {"A": [(1, "x")], "B_B": [(2, "y"), (3, "z")], "NONE": []}
+            return [
+                Frame(session.createDataFrame(r, "`Id #` int, V string").withColumn("meta_source_name", F.lit("jdbc:x:y")), {"type": t})
+                for t, r in made.items()
+            ]
+
+    spec = LoadSpec("db", "", "", Tables(), SnapshotFiles(str(tmp_path / "{type}")))
+    written = load_database(spark, spec, S1, RUN)
+    assert [w.path for w in written] == [str(tmp_path / "A.parquet"), str(tmp_path / "B_B.parquet")]
+    rows = storage.read_table_files(spark, written[1].path)
+    assert values(rows, "id_num", "v", "meta_source_name", "snapshot_date") == [(2, "y", "jdbc:x:y", S1), (3, "z", "jdbc:x:y", S1)]

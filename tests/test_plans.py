@@ -1,0 +1,83 @@
+"""The shape of plans: what is shuffled, what is pushed down, what leaves the JVM."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from quayside.operators.flatten import flatten_all
+from quayside.operators.numbering import exclusive_running_sum
+from quayside.operators.routing import match_prefix
+from quayside.operators.schema import clean_columns
+from quayside.operators.upsert import merge_by_key
+from quayside.sources.delimited import Delimited
+from quayside.sources.fixed_width import FixedColumn, FixedWidth
+from quayside.sources.frames import Files
+from quayside.sources.manifest import list_files
+from quayside.sources.structured import Parquet
+
+SF = "/root/testdata/sf0.001"
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def shuffles(text):
+    return len(re.findall(r"\bExchange (hash|range|Single|RoundRobin)", text))
+
+
+@pytest.mark.parametrize("source", [Delimited("s", has_header=False), FixedWidth("s", [FixedColumn("a", 3)])])
+def test_numbering_lines_shuffles_nothing(spark, land, source):
+    folder = land({"a.txt": "1,2\n3,4\n", "b.txt": "5,6\n"})
+    text = plan(source.read(spark, Files([folder]))[0].df)
+    assert shuffles(text) == 0 and "Python" not in text and text.count("FileScan text") == 1
+    assert "BroadcastHashJoin" in text
+
+
+def test_csv_records_are_parsed_once_per_row(spark, land):
+    folder = land({"a.csv": "a,b,c\n1,2,3\n"})
+    text = plan(Delimited("s").read(spark, Files([folder]))[0].df)
+    assert text.count("from_csv") == 1
+
+
+def test_renamed_parquet_still_prunes_and_pushes_down(spark):
+    df = clean_columns(Parquet("s", ["Key #", "Name", "n", "b", "s"]).read(spark, Files([f"{SF}/customer.parquet"]))[0].df)
+    text = plan(df.where("key_num > 5").select("name"))
+    assert "ReadSchema: struct<c_custkey:bigint,c_name:string" in text and "c_mktsegment" not in text
+    assert "GreaterThan(c_custkey,5)" in text and "ExistingRDD" not in text
+
+
+def test_listing_files_reads_no_content(spark, land):
+    text = plan(list_files(spark, Files([land({"a.csv": "x"})])))
+    assert "ReadSchema: struct<>" in text
+
+
+def test_flatten_is_one_pass(spark):
+    df = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", F.split("text", "\n").alias("l"))
+    text = plan(flatten_all(df))
+    assert shuffles(text) == 0 and "Generate explode" in text
+
+
+def test_running_sum_has_no_single_task_over_the_rows(spark):
+    df = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", F.length("text").alias("n"))
+    text = plan(exclusive_running_sum(df, "n", "doc_id", "s"))
+    scan_side = text.split("BroadcastExchange")[0]
+    assert "SinglePartition" not in scan_side
+
+
+def test_prefix_match_neither_explodes_nor_groups(spark):
+    files = spark.read.parquet(f"{SF}/pages.parquet").select(F.col("url").alias("path"))
+    specs = spark.createDataFrame([("http:", "1"), ("http://x/y", "2")], "prefix string, spec string")
+    text = plan(match_prefix(files, specs, "path", "prefix", ["spec"]))
+    assert shuffles(text) == 0 and "Generate" not in text and "Aggregate" not in text
+    assert text.count("BroadcastHashJoin") == 2
+
+
+def test_small_updates_do_not_shuffle_the_table(spark):
+    stamp = F.lit("2024_01_01_00_00_00").alias("snapshot_date")
+    existing = spark.read.parquet(f"{SF}/orders.parquet").select("o_orderkey", "o_orderstatus", stamp)
+    merged = merge_by_key(existing, existing.where("o_orderkey < 5"), ["o_orderkey"])
+    text = plan(merged)
+    assert "SortMergeJoin" not in text and "Cartesian" not in text and "NestedLoop" not in text
+    assert text.count("Scan parquet") >= 2 and "ReadSchema: struct<o_orderkey:bigint>" in text
