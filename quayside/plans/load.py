@@ -20,7 +20,7 @@ from quayside.operators.lineage import Run, file_facts, with_lineage
 from quayside.operators.routing import match_prefix, roll_up, unresolved_severity
 from quayside.operators.schema import clean_columns
 from quayside.plans.reports import failure_digest
-from quayside.session import checkpoint
+from quayside.session import checkpoint, small_table
 from quayside.sinks import storage
 from quayside.sinks.audit import FAILED, STARTED, SUCCESS, audit_rows, record
 from quayside.sinks.targets import NotRegistered, WriteInfo
@@ -85,13 +85,13 @@ def plan_files(
     folder is left out. The plan is checkpointed.
     """
     asked = [(p, storage.is_folder(spark, p)) for p in (storage.qualified(spark, r.rstrip("/")) for r in requests)]
-    requested = spark.createDataFrame(asked, "path string, is_folder boolean")
+    requested = small_table(spark, asked, "path string, is_folder boolean")
     folders = {p for p, folder in asked if folder}
     parents = [r["path"] for r in roll_up(requested).collect()]
 
     listed = list_files(spark, Files.literal(parents))
     entries = [(p, p, p not in folders) for p in parents]
-    parent_table = spark.createDataFrame(entries, "prefix string, request string, as_file boolean")
+    parent_table = small_table(spark, entries, "prefix string, request string, as_file boolean")
     source = F.col("path")
     listed = listed.withColumn("path", paths.plain_path(F.col(SOURCE_NAME)))
     planned = match_prefix(listed, parent_table, "path", "prefix", ["request", "as_file"])
@@ -112,7 +112,7 @@ def plan_files(
 def resolve_specs(files: DataFrame, specs: Sequence[LoadSpec]) -> DataFrame:
     """Add the name of the spec with the longest path prefix of each ``subject`` and its ``extension``."""
     entries = [(s.path.rstrip("/"), s.extension, s.name) for s in specs]
-    table = files.sparkSession.createDataFrame(entries, "prefix string, extension string, spec string")
+    table = small_table(files.sparkSession, entries, "prefix string, extension string, spec string")
     return match_prefix(files, table, "subject", "prefix", ["spec"], on=["extension"])
 
 
@@ -132,7 +132,7 @@ def load(
         delete_loaded(spark, {s.name: s for s in specs}, planned, run)
     report = load_planned(spark, specs, planned, run, audit)
     if report.failures:
-        frame = spark.createDataFrame(report.failures, "subject string, error string")
+        frame = small_table(spark, report.failures, "subject string, error string")
         raise LoadFailed(failure_digest(frame).first(), report)
     return report
 

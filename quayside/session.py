@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +26,11 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8) -> SparkS
     )
 
 
+def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A few rows the driver knows, in one partition."""
+    return spark.createDataFrame(rows, schema).coalesce(1)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 

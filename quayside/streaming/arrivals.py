@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.session import checkpoint
+from quayside.session import checkpoint, small_table
 from quayside.sinks import storage
 from quayside.streaming.messages import (
     DEAD_LETTER,
@@ -65,7 +65,7 @@ class Arrivals:
     def history(self, spark: SparkSession, before: int | None = None) -> DataFrame:
         """Outcomes so far, optionally only of batches before one."""
         if not storage.exists(spark, self.outcomes):
-            return spark.createDataFrame([], OUTCOME_SCHEMA)
+            return small_table(spark, [], OUTCOME_SCHEMA)
         table = spark.read.schema(OUTCOME_SCHEMA).parquet(self.outcomes)
         return table if before is None else table.where(F.col("batch_id") < before)
 

@@ -12,7 +12,7 @@ from quayside import SOURCE_NAME
 from quayside.functions import paths
 from quayside.operators.lineage import Run
 from quayside.plans.load import LoadSpec, load_planned, resolve_specs
-from quayside.session import checkpoint
+from quayside.session import checkpoint, small_table
 from quayside.sinks import storage
 from quayside.sources.frames import Files
 from quayside.sources.manifest import list_files
@@ -52,7 +52,7 @@ class MessageLoader:
         absent = [p for p, _ in asked if not storage.exists(spark, p)]
         failed = [(p, "file does not exist") for p in absent]
         if present:
-            named = spark.createDataFrame(asked, "asked string, path string")
+            named = small_table(spark, asked, "asked string, path string")
             listed = list_files(spark, Files.literal(present))
             listed = listed.withColumn("path", paths.plain_path(F.col(SOURCE_NAME))).join(named, "path")
             # two messages on one file load it once
@@ -72,5 +72,5 @@ class MessageLoader:
             failed += [(back[q], error) for q, error in report.failures]
         if not failed:
             return None
-        errors = spark.createDataFrame(failed, "path string, error string")
+        errors = small_table(spark, failed, "path string, error string")
         return known.join(errors, "path").select("message_id", "error")
