@@ -31,7 +31,9 @@ def match_prefix(
     must share. There is one equi-join per prefix depth present in the table, so
     files are neither exploded into ancestors nor grouped again.
     """
-    table = checkpoint(table.select(prefix, *[c for c in [*on, *values] if c != prefix]))
+    known_here = table.isLocal()
+    table = table.select(prefix, *[c for c in [*on, *values] if c != prefix])
+    table = table if known_here else checkpoint(table)
     keys = [prefix, *on]
     facts = table.agg(
         F.count(F.lit(1)).alias("entries"),

@@ -61,7 +61,9 @@ def failure_digest(
 
 def load_rate(finished: DataFrame, at: str) -> DataFrame:
     """Files done per two-minute tick, per minute, and in all up to then."""
-    tick = F.floor(F.unix_seconds(F.col(at).cast("timestamp")) / TICK_SECONDS).cast("long")
+    # counted from the epoch as written, whatever the session's time zone
+    epoch = F.lit("1970-01-01").cast(dict(finished.dtypes)[at])
+    tick = F.floor(F.timestamp_diff("SECOND", epoch, F.col(at)) / TICK_SECONDS).cast("long")
     ticks = finished.groupBy(tick.alias("tick")).agg(F.count(F.lit(1)).alias("files"))
     summed = exclusive_running_sum(ticks, "files", "tick", "_earlier")
     return summed.select(

@@ -6,7 +6,9 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 _local_scratch: tempfile.TemporaryDirectory | None = None
 
@@ -27,8 +29,12 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8) -> SparkS
 
 
 def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """A few rows the driver knows, in one partition."""
-    return spark.createDataFrame(rows, schema).coalesce(1)
+    """A few rows the driver knows. Through Arrow they become a local relation, which needs no job."""
+    kind = T.StructType.fromDDL(schema)
+    if not rows:
+        return spark.createDataFrame([], kind)
+    columns = {name: [row[n] for row in rows] for n, name in enumerate(kind.names)}
+    return spark.createDataFrame(pa.table(columns), kind)
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside import SNAPSHOT
+from quayside.sources.frames import Files
 
 
 def _open(spark: SparkSession, path: str):
@@ -33,7 +35,8 @@ def qualified(spark: SparkSession, path: str) -> str:
 
 def remove(spark: SparkSession, path: str) -> None:
     fs, where = _open(spark, path)
-    fs.delete(where, True)
+    if not fs.delete(where, True) and fs.exists(where):
+        raise OSError(f"could not delete {path}")
 
 
 def child_names(spark: SparkSession, path: str) -> list[str]:
@@ -77,10 +80,10 @@ def delete_rows(spark: SparkSession, root: str, doomed: Column, partition_by: Se
         return 0
     table = read_table_files(spark, root, [where])
     hit = table.where(doomed).select(F.col("_metadata.file_path").alias("file")).distinct()
-    files = [r["file"] for r in hit.toLocalIterator()]
+    files = [unquote(r["file"]) for r in hit.toLocalIterator()]
     if not files:
         return 0
-    kept = read_table_files(spark, root, files).where(F.coalesce(~doomed, F.lit(True)))
+    kept = read_table_files(spark, root, Files.literal(files).paths).where(F.coalesce(~doomed, F.lit(True)))
     kept.write.mode("append").partitionBy(*partition_by).parquet(root)
     for file in files:
         remove(spark, file)

@@ -144,3 +144,13 @@ def test_specs_are_checked():
     with pytest.raises(ValueError, match="not a valid"):
         HistoryTable("/x", database="d", table="t[1]")
     HistoryTable("/x", database="d", table="t_{type}")
+
+
+def test_delete_with_odd_partition_values(spark, rows, tmp_path, name):
+    target = ManagedTable("qs_test", name, str(tmp_path / "t"), partition_columns=["kind"])
+    odd = rows.withColumn("kind", F.when(F.col("id").endswith("1"), "a b:%[x]").otherwise("007"))
+    target.write(odd, {})
+    target.delete(spark, {}, S2)
+    table = spark.table(f"qs_test.{name}")
+    assert ids(table) == [i for i in ids(rows) if not i.startswith("02")]
+    assert {r["kind"] for r in table.collect()} == {"a b:%[x]", "007"}
