@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 # fixed values: what counts as a line break, and what edge trimming removes
 LINE_BREAK = r"\r\n|\r|\n"
+CONTROL = r"[\x00-\x1F]"
 CONTROL_AND_SPACE = "".join(chr(c) for c in range(33))
 
 

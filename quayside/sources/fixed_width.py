@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from quayside import LINE_NUMBER, SOURCE_NAME
 from quayside.functions.names import clean_name, require_unique
-from quayside.functions.text import tag_matches, trim_controls
+from quayside.functions.text import CONTROL, tag_matches, trim_controls
 from quayside.operators.numbering import block_table, number_rows, with_positions
 from quayside.sources.delimited import text_lines
 from quayside.sources.frames import Files, Frame
@@ -50,8 +50,9 @@ class FixedWidth:
         return [{"sourceOffset": ""}]
 
     def read(self, spark: SparkSession, files: Files) -> list[Frame]:
-        lines = numbered_lines(spark, files)
-        slices = cut(F.col("value"), self.columns, trim_controls)
+        # trimming control characters is slow, and few lines have any: look once per line
+        lines = numbered_lines(spark, files).withColumn("_control", F.col("value").rlike(CONTROL))
+        slices = cut(F.col("value"), self.columns, lambda c: F.when(F.col("_control"), trim_controls(c)).otherwise(F.trim(c)))
         return [Frame(lines.select(*slices, LINE_NUMBER, SOURCE_NAME), self.type_tokens()[0])]
 
 
