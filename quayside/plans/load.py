@@ -58,6 +58,23 @@ class LoadReport:
     files: DataFrame
     written: dict[str, list[WriteInfo]] = field(default_factory=dict)
     failures: list[tuple[str, str]] = field(default_factory=list)
+    _stamps: dict[str, set[str]] = field(default_factory=dict)
+    _frames: dict[str, list[DataFrame]] = field(default_factory=dict)
+
+    def write(self, target, rows: DataFrame, tokens: dict[str, str]) -> WriteInfo:
+        """Write rows, adding to the snapshots this load wrote before instead of replacing them.
+
+        Which snapshots those are is worked out only when a place is written to twice.
+        """
+        if target.save_mode == "append":
+            return target.write(rows, tokens)
+        path = target.path(tokens)
+        stamps = self._stamps.setdefault(path, set())
+        for frame in self._frames.pop(path, []):
+            stamps |= {r[0] for r in frame.select(SNAPSHOT).distinct().collect()}
+        info = target.write(rows, tokens, appended=stamps)
+        self._frames[path] = [rows]
+        return info
 
 
 class LoadFailed(RuntimeError):
@@ -149,15 +166,15 @@ def load_planned(
     return report
 
 
-def _load_group(spark, spec: LoadSpec, group: DataFrame, run: Run, audit, report: LoadReport, retry: set[tuple] | None = None) -> None:
+def _load_group(spark, spec: LoadSpec, group: DataFrame, run: Run, audit, report: LoadReport, retry: dict | None = None) -> None:
     """Load one spec's files together; if that fails, halve the group to find the bad files.
 
-    ``done`` holds the keys of frames already written for all of the group's files.
+    ``retry`` tells which frames were already written for all of the group's files.
     """
     if retry is None:
         record(audit_rows(group, STARTED, spec.name, run.at), audit)
     written: list[WriteInfo] = []
-    done = set(retry or ())
+    done = dict(retry or {})
     try:
         facts = checkpoint(file_facts(group.select(SOURCE_NAME)))
         frames = spec.source.read(spark, _scan(group, spec.extension))
@@ -165,12 +182,13 @@ def _load_group(spark, spec: LoadSpec, group: DataFrame, run: Run, audit, report
         for frame in frames:
             stamped = _stamp(spec, frame, facts, run)
             for stamp in stamps:
-                if (frame.key, stamp) in done:
-                    continue
-                rows = stamped if stamp is None else stamped.where(F.col(SNAPSHOT) == stamp)
-                if not rows.isEmpty():
-                    written.append(spec.target.write(rows, spec.frame_tokens(run, frame.tokens, stamp)))
-                done.add((frame.key, stamp))
+                key = (frame.key, stamp)
+                if key not in done:
+                    rows = stamped if stamp is None else stamped.where(F.col(SNAPSHOT) == stamp)
+                    tokens = spec.frame_tokens(run, frame.tokens, stamp)
+                    done[key] = None if rows.isEmpty() else report.write(spec.target, rows, tokens)
+                if done[key]:
+                    written.append(done[key])
     except Exception as error:  # noqa: BLE001 - whatever fails is recorded and isolated
         files = [r[0] for r in group.select("path").orderBy("path").toLocalIterator()]
         # written rows must not be written again, so a group that only failed to register stays whole
@@ -178,12 +196,12 @@ def _load_group(spark, spec: LoadSpec, group: DataFrame, run: Run, audit, report
             report.failures += [(f, str(error)) for f in files]
             record(audit_rows(group, FAILED, spec.name, run.at, error=str(error)[:1000]), audit)
             return
-        report.written.setdefault(spec.name, []).extend(written)
         middle = files[len(files) // 2]
         for half in (F.col("path") < middle, F.col("path") >= middle):
             _load_group(spark, spec, group.where(half), run, audit, report, done)
         return
-    report.written.setdefault(spec.name, []).extend(written)
+    known = report.written.setdefault(spec.name, [])
+    known += [w for w in written if w not in known]
     record(audit_rows(group, SUCCESS, spec.name, run.at, written), audit)
 
 

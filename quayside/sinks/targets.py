@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from collections.abc import Collection, Mapping, Sequence
+from dataclasses import dataclass, field, replace
 from typing import ClassVar
 
 from pyspark.sql import DataFrame, SparkSession
@@ -73,9 +73,14 @@ class SnapshotFiles:
     def path(self, tokens: Mapping[str, str]) -> str:
         return fill_text(self.directory, tokens).rstrip("/") + self.suffix
 
-    def write(self, df: DataFrame, tokens: Mapping[str, str]) -> WriteInfo:
+    def write(self, df: DataFrame, tokens: Mapping[str, str], appended: Collection[str] = ()) -> WriteInfo:
+        """Write in the save mode; snapshots ``appended`` to belong to the same load and are only added to."""
         spark, path = df.sparkSession, self.path(tokens)
         mode = self.save_mode
+        if appended and mode != "append":
+            again = F.col(SNAPSHOT).isin(list(appended))
+            replace(self, save_mode="append").write(df.where(again), tokens)
+            df = df.where(~again)
         if mode in ("ignore", "errorifexists"):
             present = storage.partition_values(spark, path)
             clash = F.col(SNAPSHOT).isin(present)
@@ -213,7 +218,10 @@ class ManagedTable:
     def name(self, tokens: Mapping[str, str]) -> str:
         return f"{self.database}.{fill_text(self.table, tokens)}"
 
-    def write(self, df: DataFrame, tokens: Mapping[str, str]) -> WriteInfo:
+    def write(self, df: DataFrame, tokens: Mapping[str, str], appended: Collection[str] = ()) -> WriteInfo:
+        """Write in the save mode, or add to what the same load wrote before when ``appended`` is not empty."""
+        if appended and self.save_mode != "append":
+            return replace(self, save_mode="append").write(df, tokens)
         spark, path, name = df.sparkSession, self.path(tokens), self.name(tokens)
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}")
         if self.keys and self.format == "parquet":

@@ -77,19 +77,19 @@ def test_deeper_spec_wins_and_requested_file_needs_a_spec(spark, land, tmp_path)
 
 @pytest.mark.parametrize("bad", ["bad.csv", "zbad.csv"])
 def test_bad_files_are_isolated(spark, land, tmp_path, bad):
-    land({f"f{n}.csv": f"id,v\n{n},x\n" for n in range(5)} | {bad: "a b,a.b\n1,2\n", "empty.csv": "id,v\n"})
+    land({f"f{n}.csv": f"id,v\n{n},x\n" for n in range(2)} | {bad: "a b,a.b\n1,2\n", "empty.csv": "id,v\n"})
     no_stamp = tmp_path / "in" / "loose.csv"
     no_stamp.write_text("id,v\n9,x\n")
     spec, audit = csv_spec(tmp_path), str(tmp_path / "audit")
     with pytest.raises(LoadFailed) as caught:
         load(spark, [spec], [str(tmp_path / "in")], RUN, audit=audit)
     assert "2 files failed" in str(caught.value) and bad in str(caught.value) and "loose.csv" in str(caught.value)
-    assert values(stored(spark, spec), "id") == [(str(n),) for n in range(5)]
+    assert values(stored(spark, spec), "id") == [(str(n),) for n in range(2)]
 
     log = spark.read.parquet(audit)
     last = {r["source_path"].rsplit("/", 1)[1]: r["status"] for r in log.where("status <> 'STARTED'").collect()}
-    assert last == {**{f"f{n}.csv": "SUCCESS" for n in range(5)}, "empty.csv": "SUCCESS", bad: "FAILED", "loose.csv": "FAILED"}
-    assert log.where("status = 'STARTED'").count() == 8
+    assert last == {**{f"f{n}.csv": "SUCCESS" for n in range(2)}, "empty.csv": "SUCCESS", bad: "FAILED", "loose.csv": "FAILED"}
+    assert log.where("status = 'STARTED'").count() == 5
     assert log.where("status = 'SUCCESS'").select("snapshot_date").distinct().collect()[0][0] == S1
     assert {r["target"] for r in written_targets(log).collect()} == {spec.target.path({})}
 
@@ -174,3 +174,20 @@ def test_database_tables_load_under_one_stamp(spark, tmp_path):
     assert [w.path for w in written] == [str(tmp_path / "A.parquet"), str(tmp_path / "B_B.parquet")]
     rows = storage.read_table_files(spark, written[1].path)
     assert values(rows, "id_num", "v", "meta_source_name", "snapshot_date") == [(2, "y", "jdbc:x:y", S1), (3, "z", "jdbc:x:y", S1)]
+
+
+@pytest.mark.parametrize("managed", [False, True])
+def test_overwriting_keeps_all_files_of_one_load(spark, land, tmp_path, managed):
+    """Files with different headers, and one bad file that makes the group be halved."""
+    name = uuid.uuid4().hex[:8]
+    if managed:
+        target = ManagedTable("qs_test", "t" + name, str(tmp_path / "out"), "overwrite")
+    else:
+        target = SnapshotFiles(str(tmp_path / "out"), "overwrite")
+    spec = csv_spec(tmp_path, target)
+    land({"a.csv": "id\nold\n"}, S1)
+    load(spark, [spec], [str(tmp_path / "in")], RUN)
+    land({"a.csv": "id\n1\n", "b.csv": "id,v\n2,x\n", "c.csv": "a b,a.b\n1,2\n", "d.csv": "id\n3\n"}, S1)
+    with pytest.raises(LoadFailed, match="1 files failed"):
+        load(spark, [spec], [str(tmp_path / "in")], RUN)
+    assert values(stored(spark, spec), "id", "v") == [("1", None), ("2", "x"), ("3", None)]
