@@ -23,6 +23,8 @@ over tasks give each task its first number. The plan says which numbers of which
 from __future__ import annotations
 
 import bisect
+import functools
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator, Sequence
@@ -44,26 +46,51 @@ LENGTH = 2048
 GROUPS = 32
 #: Pieces of up to this part of a sequence are small: the parts that are tried.
 SMALL = (1 / 8, 1 / 4, 1 / 3, 1 / 2)
-#: Words whose ids a task keeps at a time.
+#: Words whose ids a task keeps at a time, twice.
 KEPT_WORDS = 300_000
+#: Letters of western Europe, and marks after them, which never share a token with letters.
+PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?#$%&*|]*)")
 
 
 class Tokens(dict):
-    """Ids of words as bytes, unsigned 32-bit and little-endian; a word is encoded when it is first met."""
+    """Ids of words as bytes, unsigned 32-bit and little-endian; a word is encoded when it is first met.
+
+    Words met since the last clearing, and those of the time before, are kept; so memory is bounded and common words stay.
+    """
 
     def __init__(self, file: str):
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.tokenizer = Tokenizer.from_file(file)
+        self.tokenizer, self.old = Tokenizer.from_file(file), {}
+        self.symbols: dict[str, str] = {}
 
     def encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _letters(self, word: str) -> bytes:
+        """Ids of letters in a row. What comes before the merges is done letter by letter and remembered: they are in composed form
+        and not split, and each has one lower case."""
+        for letter in set(word) - self.symbols.keys():
+            (symbol, _), = self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(letter))
+            self.symbols[letter] = symbol
+        merged = self.tokenizer.model.tokenize("".join(map(self.symbols.__getitem__, word)))
+        return np.array([token.id for token in merged], "<u4").tobytes()
+
     def __missing__(self, word: str) -> bytes:
         if len(self) >= KEPT_WORDS:
+            self.old = dict(self)
             self.clear()
-        self[word] = ids = self.encode(word)
+        ids = self.old.get(word)
+        if ids is None:
+            plain = PLAIN.fullmatch(word)
+            if plain is None:
+                ids = self.encode(word)
+            elif plain[2]:
+                ids = self[plain[1]] + self[plain[2]]
+            else:
+                ids = self._letters(word)
+        self[word] = ids
         return ids
 
     def of(self, text: str) -> bytes:
@@ -77,6 +104,12 @@ class Tokens(dict):
         return b"".join(map(self.__getitem__, text.split()))
 
 
+@functools.lru_cache(1)
+def _tokens(file: str) -> Tokens:
+    """One for all tasks of a worker."""
+    return Tokens(file)
+
+
 def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, doc_id: str = "doc_id", text: str = "text", end: int = 0) -> DataFrame:
     """The pieces of each document: its ids and ``end``, cut at every ``length``.
 
@@ -87,7 +120,7 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, doc_id: str =
     names = ["doc_id", "piece", "start", "length", "ids_crc32", "part", "number"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, part = Tokens(tokenizer), TaskContext.get().partitionId()
+        tokens, part = _tokens(tokenizer), TaskContext.get().partitionId()
         counted: Counter[int] = Counter()
         last = np.array([end], "<u4").tobytes()
         for whole in batches:
