@@ -5,14 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.session import scratch_path
-
-
-def _written(df: DataFrame, label: str) -> DataFrame:
-    """The rows, from the shared folder: the plan so far ends here and a lost executor costs nothing."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+from quayside.llm.buckets import written
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -38,10 +31,10 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     A node's neighbours are never gathered; they meet as rows of joins and minima.
     """
     edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
-    edges = _written(edges, "edges")
+    edges = written(edges, "edges")
     state = None
     while True:
-        edges = _written(_star(_star(edges, large=True), large=False), "edges")
+        edges = written(_star(_star(edges, large=True), large=False), "edges")
         new = edges.agg(F.count("*"), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 40)))).first()
         if new == state:
             break
