@@ -8,9 +8,9 @@ What says of itself that it is a menu, a form, an advert and so on (by its tag,
 Inside an article only containers are candidates for deletion, never paragraphs or headings: passages that
 many articles quote stay.
 
-Counting sends a host and two hashes per candidate, pre-aggregated; a hot host is one key with many different
-hashes, never one group. Templates come back to the pages by joins on hashes, not by a broadcast. Candidates, a
-few numbers each, are written to the shared folder, so pages are parsed twice and not three times.
+Counting sends three numbers per candidate. Hashes depend on the host, so a hot host is many keys, never one group. Candidates
+are written to the shared folder, so pages are parsed twice and not three times. The hashes of the templates are counted before they
+are broadcast; more than ``MOST_TEMPLATES`` come back to the pages by joins.
 """
 
 from __future__ import annotations
@@ -19,13 +19,15 @@ import hashlib
 import html as entities
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quayside.llm.buckets import written
 from quayside.llm.frames import col
 from quayside.llm.registry import query
 from quayside.llm.words import slices
@@ -33,6 +35,8 @@ from quayside.session import scratch_path
 
 #: On so many different pages of a host an element is template.
 MIN_PAGES = 5
+#: Hashes that may be broadcast, 32 MB.
+MOST_TEMPLATES = 1 << 22
 
 # Names of elements in HTML, by what they mean here.
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
@@ -159,8 +163,9 @@ def _walk(top: Element) -> Iterator[tuple[Element | str, bool]]:
             stack += [(part, False) for part in reversed(node.parts)]
 
 
-def hashes(top: Element) -> dict[int, int]:
-    """A hash of each element, its tag and everything in it, by the element's id(); white space does not matter."""
+def hashes(top: Element, host: str) -> dict[int, int]:
+    """A hash of each element of a host, its tag and everything in it, by the element's id(); white space does not matter."""
+    key = hashlib.blake2b(host.encode("utf-8", "surrogatepass"), digest_size=16).digest()
     found: dict[int, int] = {}
     open_parts: list[list[str]] = [[]]
     for node, out in _walk(top):
@@ -171,7 +176,7 @@ def hashes(top: Element) -> dict[int, int]:
             open_parts.append([])
         else:
             content = "\x1f".join(open_parts.pop())
-            digest = hashlib.blake2b(f"{node.tag}\x1e{content}".encode("utf-8", "surrogatepass"), digest_size=8).digest()
+            digest = hashlib.blake2b(f"{node.tag}\x1e{content}".encode("utf-8", "surrogatepass"), digest_size=8, key=key).digest()
             found[id(node)] = int.from_bytes(digest, "big", signed=True)
             open_parts[-1].append(digest.hex())
     return found
@@ -199,9 +204,8 @@ def article(top: Element) -> tuple[Element, bool]:
     return max(chosen, key=lambda e: sum(len(b) for b in blocks(e, frozenset(), {}))), True
 
 
-def candidates(top: Element, own: Element, named: bool) -> set[int]:
+def candidates(top: Element, own: Element, named: bool, digests: dict[int, int]) -> set[int]:
     """Hashes of the elements that may be template: containers, and outside the article also blocks of text."""
-    digests = hashes(top)
     found, inside = set(), 0
     for node, out in _walk(top):
         if not isinstance(node, Element):
@@ -250,13 +254,15 @@ def _titled(node: Element, top: Element) -> bool:
     return top.tag == "article" and node.tag in ("header", "hgroup", "div") and any(isinstance(x, Element) and x.tag == "h1" for x, _ in _walk(node))
 
 
-def main_text(page: str, doomed: frozenset[int]) -> str:
+def main_text(page: str, host: str, doomed: Callable[[set[int]], frozenset[int]]) -> str:
+    """The text of a page. ``doomed`` says which of its candidates are template."""
     top = parse(page)
     own, named = article(top)
-    digests = hashes(top) if doomed else {}
-    if doomed and named:  # in an article only containers can be template
+    digests = hashes(top, host)
+    gone = doomed(candidates(top, own, named, digests))
+    if gone and named:  # in an article only containers can be template
         digests = {id(n): digests[id(n)] for n, out in _walk(own) if not out and isinstance(n, Element) and n.tag in CONTAINERS}
-    return "\n\n".join(blocks(own, doomed, digests))
+    return "\n\n".join(blocks(own, gone, digests))
 
 
 def host(url: Column) -> Column:
@@ -269,10 +275,10 @@ def _candidate_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     for whole in batches:
         for batch in slices(whole, "html"):
             rows, found, bodies = [], [], []
-            for row, page in enumerate(batch.column("html").to_pylist()):
+            for row, (name, page) in enumerate(zip(batch.column("host").to_pylist(), batch.column("html").to_pylist())):
                 top = parse(page or "")
                 main, named = article(top)
-                own = candidates(top, main, named)
+                own = candidates(top, main, named, hashes(top, name))
                 if not own:
                     continue
                 text = "\n".join(blocks(main, frozenset(), {}))
@@ -280,42 +286,54 @@ def _candidate_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 rows += [row] * len(own)
                 bodies += [body] * len(own)
                 found += sorted(own)
-            columns = [batch.column(c).take(pa.array(rows, pa.int64())) for c in ("host", "k1", "k2")]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.int64()), pa.array(bodies, pa.int64())], ["host", "k1", "k2", "element", "body"])
+            yield pa.RecordBatch.from_arrays([batch.column("k").take(pa.array(rows, pa.int64())), pa.array(found, pa.int64()), pa.array(bodies, pa.int64())], ["k", "element", "body"])
 
 
-def extract(pages: DataFrame, url: str = "url", html: str = "html", min_pages: int = MIN_PAGES, to: str = "main_text") -> DataFrame:
+def _among(own: set[int], table: np.ndarray) -> frozenset[int]:
+    """Which hashes are in a table that is in order."""
+    hashed = np.fromiter(own, np.int64, len(own))
+    at = np.searchsorted(table, hashed)
+    at[at == len(table)] = 0
+    return frozenset(hashed[table[at] == hashed].tolist()) if len(table) else frozenset()
+
+
+def extract(pages: DataFrame, url: str = "url", html: str = "html", min_pages: int = MIN_PAGES, to: str = "main_text", most_templates: int = MOST_TEMPLATES) -> DataFrame:
     """Add the main text of each page.
 
     A null or empty page has empty text. Pages without an address or with a broken one count as pages of one nameless host. Markup that is cut
     off, unbalanced or nested without end is read as far as it goes. Repeated pages get equal texts and
-    count once. A column already called ``to`` is replaced.
+    count once. A column already called ``to`` is replaced; an empty table stays empty.
     """
+    spark = pages.sparkSession
     kept = [c for c in pages.columns if c != to]
-    rows = pages.select(
-        *(col(c).alias(f"c{i}") for i, c in enumerate(kept)), host(col(url)).alias("host"), col(html).alias("html"),
-        F.xxhash64(col(html)).alias("k1"), F.xxhash64(F.lit(1), col(html)).alias("k2"),
-    )
-    keys = ["host", "k1", "k2"]
-    spark, path = pages.sparkSession, scratch_path(pages.sparkSession, "elements")
-    rows.select(*keys, "html").mapInArrow(_candidate_rows, "host string, k1 bigint, k2 bigint, element bigint, body bigint").write.parquet(path)
+    names = [f"c{i}" for i in range(len(kept))]
+    rows = pages.select(*(col(c).alias(n) for c, n in zip(kept, names)), host(col(url)).alias("host"), col(html).alias("html"), F.xxhash64(host(col(url)), col(html)).alias("k"))
+    path = scratch_path(spark, "elements")
+    rows.select("host", "k", "html").mapInArrow(_candidate_rows, "k bigint, element bigint, body bigint").write.parquet(path)
     found = spark.read.parquet(path)
-    on_pages = found.select("host", "element", "body").distinct().groupBy("host", "element").agg(F.count("*").alias("n"))
-    template = on_pages.where(F.col("n") >= min_pages).select("host", "element")
-    marks = found.select(*keys, "element").distinct().join(template, ["host", "element"]).groupBy(*keys).agg(F.collect_set("element").alias("doomed"))
-    marked = rows.join(marks, keys, "left").select(*(f"c{i}" for i in range(len(kept))), "html", "doomed")
-    schema = T.StructType([*marked.schema[: len(kept)], T.StructField("text", T.StringType())])
+    on_pages = found.select("element", "body").distinct().groupBy("element").agg(F.count("*").alias("n"))
+    template = written(on_pages.where(F.col("n") >= min_pages).select("element"), "templates")
+    schema = T.StructType([*(rows.schema[n] for n in names), T.StructField("text", T.StringType())])
+    if template.count() <= most_templates:
+        known = spark.sparkContext.broadcast(np.sort(np.asarray(template.toArrow()["element"])))
+        marked = rows.withColumn("doomed", F.lit(None).cast("array<bigint>"))
+    else:
+        # pages that share a key by chance would share elements to delete, and an element is deleted only where it is
+        known = spark.sparkContext.broadcast(np.zeros(0, np.int64))
+        marked = rows.join(found.select("k", "element").distinct().join(template, "element").groupBy("k").agg(F.collect_set("element").alias("doomed")), "k", "left")
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        everywhere = known.value
         for whole in batches:
             for batch in slices(whole, "html"):
-                pairs = zip(batch.column("html").to_pylist(), batch.column("doomed").to_pylist())
-                made = pa.array([main_text(page or "", frozenset(doomed or ())) for page, doomed in pairs], pa.string())
-                columns = [batch.column(f"c{i}") for i in range(len(kept))]
-                yield pa.RecordBatch.from_arrays([*columns, made], [*(f"c{i}" for i in range(len(kept))), "text"])
-
-    out = marked.mapInArrow(texts, schema)
-    return out.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(kept)), F.col("text").alias(to))
+                made = [
+                    main_text(page or "", name, lambda own, doomed=doomed: frozenset(own.intersection(doomed)) if doomed else _among(own, everywhere))
+                    for name, page, doomed in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "doomed")))
+                ]
+                yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(made, pa.string())], schema.names)
+
+    out = marked.select(*names, "host", "html", "doomed").mapInArrow(texts, schema)
+    return out.select(*(F.col(n).alias(c) for n, c in zip(names, kept)), F.col("text").alias(to))
 
 
 @query()

@@ -1,0 +1,45 @@
+import re
+
+import numpy as np
+import pyarrow as pa
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from quayside.llm.words import long_runs, runs, sliding_min, whole_runs, words_of
+
+PATTERNS = {"spaced": r"[^\x20\x09-\x0D]+", "plain_lower": r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"}
+TEXT = st.text(alphabet="aAbB9 \t\n\x0b\x1f.é中\x00", max_size=30)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.one_of(st.none(), TEXT), max_size=6), st.sampled_from(sorted(PATTERNS)))
+def test_words_are_those_of_the_pattern(texts, kind):
+    words = words_of(pa.array(texts, pa.string()), kind)
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    want = [re.findall(PATTERNS[kind], (t or "").translate(lower) if kind == "plain_lower" else t or "") for t in texts]
+    assert np.diff(words.at).tolist() == [len(w) for w in want]
+    flat = [w for ws in want for w in ws]
+    assert len(set(zip(flat, words.hashes.tolist()))) == len(set(flat)) == len(set(words.hashes.tolist()))
+    got = [words.data[a:b].tobytes().decode() for a, b in zip(words.starts, words.ends)]
+    assert [g.translate(lower) if kind == "plain_lower" else g for g in got] == flat
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.integers(0, 3), max_size=40), st.integers(1, 6))
+def test_runs_are_equal_where_their_words_are(values, length):
+    hashes = np.array(values, np.uint64)
+    want = [tuple(values[i : i + length]) for i in range(len(values) - length + 1)]
+    for made in (runs(hashes, length), long_runs(hashes, length)):
+        assert len(made) == len(want) and len(set(zip(want, made.tolist()))) == len(set(want)) == len(set(made.tolist()))
+    assert sliding_min(hashes, length).tolist() == [min(w) for w in want]
+
+
+def test_runs_stay_inside_a_text():
+    at = np.array([0, 3, 3, 4, 9])
+    assert whole_runs(at, 9, 3).tolist() == [True, False, False, False, True, True, True]
+
+
+def test_long_words_are_hashed_whole(monkeypatch):
+    monkeypatch.setattr("quayside.llm.words.CHUNK", 16)
+    words = words_of(pa.array(["x" * 100 + " ab", "ab " + "x" * 100]), "spaced")
+    assert words.hashes[0] == words.hashes[3] and words.hashes[1] == words.hashes[2]
