@@ -21,7 +21,7 @@ from quayside.sources.frames import Files
 from quayside.sources.manifest import list_files
 from quayside.streaming.arrivals import Arrivals
 from quayside.streaming.ingest import MessageLoader
-from quayside.streaming.messages import classify, retry_outcome
+from quayside.streaming.messages import MESSAGE_SCHEMA, classify, retry_outcome
 
 ENVIRONMENTS = [("prod", "LakeProd"), ("test", "laketest")]
 
@@ -103,12 +103,14 @@ def retry_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", retry_outcome(F.col("event_id") % 6).alias("outcome"))
 
 
-@query(f"""
+_ARRIVED_SQL = f"""
     select cast(o_orderkey as varchar) as o_orderkey, '{STAMP}' as snapshot_date,
            1 + row_number() over (partition by o_orderkey % {ORDER_FILES} order by o_orderkey) as meta_source_line_number
-    from orders""")
-def load_on_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One message per landed order file, each sent twice; the stream loads every file once."""
+    from orders"""
+
+
+def _arrived(spark: SparkSession, sf_dir: str, again: bool = False) -> DataFrame:
+    """Rows loaded from one message per landed order file, each sent twice; ``again`` runs one micro-batch twice."""
     landed = storage.qualified(spark, land_orders_csv(spark, sf_dir))
     root, folder = landed.rsplit("/", 1)
     path = paths.plain_path(F.col(SOURCE_NAME))
@@ -129,7 +131,43 @@ def load_on_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages.repartition(2, "delay_count").write.json(f"{work}/messages")
     target = SnapshotFiles(f"{work}/orders")
     spec = LoadSpec("orders", f"/raw/{folder}", "csv", Delimited("erp"), target)
-    loader = MessageLoader(f"{root}{{subject}}", lambda: [spec])
-    Arrivals(f"{work}/outcomes", ENVIRONMENTS, loader).run(spark, f"{work}/messages", f"{work}/checkpoint", 1)
+    loader = MessageLoader(f"{root}{{subject}}", lambda: [spec], f"{work}/audit")
+    arrivals = Arrivals(f"{work}/outcomes", ENVIRONMENTS, loader)
+    if again:
+        batch = spark.read.schema(MESSAGE_SCHEMA).json(f"{work}/messages")
+        arrivals.process(batch, 0)
+        arrivals.process(batch, 0)
+    else:
+        arrivals.run(spark, f"{work}/messages", f"{work}/checkpoint", 1)
     loaded = storage.read_table_files(spark, target.path({}))
     return loaded.select("o_orderkey", "snapshot_date", "meta_source_line_number")
+
+
+@query(_ARRIVED_SQL)
+def load_on_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One message per landed order file, each sent twice; the stream loads every file once."""
+    return _arrived(spark, sf_dir)
+
+
+@query(_ARRIVED_SQL)
+def stream_replay_loads_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same messages as one micro-batch that runs twice."""
+    return _arrived(spark, sf_dir, again=True)
+
+
+@query(f"""
+    with m as ({_CLASSIFIED_SQL})
+    select outcome, count(*) as messages, count(distinct case when outcome = 'delay' then message_id end) as delayed
+    from (select message_id, outcome from m union all select message_id || '-1', outcome from m where outcome = 'delay')
+    group by outcome""")
+def stream_delayed_return(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delayed messages come back when the stream runs a day later, without a new message."""
+    folder = scratch_path(spark, "delayed")
+    events = table(spark, sf_dir, "events")
+    _messages(events).repartition(file_count(events, "event_id")).write.json(f"{folder}/messages")
+    for day in (1, 2):
+        clock = datetime(2024, 3, day, tzinfo=timezone.utc)
+        arrivals = Arrivals(f"{folder}/outcomes", ENVIRONMENTS, ingest=lambda messages: None, clock=lambda clock=clock: clock)
+        arrivals.run(spark, f"{folder}/messages", f"{folder}/checkpoint")
+    delayed = F.count_distinct(F.when(F.col("outcome") == "delay", F.col("message_id"))).alias("delayed")
+    return arrivals.history(spark).groupBy("outcome").agg(F.count(F.lit(1)).alias("messages"), delayed)

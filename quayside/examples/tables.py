@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import uuid
 from datetime import datetime, timezone
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,11 +21,11 @@ from quayside.examples.text import (
 )
 from quayside.operators.lineage import Run
 from quayside.operators.upsert import merge_by_key
-from quayside.plans.load import LoadSpec, load
+from quayside.plans.load import LoadReport, LoadSpec, load
 from quayside.plans.reports import failure_digest, last_messages, load_rate, written_targets
 from quayside.session import scratch_path
 from quayside.sinks import storage
-from quayside.sinks.targets import HistoryTable, ManagedTable, SnapshotFiles
+from quayside.sinks.targets import SAVE_MODES, HistoryTable, ManagedTable, SnapshotFiles
 from quayside.sources.delimited import Delimited
 
 DATABASE = "quayside_examples"
@@ -243,6 +245,58 @@ def upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(target.name({})).drop("meta_source_name")
 
 
+_FIRST_LOAD_SQL = f"""
+    with e as ({EVENT_ROWS})
+    select * from e {{where}} qualify row_number() over (partition by event_id % 1000 order by snapshot_date desc, event_type desc, event_id desc) = 1"""
+
+
+def _first_load(spark: SparkSession, sf_dir: str, delete_unmatched: bool) -> DataFrame:
+    """A keyed table's first load is a backfill: every key comes in many snapshots."""
+    target = ManagedTable(DATABASE, _fresh_name("events"), scratch_path(spark, "first"), keys=["k"], delete_unmatched=delete_unmatched)
+    events = _events_by_day(spark, sf_dir).withColumn("k", F.col("event_id") % 1000)
+    # one row for each key in a file
+    once = events.groupBy("k", "meta_source_name", "snapshot_date").agg(F.max_by(F.struct("event_id", "event_type"), "event_id").alias("e"))
+    target.write(once.select("k", "e.event_id", "e.event_type", "meta_source_name", "snapshot_date"), {})
+    return spark.table(target.name({})).select("event_id", "event_type", "snapshot_date")
+
+
+@query(_FIRST_LOAD_SQL.format(where=""))
+def upsert_first_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _first_load(spark, sf_dir, False)
+
+
+@query(_FIRST_LOAD_SQL.format(where="where snapshot_date = (select max(snapshot_date) from e)"))
+def upsert_first_mirror(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _first_load(spark, sf_dir, True)
+
+
+@query(f"""
+    with e as ({EVENT_ROWS}), d as (select *, dense_rank() over (order by snapshot_date) as day from e)
+    select 'append' as mode, event_id, event_type, snapshot_date from d
+    union all select 'append', event_id, event_type, snapshot_date from d where day > 1
+    union all select 'overwrite', event_id, event_type, snapshot_date from d where day > 1
+    union all select 'ignore', event_id, event_type, snapshot_date from d where day = 1
+    union all select 'errorifexists', event_id, event_type, snapshot_date from d where day = 1""")
+def managed_table_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first day, then all later days as two frames of one load, in every save mode."""
+    events = _events_by_day(spark, sf_dir)
+    first = events.agg(F.min("snapshot_date")).first()[0]
+    begun, later = events.where(F.col("snapshot_date") == first), events.where(F.col("snapshot_date") > first)
+    found = []
+    for mode in SAVE_MODES:
+        name, folder = _fresh_name("modes"), scratch_path(spark, "modes")
+        ManagedTable(DATABASE, name, folder).write(events if mode == "append" else begun, {})
+        target, report = ManagedTable(DATABASE, name, folder, mode), LoadReport(events)
+        try:
+            for half in (0, 1):
+                report.write(target, later.where(F.col("event_id") % 2 == half), {})
+        except AnalysisException:
+            if mode != "errorifexists":
+                raise
+        found.append(spark.table(f"{DATABASE}.{name}").select(F.lit(mode).alias("mode"), "event_id", "event_type", "snapshot_date"))
+    return reduce(DataFrame.unionByName, found)
+
+
 # reports, with events standing in for finished loads
 
 

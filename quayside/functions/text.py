@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-import hashlib
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # fixed values: what counts as a line break, and what edge trimming removes
 LINE_BREAK = r"\r\n|\r|\n"
@@ -31,18 +27,28 @@ def tag_matches(tag: Column, pattern: str) -> Column:
     return F.trim(tag).rlike(pattern)
 
 
-_DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: Base-36 digits worked out at a time: a remainder times 2**32 stays below 2**63.
+_STEP = 5
+
 
+def sha1_base36(value: Column) -> Column:
+    """SHA-1 as an unsigned number in base 36: long division of five 32-bit words, five digits at a time."""
+    by, word = 36**_STEP, 1 << 32
+    digest = F.sha1(value.cast("binary"))
+    words = F.array(*(F.conv(F.substring(digest, 1 + 8 * i, 8), 16, 10).cast("bigint") for i in range(5)))
 
-def _base36(number: int) -> str:
-    text = ""
-    while number:
-        number, digit = divmod(number, 36)
-        text = _DIGITS[digit] + text
-    return text or "0"
+    def divide(done: Column, low: Column) -> Column:
+        number = done["rest"] * F.lit(word) + low
+        quotient = F.concat(done["words"], F.array(F.call_function("div", number, F.lit(by))))
+        return F.struct(quotient.alias("words"), (number % by).alias("rest"))
 
+    def step(done: Column, _: Column) -> Column:
+        none = F.struct(F.array().cast("array<bigint>").alias("words"), F.lit(0).cast("bigint").alias("rest"))
+        return F.aggregate(
+            done["words"], none, divide,
+            lambda made: F.struct(made["words"].alias("words"), F.concat(F.lpad(F.conv(made["rest"].cast("string"), 10, 36), _STEP, "0"), done["text"]).alias("text")),
+        )
 
-@F.pandas_udf(T.StringType())
-def sha1_base36(values: pd.Series) -> pd.Series:
-    """SHA-1 as an unsigned number in base 36. Meant for one row per file."""
-    return values.map(lambda v: _base36(int.from_bytes(hashlib.sha1(v.encode()).digest(), "big")), na_action="ignore")
+    rounds = F.sequence(F.lit(1), F.lit(7))
+    text = F.aggregate(rounds, F.struct(words.alias("words"), F.lit("").alias("text")), step)["text"]
+    return F.when(value.isNotNull(), F.regexp_replace(text, "^0+(?=.)", ""))

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside import SNAPSHOT, SOURCE_NAME
@@ -60,15 +60,21 @@ class LoadReport:
     failures: list[tuple[str, str]] = field(default_factory=list)
     _stamps: dict[str, set[str]] = field(default_factory=dict)
     _frames: dict[str, list[DataFrame]] = field(default_factory=dict)
+    _ignored: dict[str, Column] = field(default_factory=dict)
 
     def write(self, target, rows: DataFrame, tokens: dict[str, str]) -> WriteInfo:
         """Write rows, adding to the snapshots this load wrote before instead of replacing them.
 
-        Which snapshots those are is worked out only when a place is written to twice.
+        Which snapshots those are is worked out only when a place is written to twice. What save mode ``ignore``
+        leaves out is settled when the load first writes to a place.
         """
         if target.save_mode == "append":
             return target.write(rows, tokens)
         path = target.path(tokens)
+        if target.save_mode == "ignore":
+            if path not in self._ignored:
+                self._ignored[path] = target.ignored(rows.sparkSession, tokens)
+            rows = rows.where(~self._ignored[path])
         stamps = self._stamps.setdefault(path, set())
         for frame in self._frames.pop(path, []):
             stamps |= {r[0] for r in frame.select(SNAPSHOT).distinct().collect()}
@@ -94,12 +100,12 @@ class LoadFailed(RuntimeError):
 
 
 def plan_files(
-    spark: SparkSession, specs: Sequence[LoadSpec], requests: Sequence[str], roots: Sequence[str] = ()
+    spark: SparkSession, specs: Sequence[LoadSpec], requests: Sequence[str], roots: Sequence[str] = (), run_id: str = ""
 ) -> DataFrame:
     """Every file under the requests with its request, subject and spec name.
 
     A requested file without a spec is an error; one found inside a requested
-    folder is left out. The plan is checkpointed.
+    folder is left out. The plan is checkpointed. ``run_id`` tells loads of one file apart.
     """
     asked = [(p, storage.is_folder(spark, p)) for p in (storage.qualified(spark, r.rstrip("/")) for r in requests)]
     requested = small_table(spark, asked, "path string, is_folder boolean")
@@ -117,12 +123,12 @@ def plan_files(
     planned = planned.withColumn("extension", paths.extension(source))
     planned = resolve_specs(planned, specs)
     planned = planned.withColumn("severity", unresolved_severity(F.col("spec"), F.col("as_file")))
-    planned = planned.withColumn("ingest_id", F.sha2(F.concat_ws("|", source, F.col("modified").cast("string")), 256))
+    planned = planned.withColumn("ingest_id", F.sha2(F.concat_ws("|", source, F.col("modified").cast("string"), F.lit(run_id)), 256))
     planned = checkpoint(planned.withColumn("correlation_id", F.col("ingest_id")))
 
-    lost = [r["path"] for r in planned.where("severity = 'error'").take(10)]
-    if lost:
-        raise ValueError(f"no load spec for requested files {lost}")
+    lost = planned.where("severity = 'error'")
+    if first := [r["path"] for r in lost.take(10)]:
+        raise ValueError(f"no load spec for {lost.count()} requested files, the first of them {first}")
     return planned.where("spec is not null")
 
 
@@ -144,7 +150,7 @@ def load(
 ) -> LoadReport:
     """Load all requested files; with ``reingest`` delete what they wrote before."""
     run = run or Run.now()
-    planned = plan_files(spark, specs, requests, roots)
+    planned = plan_files(spark, specs, requests, roots, run.at.isoformat())
     if reingest:
         delete_loaded(spark, {s.name: s for s in specs}, planned, run)
     report = load_planned(spark, specs, planned, run, audit)
@@ -194,7 +200,7 @@ def _load_group(spark, spec: LoadSpec, group: DataFrame, run: Run, audit, report
         # written rows must not be written again, so a group that only failed to register stays whole
         if len(files) == 1 or isinstance(error, NotRegistered):
             report.failures += [(f, str(error)) for f in files]
-            record(audit_rows(group, FAILED, spec.name, run.at, error=str(error)[:1000]), audit)
+            record(audit_rows(group, FAILED, spec.name, run.at, error=str(error)), audit)
             return
         middle = files[len(files) // 2]
         for half in (F.col("path") < middle, F.col("path") >= middle):

@@ -7,11 +7,12 @@ from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from typing import ClassVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside import SNAPSHOT
+from quayside.functions.names import quoted
 from quayside.functions.paths import fill_text
 from quayside.operators.upsert import latest_per_key, merge_by_key
 from quayside.session import checkpoint
@@ -21,6 +22,11 @@ SAVE_MODES = ("append", "overwrite", "ignore", "errorifexists")
 _NAME = re.compile(r"[a-zA-Z_0-9/.]+")
 
 
+def sql_text(value: str) -> str:
+    """A text literal for SQL."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 @dataclass(frozen=True)
 class WriteInfo:
     """What one write produced."""
@@ -94,6 +100,10 @@ class SnapshotFiles:
         except Exception as error:
             raise NotRegistered(str(error)) from error
 
+    def ignored(self, spark: SparkSession, tokens: Mapping[str, str]) -> Column:
+        """Rows that save mode ``ignore`` leaves out, as the target is now."""
+        return F.col(SNAPSHOT).isin(storage.partition_values(spark, self.path(tokens)))
+
     def register(self, spark: SparkSession, schema: T.StructType, path: str, tokens: Mapping[str, str]) -> WriteInfo:
         return WriteInfo(path)
 
@@ -164,13 +174,13 @@ class HistoryTable(SnapshotFiles):
         on_disk = set(storage.partition_values(spark, path))
         listed = {r[0].split("=")[1] for r in spark.sql(f"SHOW PARTITIONS {history}").collect()}
         for stamp in sorted(on_disk - listed):
-            spark.sql(f"ALTER TABLE {history} ADD IF NOT EXISTS PARTITION ({SNAPSHOT}='{stamp}')")
+            spark.sql(f"ALTER TABLE {history} ADD IF NOT EXISTS PARTITION ({SNAPSHOT}={sql_text(stamp)})")
         for stamp in sorted(listed - on_disk):
-            spark.sql(f"ALTER TABLE {history} DROP IF EXISTS PARTITION ({SNAPSHOT}='{stamp}')")
+            spark.sql(f"ALTER TABLE {history} DROP IF EXISTS PARTITION ({SNAPSHOT}={sql_text(stamp)})")
         spark.catalog.refreshTable(history)
         # a literal, so that readers of the view prune to one folder at planning
         newest = max(on_disk)
-        spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM {history} WHERE {SNAPSHOT} = '{newest}'")
+        spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM {history} WHERE {SNAPSHOT} = {sql_text(newest)}")
 
 
 @dataclass(frozen=True)
@@ -218,6 +228,10 @@ class ManagedTable:
     def name(self, tokens: Mapping[str, str]) -> str:
         return f"{self.database}.{fill_text(self.table, tokens)}"
 
+    def ignored(self, spark: SparkSession, tokens: Mapping[str, str]) -> Column:
+        """Rows that save mode ``ignore`` leaves out, as the target is now: all of them once there is a table."""
+        return F.lit(storage.exists(spark, self.path(tokens)))
+
     def write(self, df: DataFrame, tokens: Mapping[str, str], appended: Collection[str] = ()) -> WriteInfo:
         """Write in the save mode, or add to what the same load wrote before when ``appended`` is not empty."""
         if appended and self.save_mode != "append":
@@ -227,9 +241,9 @@ class ManagedTable:
         if self.keys and self.format == "parquet":
             self._write_version(df, path, name)
         elif self.keys and spark.catalog.tableExists(name):
-            self._merge_in_place(df, name)
+            self._merge_in_place(self._updates(df), name)
         else:
-            self._write_plain(df, path, name)
+            self._write_plain(self._updates(df) if self.keys else df, path, name)
         details = {"hiveDatabase": self.database, "hiveTableName": name.split(".")[1]}
         return WriteInfo(path, details)
 
@@ -254,12 +268,23 @@ class ManagedTable:
         for key in self.keys:
             same = same & (F.col(f"updates.{key}") == F.col(f"{name}.{key}"))
         newer = F.col(f"{name}.{SNAPSHOT}") <= F.col(f"updates.{SNAPSHOT}")
-        merge = latest_per_key(df, self.keys).alias("updates").mergeInto(name, same)
+        merge = df.alias("updates").mergeInto(name, same)
         merge = merge.whenMatched(newer).updateAll().whenNotMatched().insertAll()
         if self.delete_unmatched:
             merge = merge.whenNotMatchedBySource().delete()
         (merge.withSchemaEvolution() if self.evolve else merge).merge()
 
+    def _updates(self, df: DataFrame) -> DataFrame:
+        """Each key's rows from its newest file; of the newest snapshot only, if keys that it lacks go.
+
+        A first load comes this way too: a backfill holds many snapshots of a key.
+        """
+        updates = checkpoint(df)  # read several times; the landed files are parsed once
+        if self.delete_unmatched:
+            newest = updates.agg(F.max(SNAPSHOT)).first()[0]
+            updates = updates.where(F.col(SNAPSHOT) == newest)
+        return latest_per_key(updates, self.keys)
+
     # Parquet versions: a folder counts once its _SUCCESS marker is there
 
     def versions(self, spark: SparkSession, path: str) -> list[int]:
@@ -269,22 +294,17 @@ class ManagedTable:
     def _write_version(self, df: DataFrame, path: str, name: str) -> None:
         spark = df.sparkSession
         done = self.versions(spark, path)
-        merged = df
+        merged = self._updates(df)
         if done:
-            # the merge reads its updates several times; parse the landed files just once
-            updates = checkpoint(df)
-            if self.delete_unmatched:
-                newest = updates.agg(F.max(SNAPSHOT)).first()[0]
-                updates = updates.where(F.col(SNAPSHOT) == newest)
-            updates = checkpoint(latest_per_key(updates, self.keys))
             current = storage.read_table_files(spark, f"{path}/version={done[-1]}")
-            merged = merge_by_key(current, updates, self.keys, self.delete_unmatched, self.evolve)
+            # the merge reads its updates several times
+            merged = merge_by_key(current, checkpoint(merged), self.keys, self.delete_unmatched, self.evolve)
         fresh = f"{path}/version={done[-1] + 1 if done else 1}"
         writer = with_file_count(merged, self.num_files).write.mode("overwrite")
         if self.partition_columns:
             writer = writer.partitionBy(*self.partition_columns)
         writer.parquet(fresh)
-        spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{fresh}`")
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.{quoted(fresh)}")
         for old in done[:-1]:
             storage.remove(spark, f"{path}/version={old}")
 
@@ -302,7 +322,7 @@ class ManagedTable:
         doomed = storage.rows_of_file(file) if file else F.col(SNAPSHOT) == snapshot
         if self.format != "parquet":
             suffix = file[file.find(SNAPSHOT):] if file else ""
-            condition = f"endswith(meta_source_name, '{suffix}')" if file else f"{SNAPSHOT} = '{snapshot}'"
+            condition = f"endswith(meta_source_name, {sql_text(suffix)})" if file else f"{SNAPSHOT} = {sql_text(snapshot)}"
             spark.sql(f"DELETE FROM {name} WHERE {condition}")
             return
         root = f"{path}/version={self.versions(spark, path)[-1]}" if self.keys else path
@@ -323,13 +343,13 @@ def create_or_widen(
 ) -> None:
     """Register the table over ``path``; on a later call add the columns it lacks."""
     def ddl(fields):
-        return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+        return ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in fields)
 
     if not spark.catalog.tableExists(name):
         parts = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
         columns = "" if source == "delta" else f"({ddl(schema)})"
         parts = "" if source == "delta" else parts
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} {columns} USING {source} {parts} LOCATION '{path}'")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} {columns} USING {source} {parts} LOCATION {sql_text(path)}")
         return
     known = {c.lower() for c in spark.table(name).columns}
     fresh = [f for f in schema if f.name.lower() not in known]

@@ -24,7 +24,6 @@ from quayside.operators.schema import rename_positional
 from quayside.session import checkpoint
 from quayside.sources.frames import Files, Frame
 
-MAX_LAYOUTS = 500
 MAX_NAMED_FILES = 100_000
 _BLANK = r"^[\x00-\x20]*$"
 
@@ -188,10 +187,8 @@ def _few_names(files: DataFrame) -> list[str] | None:
 
 
 def _distinct_layouts(layouts: DataFrame) -> list:
-    """One example file per layout; only these few rows reach the driver."""
-    examples = layouts.groupBy("_layout").agg(F.min(SOURCE_NAME).alias("file")).take(MAX_LAYOUTS + 1)
-    if len(examples) > MAX_LAYOUTS:
-        raise ValueError(f"more than {MAX_LAYOUTS} different headers in one group of files")
+    """One example file per layout: each becomes a frame of its own, so the driver must know them all."""
+    examples = layouts.groupBy("_layout").agg(F.min(SOURCE_NAME).alias("file")).collect()
     return sorted(examples, key=lambda r: r["file"])
 
 

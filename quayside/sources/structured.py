@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -153,16 +153,23 @@ class Jdbc:
     tables: Sequence[JdbcTable]
     driver: str | None = None
     fetch_size: int | None = None
+    user: str | None = None
+    password: str | None = field(default=None, repr=False)
 
     source_type = "jdbc"
 
+    @property
+    def plain_url(self) -> str:
+        """The address without parameters and credentials, which must not reach the rows."""
+        return re.sub(r"//[^/@]*@", "//", re.split(r"[?;]", self.url)[0])
+
     def type_tokens(self) -> list[dict[str, str]]:
         return [{"sourceOffset": "", "type": t.name.replace(" ", "_")} for t in self.tables]
 
     def options(self, table: JdbcTable) -> dict[str, str]:
         """Reader options of one table."""
         is_query = re.search(r"\bselect\b.*\bfrom\b", table.name, re.IGNORECASE | re.DOTALL)
-        options = {"url": self.url, "driver": self.driver, "fetchsize": self.fetch_size}
+        options = {"url": self.url, "driver": self.driver, "fetchsize": self.fetch_size, "user": self.user, "password": self.password}
         if table.partition_column:
             options["dbtable"] = f"({table.name}) q" if is_query else table.name
             options |= {
@@ -178,7 +185,7 @@ class Jdbc:
     def read(self, spark: SparkSession, files: Files | None = None) -> list[Frame]:
         return [
             Frame(
-                spark.read.format("jdbc").options(**self.options(t)).load().withColumn(SOURCE_NAME, F.lit(self.url)),
+                spark.read.format("jdbc").options(**self.options(t)).load().withColumn(SOURCE_NAME, F.lit(self.plain_url)),
                 tokens,
             )
             for t, tokens in zip(self.tables, self.type_tokens())

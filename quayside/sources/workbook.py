@@ -27,7 +27,6 @@ from quayside.operators.schema import clean_columns, rename_positional, union_by
 from quayside.session import checkpoint
 from quayside.sources.frames import Files, Frame
 
-MAX_LAYOUTS = 500
 ROWS_SCHEMA = f"{SOURCE_NAME} string, sheet_order int, sheet string, row int, cells array<string>"
 BATCH_ROWS = 4096
 
@@ -173,9 +172,7 @@ class SheetRange:
         keys = [SOURCE_NAME, "sheet"]
         heads = block.groupBy(*keys).agg(F.min_by("cells", "row").alias("_head"), F.min("row").alias("_head_row"))
         heads = checkpoint(heads)
-        layouts = heads.select("_head").distinct().take(MAX_LAYOUTS + 1)
-        if len(layouts) > MAX_LAYOUTS:
-            raise ValueError(f"more than {MAX_LAYOUTS} different sheet headers in one group of files")
+        layouts = heads.select("_head").distinct().collect()
         frames = []
         for layout in sorted((r["_head"] for r in layouts), key=lambda h: [c or "" for c in h]):
             same = F.to_json(F.struct(F.col("_head"))) == F.to_json(F.struct(_array(layout).alias("_head")))

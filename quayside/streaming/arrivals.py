@@ -12,7 +12,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,7 +52,7 @@ class Arrivals:
     clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc)
 
     def run(self, spark: SparkSession, messages: str, checkpoint_dir: str, files_per_batch: int = 100) -> None:
-        """Handle all messages there are, then stop."""
+        """Handle all messages there are, then delayed ones that are due, then stop."""
         stream = spark.readStream.schema(MESSAGE_SCHEMA).option("maxFilesPerTrigger", files_per_batch).json(messages)
         query = (
             stream.writeStream.foreachBatch(self.process)
@@ -61,6 +61,26 @@ class Arrivals:
             .start()
         )
         query.awaitTermination()
+        self.release(spark)
+
+    def release(self, spark: SparkSession) -> None:
+        """Handle delayed messages that are due, with or without new ones.
+
+        Such a pass has a negative number, one below all before. If it breaks off, the next has a
+        number of its own and finds the same messages due.
+        """
+        now = F.lit(self.clock()).cast("timestamp")
+        history = self.history(spark)
+        if self._due(history, now).isEmpty():
+            return
+        numbers = [int(n.split("=")[1]) for n in storage.child_names(spark, self.outcomes) if n.startswith("batch_id=")]
+        self._handle(small_table(spark, [], MESSAGE_SCHEMA), min(0, *numbers) - 1, history)
+
+    @staticmethod
+    def _due(history: DataFrame, now: Column) -> DataFrame:
+        """Delayed messages whose time has come and that have not come back yet."""
+        waiting = history.where((F.col("outcome") == DELAY) & (F.col("due_at") <= now))
+        return waiting.join(history.select(F.col("message_id").alias("requeue_id")), "requeue_id", "left_anti")
 
     def history(self, spark: SparkSession, before: int | None = None) -> DataFrame:
         """Outcomes so far, optionally only of batches before one."""
@@ -70,8 +90,11 @@ class Arrivals:
         return table if before is None else table.where(F.col("batch_id") < before)
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        spark, now = batch.sparkSession, F.lit(self.clock()).cast("timestamp")
-        earlier = self.history(spark, batch_id)
+        """Handle a micro-batch. One that runs again does not look at what it wrote before."""
+        self._handle(batch, batch_id, self.history(batch.sparkSession, batch_id))
+
+    def _handle(self, batch: DataFrame, batch_id: int, earlier: DataFrame) -> None:
+        now = F.lit(self.clock()).cast("timestamp")
         if self.remember_batches is not None:
             recent = earlier.where(F.col("batch_id") >= batch_id - self.remember_batches)
         else:
@@ -80,9 +103,7 @@ class Arrivals:
         seen = recent.select("message_id")
 
         names = T.StructType.fromDDL(MESSAGE_SCHEMA).names
-        waiting = earlier.where((F.col("outcome") == DELAY) & (F.col("due_at") <= now))
-        released = waiting.join(earlier.select(F.col("message_id").alias("requeue_id")), "requeue_id", "left_anti")
-        back = released.withColumn("message_id", F.col("requeue_id")).withColumn(
+        back = self._due(earlier, now).withColumn("message_id", F.col("requeue_id")).withColumn(
             "delay_count", F.coalesce("delay_count", F.lit(0)) + 1
         )
         todo = batch.select(*names).unionByName(back.select(*names)).dropDuplicates(["message_id"])

@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from quayside import SOURCE_NAME
 from quayside.functions import paths
 from quayside.operators.lineage import Run
-from quayside.plans.load import LoadSpec, load_planned, resolve_specs
+from quayside.plans.load import LoadSpec, delete_loaded, load_planned, resolve_specs
 from quayside.session import checkpoint, small_table
 from quayside.sinks import storage
+from quayside.sinks.audit import FAILED, SUCCESS
 from quayside.sources.frames import Files
 from quayside.sources.manifest import list_files
 
@@ -26,11 +27,14 @@ class MessageLoader:
     it. ``specs`` is asked for at every batch and may raise ``SpecsUnavailable``;
     spec paths are prefixes of ``/<container><subject>``. A message without a spec
     is passed over.
+
+    The audit is the memory of what was loaded: a message with a SUCCESS row is not loaded again, and
+    one that began and did not end has its file's rows deleted first. So a batch that runs again adds nothing.
     """
 
     location: str
     specs: Callable[[], Sequence[LoadSpec]]
-    audit: str | None = None
+    audit: str
     run: Callable[[], Run] = Run.now
 
     def __call__(self, messages: DataFrame) -> DataFrame | None:
@@ -44,7 +48,17 @@ class MessageLoader:
             paths.extension(F.col("subject")).alias("extension"),
             F.concat(F.lit("/"), "container", "subject").alias("subject"),
         )
-        known = checkpoint(resolve_specs(files, specs).where("spec is not null"))
+        known = resolve_specs(files, specs).where("spec is not null")
+        begun = None
+        if storage.exists(spark, self.audit):
+            states = spark.read.parquet(self.audit).select("ingest_id", "status")
+            states = states.join(known.select(F.col("message_id").alias("ingest_id")).distinct(), "ingest_id", "left_semi")
+            ended = F.bool_or(F.col("status") == SUCCESS).alias("loaded"), F.bool_or(F.col("status") == FAILED).alias("failed")
+            states = checkpoint(states.groupBy("ingest_id").agg(*ended))
+            loaded = states.where("loaded").select(F.col("ingest_id").alias("message_id"))
+            known = known.join(loaded, "message_id", "left_anti")
+            begun = states.where("not loaded and not failed").select("ingest_id")
+        known = checkpoint(known)
 
         # one entry per message of this micro-batch
         asked = [(r["path"], storage.qualified(spark, r["path"])) for r in known.select("path").distinct().collect()]
@@ -67,10 +81,20 @@ class MessageLoader:
                 F.col("first.message_id").alias("ingest_id"),
                 F.col("first.correlation_id").alias("correlation_id"),
             )
-            report = load_planned(spark, specs, checkpoint(planned), self.run(), self.audit)
+            planned, run = checkpoint(planned), self.run()
+            if begun is not None:
+                self._undo(planned.join(begun, "ingest_id", "left_semi"), specs, run)
+            report = load_planned(spark, specs, planned, run, self.audit)
             back = {q: p for p, q in asked}
             failed += [(back[q], error) for q, error in report.failures]
         if not failed:
             return None
         errors = small_table(spark, failed, "path string, error string")
         return known.join(errors, "path").select("message_id", "error")
+
+    @staticmethod
+    def _undo(planned: DataFrame, specs: Sequence[LoadSpec], run: Run) -> None:
+        """Delete what a load that did not end may have added. Targets that replace need no delete."""
+        adding = {s.name: s for s in specs if s.target.save_mode == "append"}
+        files = planned.where(F.col("spec").isin(list(adding)) & paths.snapshot_or_null(F.col("path")).isNotNull())
+        delete_loaded(planned.sparkSession, adding, files.select("path", "spec", F.col("path").alias("request"), F.lit(True).alias("as_file")), run)

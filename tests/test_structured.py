@@ -86,3 +86,11 @@ def test_jdbc_options():
     assert (split["partitionColumn"], split["lowerBound"], split["upperBound"], split["numPartitions"]) == ("id", "0", "100", "8")
     by_query = source.options(JdbcTable("SELECT id FROM t", "id", 0, 9, 2))
     assert by_query["dbtable"] == "(SELECT id FROM t) q"
+
+
+def test_credentials_stay_out_of_the_rows():
+    from quayside.sources.structured import Jdbc, JdbcTable
+
+    source = Jdbc("erp", "jdbc:db://me:secret@host:1/base?password=secret;x=1", [JdbcTable("t")], user="me", password="secret")
+    assert source.plain_url == "jdbc:db://host:1/base" and "secret" not in repr(source).replace(source.url, "")
+    assert source.options(source.tables[0])["password"] == "secret"

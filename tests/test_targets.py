@@ -154,3 +154,35 @@ def test_delete_with_odd_partition_values(spark, rows, tmp_path, name):
     table = spark.table(f"qs_test.{name}")
     assert ids(table) == [i for i in ids(rows) if not i.startswith("02")]
     assert {r["kind"] for r in table.collect()} == {"a b:%[x]", "007"}
+
+
+@pytest.mark.parametrize("mirror", [False, True])
+def test_first_keyed_load_keeps_the_newest_row_of_each_key(spark, tmp_path, name, mirror):
+    old = [(k, "old", f"/in/snapshot_date={S1}/a.csv", S1) for k in (1, 2, 3)]
+    new = [(k, "new", f"/in/snapshot_date={S2}/a.csv", S2) for k in (1, 2)]
+    rows = spark.createDataFrame(old + new, "k int, v string, meta_source_name string, snapshot_date string")
+    target = ManagedTable("qs_test", name, str(tmp_path / "t"), keys=["k"], delete_unmatched=mirror)
+    target.write(rows, {})
+    assert values(spark.table(target.name({})), "k", "v") == [(1, "new"), (2, "new")] + [(3, "old")] * (not mirror)
+
+
+@pytest.mark.parametrize("kind", ["files", "managed"])
+def test_ignore_leaves_out_what_was_there_for_all_frames(spark, rows, tmp_path, name, kind):
+    from quayside.plans.load import LoadReport
+
+    make = lambda mode: SnapshotFiles(str(tmp_path / "t"), mode) if kind == "files" else ManagedTable("qs_test", name, str(tmp_path / "t"), mode)
+    make("append").write(rows.where(f"snapshot_date = '{S1}'"), {})
+    report, target = LoadReport(rows), make("ignore")
+    for half in ("a", "b"):
+        report.write(target, rows.where(f"substring(id, 3, 1) = '{half}'"), {})
+    want = rows if kind == "files" else rows.where(f"snapshot_date = '{S1}'")
+    assert ids(storage.read_table_files(spark, target.path({}))) == ids(want)
+
+
+def test_folders_may_hold_quotes(spark, rows, tmp_path, name):
+    target = HistoryTable(str(tmp_path / "it's"), database="qs_test", table=name)
+    target.write(rows, {})
+    assert spark.table(target.names({})[0]).count() == 4
+    keyed = ManagedTable("qs_test", name + "k", str(tmp_path / "it's `k`"), keys=["id"])
+    keyed.write(rows, {})
+    assert spark.table(keyed.name({})).count() == rows.count()
