@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from quayside.functions.text import sha1_base36
 from quayside.operators.flatten import flatten_all
 from quayside.operators.numbering import exclusive_running_sum
 from quayside.operators.routing import match_prefix
@@ -81,3 +82,7 @@ def test_small_updates_do_not_shuffle_the_table(spark):
     text = plan(merged)
     assert "SortMergeJoin" not in text and "Cartesian" not in text and "NestedLoop" not in text
     assert text.count("Scan parquet") >= 2 and "ReadSchema: struct<o_orderkey:bigint>" in text
+
+
+def test_lineage_ids_need_no_python(spark):
+    assert "Python" not in plan(spark.range(3).select(sha1_base36(F.col("id").cast("string"))))
