@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.session import scratch_path
 
 #: Leaders that a bucket has in each round but the first.
-LEADERS = 16
+LEADERS = 64
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
@@ -20,29 +20,44 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def name(a: Column | str, b: Column | str) -> Column:
+    """A node of two numbers as text."""
+    return F.concat_ws(" ", F.hex(a), F.hex(b))
+
+
 def near_pairs(members: DataFrame, near: Callable[[DataFrame], DataFrame], first: int = 1) -> DataFrame:
     """Pairs (k1, k2, l1, l2) of near members, from rows (bucket, k1, k2): a member has two numbers.
 
-    Each bucket has leaders, the least members, ``first`` of them in the first round and up to ``LEADERS``
-    in the next. All its members are compared with its leaders; ``near`` keeps the pairs that are near. Members that are no
-    leader and near to none choose leaders among themselves, until there are none. So a round has as many
-    pairs as members, times a constant, and a bucket is never gathered in one task.
+    Each bucket has leaders: ``first`` of them in the first round and up to ``LEADERS`` in the next. Those lead that meet most others in
+    all their buckets, so the text that many copies were made from leads all of them. All members of a bucket are compared with its leaders, unless
+    they are in one group already; ``near`` keeps the pairs that are near. After the first round members of a bucket's largest
+    group do not lead, and a bucket is done when all others have led it: of any two members, they are in one group or one has
+    led. So a round has as many pairs as members, times a constant, and a bucket is never gathered in one task.
     """
-    part = F.pmod(F.col("k2"), F.lit(first))
-    waiting, found = members, []
+    from quayside.llm.components import components
+
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    joined = members.join(sizes, "bucket")
+    degrees = joined.groupBy("k1", "k2").agg(F.sum("n").alias("degree"))
+    rows = joined.drop("n").join(degrees, ["k1", "k2"]).withColumns({"group": name("k1", "k2"), "led": F.lit(False), "main": F.lit("")})
+    rows, parts, found = written(rows, "members"), first, None
+    may_lead = ~F.col("led") & (F.col("group") != F.col("main"))
     while True:
-        chosen = waiting.withColumn("part", part)
-        least = chosen.groupBy("bucket", "part").agg(F.min("k1").alias("k1"))
-        leaders = written(chosen.join(least, ["bucket", "part", "k1"]).select("bucket", F.col("k1").alias("l1"), F.col("k2").alias("l2")), "leaders")
-        met = members.join(leaders, "bucket").where("k1 <> l1 or k2 <> l2")
-        found.append(written(near(met.select("k1", "k2", "l1", "l2").distinct()), "near"))
-        settled = met.join(found[-1], ["k1", "k2", "l1", "l2"]).select("bucket", "k1", "k2")
-        settled = settled.unionByName(leaders.select("bucket", F.col("l1").alias("k1"), F.col("l2").alias("k2"))).distinct()
-        waiting = written(waiting.join(settled, ["bucket", "k1", "k2"], "left_anti"), "waiting")
-        if waiting.isEmpty():
-            break
-        part = F.pmod(F.col("k2"), F.lit(LEADERS))
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out.distinct()
+        best = rows.where(may_lead).groupBy("bucket", F.pmod(F.col("k2"), F.lit(parts)).alias("part")).agg(F.max(F.struct("degree", "k1", "k2", "group")).alias("x"))
+        leaders = written(best.select("bucket", F.col("x.k1").alias("l1"), F.col("x.k2").alias("l2"), F.col("x.group").alias("leader_group")), "leaders")
+        met = rows.join(leaders, "bucket").where(F.col("group") != F.col("leader_group"))
+        pairs = written(near(met.select("k1", "k2", "l1", "l2").distinct()), "near")
+        found = pairs if found is None else found.unionByName(pairs)
+        groups = components(found.select(name("k1", "k2").alias("a"), name("l1", "l2").alias("b")), "a", "b")
+        done = leaders.select("bucket", F.col("l1").alias("k1"), F.col("l2").alias("k2"), F.lit(True).alias("leads"))
+        rows = rows.withColumn("node", name("k1", "k2")).join(groups, "node", "left").withColumn("group", F.coalesce("component", "node")).drop("node", "component", "main")
+        rows = rows.join(done, ["bucket", "k1", "k2"], "left").withColumn("led", F.col("led") | F.coalesce("leads", F.lit(False))).drop("leads")
+        rows = written(rows, "grouped")
+        shares = rows.groupBy("bucket", "group").agg(F.count("*").alias("n"), F.count_if(~F.col("led")).alias("new"))
+        largest = shares.groupBy("bucket").agg(F.max(F.struct("n", "new", "group")).alias("x"), F.sum("new").alias("new"))
+        # some member outside the largest group has not led
+        largest = largest.where("new > x.new").select("bucket", F.col("x.group").alias("main"))
+        rows = written(rows.join(largest, "bucket"), "waiting")
+        if rows.isEmpty():
+            return found.distinct()
+        parts = LEADERS
