@@ -43,7 +43,7 @@ def near_pairs(members: DataFrame, near: Callable[[DataFrame], DataFrame], first
     rows, parts, found = written(rows, "members"), first, None
     may_lead = ~F.col("led") & (F.col("group") != F.col("main"))
     while True:
-        best = rows.where(may_lead).groupBy("bucket", F.pmod(F.col("k2"), F.lit(parts)).alias("part")).agg(F.max(F.struct("degree", "k1", "k2", "group")).alias("x"))
+        best = rows.where(may_lead).groupBy("bucket", F.pmod(F.xxhash64("k1", "k2"), F.lit(parts)).alias("part")).agg(F.max(F.struct("degree", "k1", "k2", "group")).alias("x"))
         leaders = written(best.select("bucket", F.col("x.k1").alias("l1"), F.col("x.k2").alias("l2"), F.col("x.group").alias("leader_group")), "leaders")
         met = rows.join(leaders, "bucket").where(F.col("group") != F.col("leader_group"))
         pairs = written(near(met.select("k1", "k2", "l1", "l2").distinct()), "near")
