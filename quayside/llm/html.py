@@ -89,7 +89,7 @@ class Element:
             name, value = name.lower(), "".join(values)
             if name == "role" and value.strip().lower() in ROLES or name == "aria-hidden" and value.strip().lower() == "true":
                 return True
-            if name in ("class", "id") and any(part.lower() in NAMES for part in NAME_PART.findall(value)):
+            if name in ("class", "id") and any(part.lower() in NAMES for part in (*NAME_PART.findall(value), *re.split("[^A-Za-z]+", value))):
                 return True
             if name == "style" and "display:none" in value.replace(" ", "").lower():
                 return True
