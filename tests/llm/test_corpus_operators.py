@@ -121,6 +121,17 @@ def test_tables_share_a_bucket_within_the_distance(spark):
     assert {r.k1 for r in a.join(b, ["bucket", "k1"]).collect()} == set(range(40))
 
 
+def test_lines_of_one_simhash_are_linked_by_their_edits_alone(spark):
+    """All lines have one SimHash, so they share all buckets; each is near one other line and far from the rest."""
+    base = prose(1, 60)
+    orders = [base, base[::-1], *(random.Random(100 + n).sample(base, 60) for n in range(20))]
+    # two words that change places leave the SimHash as it is
+    rows = [(10 * n, " ".join(words)) for n, words in enumerate(orders)]
+    rows += [(10 * n + 1, " ".join([words[1], words[0], *words[2:]])) for n, words in enumerate(orders)]
+    got = {r.doc_id: r.text for r in lines.dedup_lines(documents(spark, rows)).collect()}
+    assert got == {i: "" if i % 10 else t for i, t in rows}
+
+
 def test_line_rows_in_all_cases(spark):
     rows = [(1, "a b\nc"), (1, "a b\nc"), (None, "a b\nd"), (2, None), (3, "a b\nd\n-")]
     docs = documents(spark, rows).drop("n_chars")
