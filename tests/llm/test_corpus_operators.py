@@ -12,6 +12,7 @@ import pytest
 from edge import LONG, documents, texts
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from quayside.llm import buckets, components, lines, neardup, packing, scoring, substrings
 
@@ -132,6 +133,50 @@ def test_lines_of_one_simhash_are_linked_by_their_edits_alone(spark):
     assert got == {i: "" if i % 10 else t for i, t in rows}
 
 
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a):
+        last, row[0] = row[0], i + 1
+        for j, y in enumerate(b):
+            last, row[j + 1] = row[j + 1], min(row[j] + 1, row[j + 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_recall_of_near_lines_is_near_one(spark):
+    """Links with the production defaults against the edit similarity of all pairs, on real lines of up to 120 characters."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("doc_id % 2 = 0")
+    found = lines._occurrences(docs, "text", "doc_id").where("char_length(line) <= 120").cache()
+    texts_of = {r.k1: r.line for r in found.select("k1", "line").distinct().collect()}
+    order = sorted(texts_of, key=lambda k: len(texts_of[k]))
+    grams = {k: Counter(texts_of[k][i : i + 3] for i in range(len(texts_of[k]) - 2)) for k in order}
+    letters = {k: Counter(texts_of[k]) for k in order}
+    want = set()
+    for n, a in enumerate(order):
+        for b in order[n + 1 :]:
+            most = int(len(texts_of[b]) * 0.2 + 1e-9)
+            if len(texts_of[b]) - len(texts_of[a]) > most:
+                break
+            # an edit takes three runs of three letters and one letter at most
+            if (letters[b] - letters[a]).total() <= most and (grams[b] - grams[a]).total() <= 3 * most and edit_distance(texts_of[a], texts_of[b]) <= most:
+                want.add(frozenset((a, b)))
+    nodes = lines.simhash(found.select("id", "d1", "d2", "at", "k1", F.explode(F.split("line", " ")).alias("word")), ["id", "d1", "d2", "at", "k1"]).select("k1", "k2").distinct()
+    pairs = lines._links(found, nodes, lines.SIMILARITY, lines.DISTANCE, lines.BLOCKS)
+    group = {r.node.split()[0]: r.component for r in components.components(pairs.selectExpr("hex(k1) as a", "hex(l1) as b"), "a", "b").collect()}
+    hexed = lambda k: f"{k % 2**64:X}"
+    linked = sum(len({group.get(hexed(k), hexed(k)) for k in pair}) == 1 for pair in want)
+    print(len(texts_of), "lines", len(want), "near pairs", linked, "linked")
+    assert len(want) >= 20 and linked >= 0.95 * len(want)
+
+
+def test_one_word_of_ten_makes_no_other_line(spark):
+    rows = []
+    for n in range(60):
+        words = prose(1000 + n, 10 + n % 30)
+        rows += [(2 * n, " ".join(words)), (2 * n + 1, " ".join([*words[:4], "bat", *words[5:]]))]
+    got = {r.doc_id: r.text for r in lines.dedup_lines(documents(spark, rows)).collect()}
+    assert all(got[2 * n] == rows[2 * n][1] for n in range(60)) and sum(got[2 * n + 1] == "" for n in range(60)) >= 59
+
+
 def test_line_rows_in_all_cases(spark):
     rows = [(1, "a b\nc"), (1, "a b\nc"), (None, "a b\nd"), (2, None), (3, "a b\nd\n-")]
     docs = documents(spark, rows).drop("n_chars")
