@@ -288,6 +288,21 @@ def test_near_documents_share_a_class(spark):
     assert neardup.groups(docs.limit(0)).count() == neardup.keep_one(docs.limit(0)).count() == 0
 
 
+def test_a_large_group_has_the_threshold_of_a_small_one(spark):
+    """A third of the rows are copies of one text, and edited copies with a plain similarity of 0.81 to 0.88 to it."""
+    base = prose(1, 300)
+    edited = {size: [*base[: 8 * size], *prose(500 + size, size), *base[9 * size :]] for size in (15, 19, 22, 25, 27)}
+    shingles = lambda words: {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+    plain = {size: len(shingles(base) & shingles(words)) / len(shingles(base) | shingles(words)) for size, words in edited.items()}
+    assert all(0.8 < p < 0.89 for p in plain.values())
+    rows = [(i, " ".join(base)) for i in range(25)] + [(100 + size, " ".join(words)) for size, words in edited.items()]
+    rows += [(1000 + i, " ".join(prose(2000 + i, 60))) for i in range(60)]
+    rows += [(2000, " ".join([*prose(9, 200), *prose(10, 50)])), (2001, " ".join([*prose(9, 200), *prose(11, 50)]))]
+    got = {r.doc_id: (r.class_id, r.class_size) for r in neardup.groups(documents(spark, rows)).collect()}
+    assert {got[i] for i, _ in rows if i < 1000} == {(0, 30)}
+    assert all(got[i] == (i, 1) for i, _ in rows if i >= 1000)
+
+
 def test_samples_agree_as_often_as_sets_are_alike():
     a, b = " ".join(prose(1, 400)), " ".join(prose(1, 400)[:300] + prose(2, 100))
     idf = neardup.Weights(10, np.zeros(0, np.uint64), np.zeros(0), neardup.COMMON)
