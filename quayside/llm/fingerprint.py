@@ -4,6 +4,9 @@ A shingle is five words in a row (all words of a shorter text). As the threshold
 documents, a fingerprint grows with its document, the fingerprint of a union is the union of the
 fingerprints, and the share of one fingerprint inside another estimates how much of one document
 the other contains, however unequal their lengths.
+
+The query has a floor: a text of at most ``FEW`` shingles is written with all its hashes, and compared by all hashes of both texts. Those
+below the threshold are its scaled sketch, as of any text.
 """
 
 from __future__ import annotations
@@ -26,6 +29,8 @@ from quayside.llm.words import runs, slices, whole_runs, words_of
 SHINGLE = 5
 #: The part of all shingles that is kept.
 FRACTION = 0.25
+#: Texts of at most so many shingles are compared by all of them; a sketch of more is empty with a probability of 1e-8.
+FEW = 64
 #: Bits of a hash that a fingerprint holds.
 BITS = 48
 
@@ -64,6 +69,24 @@ def overlap(a: np.ndarray, b: np.ndarray) -> float:
     return len(np.intersect1d(a, b, assume_unique=True)) / min(len(a), len(b))
 
 
+def scaled(whole: np.ndarray, fraction: float = FRACTION) -> np.ndarray:
+    """The hashes of a text, in order, that are below the threshold."""
+    return whole[: np.searchsorted(whole, np.uint64(int(fraction * 2**BITS)))]
+
+
+def floored(whole: np.ndarray) -> np.ndarray:
+    """All hashes of a text of few shingles, the scaled sketch of another."""
+    return whole if len(whole) <= FEW else scaled(whole)
+
+
+def nearness(a: np.ndarray, b: np.ndarray) -> float:
+    """The overlap of two texts, given all their hashes: by all of them if one has few shingles. Only texts without words are empty."""
+    parts = scaled(a), scaled(b)
+    if min(len(a), len(b)) <= FEW or not all(map(len, parts)):
+        return overlap(a, b)
+    return overlap(*parts)
+
+
 def fingerprint(docs: DataFrame, text: str = "text", fraction: float = FRACTION, to: str = "sketch") -> DataFrame:
     """Add the sketch of each text, an array of numbers in order.
 
@@ -135,15 +158,15 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not pairs:
                 continue
             edited = [texts[i][: len(texts[i]) - len(texts[i]) // 3] + texts[i + 1][: len(texts[i]) // 3] for i in pairs]
-            own, changed = sketches(pa.array(texts, pa.large_string())), sketches(pa.array(edited, pa.large_string()))
+            own, changed = sketches(pa.array(texts, pa.large_string()), 1.0), sketches(pa.array(edited, pa.large_string()), 1.0)
             columns = [
                 [rows[i][0] for i in pairs],
                 [len(texts[i]) for i in pairs],
                 [hashlib.sha256(t.encode()).hexdigest() for t in edited],
-                [written(own[i]) for i in pairs],
-                [written(s) for s in changed],
-                [overlap(own[i], s) for i, s in zip(pairs, changed)],
-                [overlap(own[i], own[i + 1]) for i in pairs],
+                [written(floored(own[i])) for i in pairs],
+                [written(floored(s)) for s in changed],
+                [nearness(own[i], s) for i, s in zip(pairs, changed)],
+                [nearness(own[i], own[i + 1]) for i in pairs],
             ]
             kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], [f.split()[0] for f in SCHEMA.split(", ")])

@@ -110,6 +110,19 @@ def test_fingerprints_keep_their_share(spark):
     assert fingerprint.fingerprint(docs.limit(0)).count() == 0
 
 
+def test_short_texts_are_alike_only_if_they_share_words():
+    short = [f"word{n} other{n}" for n in range(40)]
+    rows = [*short, "same text", "same text", "", "!!", "lone words", " ".join(LONG.split()[:8]), LONG]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(rows))), pa.array(rows), pa.array([0] * (len(rows) - 1) + [1])], ["doc_id", "text", "copy"])
+    made = [r for b in fingerprint._compare(iter([batch])) for r in b.to_pylist()]
+    near = {r["doc_id"]: r["near_next"] for r in made}
+    assert all(near[n] == 0.0 for n in range(40)) and near[40] == near[42] == 1.0 and near[41] == near[43] == near[44] == 0.0
+    assert near[45] == 1.0  # the words that a long text begins with, all of them in it
+    assert all((r["fingerprint"] == "") == (r["doc_id"] in (42, 43)) for r in made)
+    whole = fingerprint.sketches(pa.array([LONG]), 1.0)[0]
+    assert fingerprint.floored(whole).tolist() == fingerprint.sketches(pa.array([LONG]))[0].tolist()
+
+
 @pytest.mark.parametrize("blocks", [1, 3, 7])
 def test_edited_texts_take_from_the_next_document(spark, blocks):
     rows = [(5, "abcdefghi"), (9, "xyz" * 10), (2, None), (7, "é" * 7), (7, "same"), (1, ""), (None, "last one of all")]
