@@ -1,0 +1,147 @@
+"""Legacy archives and what they are turned into."""
+
+import base64
+import gzip
+import hashlib
+import re
+from datetime import datetime, timezone
+
+import pytest
+from edge import texts
+from pyspark.sql import functions as F
+
+from quayside.llm import archive
+
+AT = datetime(2024, 1, 1, tzinfo=timezone.utc)
+
+
+def digest(data):
+    return base64.b32encode(hashlib.sha1(data).digest()).decode()
+
+
+def brute(rows):
+    """Rows of (page_id, html): page_id, bytes, digest, type, response."""
+    payloads = [(i, (h or "").encode()) for i, h in rows]
+    kept = {p: max(i for i, q in payloads if q == p) for _, p in payloads}
+    return sorted(((i, len(p), digest(p), "response" if kept[p] == i else "revisit", kept[p] if kept[p] != i else None) for i, p in payloads), key=repr)
+
+
+def run(spark, folder, rows):
+    spark.createDataFrame(rows, "page_id bigint, url string, html string, payload string, at int").write.parquet(f"{folder}/pages.parquet")
+    return texts(archive.op11_warc(spark, str(folder)), "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+LONG = "<p>ü</p>\r\n\r\n" * 50_000
+HTML = [None, "", "a", "a\n", "a\r\n\r\n", "\n", "WARC/1.1\r\n\r\nx", "http://x 0.0.0.0 20240101000000 text/html 3\nabc", LONG, "é\x00\x1a "]
+
+
+def test_every_payload_comes_back(spark, tmp_path):
+    rows = [(n, f"http://h/{n % 3} x", HTML[n % len(HTML)], "clash", n) for n in range(40)]
+    rows += [(100 + n, [None, "", "a\tb\nc", "filedesc://f"][n % 4], "same" if n % 3 else f"own {n}", "clash", n) for n in range(30)]
+    assert run(spark, tmp_path, rows) == brute([(r[0], r[2]) for r in rows])
+
+
+def test_empty_table(spark, tmp_path):
+    assert run(spark, tmp_path, []) == []
+
+
+def test_null_and_repeated_ids(spark, tmp_path):
+    got = run(spark, tmp_path, [(None, "u", "a", "", 0), (7, "u", "b", "", 0), (7, "u", "b", "", 0), (None, "u", "b", "", 0), (3, None, None, "", 0)])
+    kinds = sorted((repr(i), n, kind, refers) for i, n, _, kind, refers in got)
+    assert kinds == [("3", 0, "response", None), ("7", 1, "response", None), ("7", 1, "revisit", 7), ("None", 1, "response", None), ("None", 1, "revisit", 7)]
+
+
+def test_a_common_payload_without_broadcast(spark, tmp_path, monkeypatch):
+    from quayside.operators import lookup
+
+    monkeypatch.setattr(lookup.lookup, "__defaults__", (None, None, -1))
+    rows = [(n, "u", "same" if n % 3 == 0 else f"page {n % 50}", "", 0) for n in range(200)]
+    assert run(spark, tmp_path, rows) == brute([(r[0], r[2]) for r in rows])
+
+
+V1 = b"URL IP-address Archive-date Content-type Archive-length\n"
+V2 = b"URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length\n"
+
+
+def version_record(version, extra=b""):
+    about = b"%d 0 Origin\n" % version + (V1 if version == 1 else V2) + extra
+    rest = b"text/plain" if version == 1 else b"text/plain 200 - - 0 x.arc"
+    return b"filedesc://x.arc 0.0.0.0 19990101000000 %s %d\n" % (rest, len(about)) + about + b"\n"
+
+
+HTTP = b"HTTP/1.0 404 Not Found\nServer: x\nX-Two: a:b\n\n\x00\xff\xfe body\n\nmore"
+ARC1 = (
+    version_record(1)
+    + b"http://a.example/with space 10.0.0.1 20010203040506 text/html %d\n" % len(HTTP) + HTTP + b"\n"
+    + b"dns:a.example 10.0.0.2 200102030405 text/dns 3\nabc\n"
+    + b"garbage\nmore garbage\n"
+    + b"http://b.example/ 10.0.0.3 20019999999999 no-type 0\n\n"
+    + b"http://c.example/ 10.0.0.3 20010203040506 text/html 100\ncut"
+)
+ARC2 = version_record(2) + b"http://d.example/ 1.2.3.4 20020202020202 text/html 302 abc http://e/ 77 x.arc 5\nhello\n"
+
+
+def test_header_lines_of_both_versions(spark, tmp_path):
+    (tmp_path / "one.arc.gz").write_bytes(gzip.compress(ARC1))
+    # a member per record, and no compression
+    (tmp_path / "two.arc.gz").write_bytes(b"".join(gzip.compress(part) for part in (ARC2[:50], ARC2[50:])))
+    (tmp_path / "three.arc").write_bytes(ARC2)
+    records = archive.read_arc(spark, str(tmp_path))
+    rows = {(r.file.rsplit("/", 1)[1], r.url or r.at): r for r in records.collect()}
+    page = rows["one.arc.gz", "http://a.example/with space"]
+    assert (page.ip, page.date, page.declared, page.version, bytes(page.block)) == ("10.0.0.1", "20010203040506", len(HTTP), 1, HTTP)
+    assert page.http == {"server": "x", "x-two": "a:b"} and page.payload_digest == digest(HTTP[HTTP.index(b"\x00") :]) and page.block_digest == digest(HTTP)
+    assert sorted(str(r.error) for k, r in rows.items() if k[0] == "one.arc.gz") == ["None"] * 4 + ["cut short", "no header line"]
+    assert rows["one.arc.gz", ARC1.index(b"garbage")].error == "no header line"
+    for file in ("two.arc.gz", "three.arc"):
+        second = rows[file, "http://d.example/"]
+        assert (second.status, second.checksum, second.location, second.version, second.archive_date) == ("302", "abc", "http://e/", 2, "19990101000000")
+    made = {(r.target, r.record_id): r for r in archive.convert(records).collect()}
+    kinds = sorted((t or "", r.type, r.warc_date, r.content_type) for (t, _), r in made.items())
+    assert kinds == [
+        ("", "warcinfo", "1999-01-01T00:00:00Z", "text/plain"), ("", "warcinfo", "1999-01-01T00:00:00Z", "text/plain"), ("", "warcinfo", "1999-01-01T00:00:00Z", "text/plain"),
+        ("dns:a.example", "resource", "2001-02-03T04:05:00Z", "text/dns"),
+        ("http://a.example/with space", "response", "2001-02-03T04:05:06Z", "application/http; msgtype=response"),
+        ("http://b.example/", "resource", "1999-01-01T00:00:00Z", "no-type"),
+        ("http://d.example/", "resource", "2002-02-02T02:02:02Z", "text/html"), ("http://d.example/", "resource", "2002-02-02T02:02:02Z", "text/html"),
+    ]
+    assert all(re.fullmatch(r"<urn:uuid:[0-9a-f]{8}-[0-9a-f]{4}-5[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}>", i) for _, i in made)
+    assert len({i for _, i in made}) == 8
+
+
+def test_warc_files_hold_what_was_archived(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "one.arc.gz").write_bytes(gzip.compress(ARC1))
+    (tmp_path / "in" / "two.arc.gz").write_bytes(gzip.compress(ARC2 + ARC2[len(version_record(2)) :]))
+    records = archive.convert(archive.read_arc(spark, str(tmp_path / "in")))
+    shared = archive.shared_payloads(records, F.lit(0))
+    archive.write_warc(archive.revisit(records, shared), str(tmp_path / "out"), AT)
+    found = archive.read_warc(spark, str(tmp_path / "out")).collect()
+    assert {r.error for r in found} == {None}
+    by_type = {}
+    for r in found:
+        by_type.setdefault(r.fields["warc-type"], []).append(r)
+    assert {k: len(v) for k, v in by_type.items()} == {"response": 1, "resource": 3, "revisit": 1, "warcinfo": 2 + len(list((tmp_path / "out").glob("*.gz")))}
+    assert bytes(by_type["response"][0].block) == HTTP
+    (again,) = by_type["revisit"]
+    (kept,) = [r for r in by_type["resource"] if r.fields["warc-target-uri"] == "http://d.example/"]
+    assert again.fields["warc-refers-to"] == kept.fields["warc-record-id"] and again.fields["warc-payload-digest"] == "sha1:" + digest(b"hello")
+    assert bytes(kept.block) == b"hello" and again.block == b"" and again.fields["warc-profile"] == archive.SAME_PAYLOAD
+
+
+def test_small_payloads_stay_responses(spark):
+    rows = spark.createDataFrame([("response", f"r{n}", n, d) for n, d in ((3, "x"), (3, "x"), (4, "y"), (4, "y"))], "type string, record_id string, payload_length bigint, payload_digest string")
+    rows = rows.withColumn("record_id", F.concat("record_id", F.monotonically_increasing_id().cast("string"))).withColumn("target", F.lit("t")).withColumn("warc_date", F.lit("d"))
+    assert [r.payload for r in archive.shared_payloads(rows, F.lit(1), least=4).collect()] == ["y:4"]
+
+
+@pytest.mark.parametrize("bad, error", [(b"Content-Length: 9", "cut short"), (b"Content-Length: x", "no length"), (b"WARC-Block-Digest: sha1:A\r\nContent-Length: 3", "block digest differs")])
+def test_bad_records_are_told(spark, tmp_path, bad, error):
+    (tmp_path / "a.warc.gz").write_bytes(gzip.compress(b"WARC/1.0\r\nWARC-Type: resource\r\n" + bad + b"\r\n\r\nabc\r\n\r\n"))
+    assert error in {r.error for r in archive.read_warc(spark, str(tmp_path)).collect()}
+
+
+def test_a_split_file_is_refused(spark, tmp_path, small_splits):
+    (tmp_path / "a.arc").write_bytes(version_record(1) + b"http://a/ 0.0.0.0 20010203040506 text/html 9000\n" + b"x\n" * 4500)
+    with pytest.raises(Exception, match="cut into splits"):
+        archive.read_arc(spark, str(tmp_path)).collect()
