@@ -422,7 +422,7 @@ ORACLE = """
 with p as (select page_id, coalesce(html, '') as h from pages),
      d as (select *, octet_length(encode(h)) as payload_bytes, sha1(h) as x, max(page_id) over (partition by h) as kept from p)
 select page_id, payload_bytes,
-       array_to_string(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
            cast((('0x' || substr(x, cast(i // 4 * 5 + 1 as bigint), 5))::bigint >> cast(15 - i % 4 * 5 as bigint)) & 31 as bigint) + 1, 1)), '') as payload_digest,
        case when page_id = kept then 'response' else 'revisit' end as record_type,
        case when page_id <> kept then kept end as refers_to
