@@ -17,7 +17,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 
 def test_all_are_registered():
-    assert {name.split("_")[0] for name in registry.QUERIES} == {*(f"op{n}" for n in range(1, 11)), "pipeline"}
+    assert {name.split("_")[0] for name in registry.QUERIES} == {*(f"op{n}" for n in range(1, 14)), "pipeline"}
     assert set(registry.QUERIES) <= set(entry.queries()) and set(registry.ORACLES) <= set(entry.oracle_sql())
 
 
