@@ -37,6 +37,8 @@ WARC_VERSION = "WARC/1.1"
 RESPONSE, RESOURCE, REVISIT, WARCINFO = "response", "resource", "revisit", "warcinfo"
 SAME_PAYLOAD = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 CRLF = "\r\n"
+#: How archives are compressed: the fastest level takes a third of the time for an eighth more bytes.
+PACKED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
 
 #: What a date gives that is no date, where the archive has none either.
 NO_DATE = "1970-01-01T00:00:00Z"
@@ -87,7 +89,7 @@ def write_arc(pages: DataFrame, folder: str, version: int, at: datetime, url: st
         about_fields += ["200", "-", "-", "0", "quayside.arc"]
     first = " ".join([*about_fields, str(len(about))]) + "\n" + about + "\n"
     record = F.concat(F.concat_ws(" ", *fields, _bytes(block)), F.lit("\n"), block)
-    pages.select(F.concat(F.when(_first_of_file(), F.lit(first)).otherwise(""), record).alias("value")).write.text(folder, compression="gzip", lineSep="\n")
+    pages.select(F.concat(F.when(_first_of_file(), F.lit(first)).otherwise(""), record).alias("value")).write.options(**PACKED).text(folder, lineSep="\n")
 
 
 # -- reading both
@@ -415,7 +417,7 @@ def write_warc(records: DataFrame, folder: str, at: datetime) -> None:
     lines = [WARC_VERSION, f"WARC-Type: {WARCINFO}", f"WARC-Date: {date}", "Content-Type: application/warc-fields", f"Content-Length: {len(about_text)}"]
     identity = F.concat(F.lit(f"{CRLF}WARC-Record-ID: "), _uuid(F.concat(F.lit("about "), F.col("record_id"))), F.lit(CRLF * 2 + about_text + CRLF * 2))
     first = F.when(_first_of_file(), F.concat(F.lit(CRLF.join(lines)), identity)).otherwise("")
-    records.select(F.concat(first, head, F.lit(CRLF * 2), block).alias("value")).write.text(folder, compression="gzip", lineSep=CRLF * 2)
+    records.select(F.concat(first, head, F.lit(CRLF * 2), block).alias("value")).write.options(**PACKED).text(folder, lineSep=CRLF * 2)
 
 
 ORACLE = """
