@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,10 +78,8 @@ def classify_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classified.select("message_id", "correlation_id", "outcome", "environment", "container")
 
 
-@query(f"""
-    select outcome, environment, count(*) as messages from ({_CLASSIFIED_SQL}) group by outcome, environment""", name="stream_dedupe_outcomes")
-def stream_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every message twice, in files the stream takes in several batches; each is handled once."""
+def _sent_twice(spark: SparkSession, sf_dir: str) -> tuple[Arrivals, str, int]:
+    """A stream, its folder, and the number of message files there: every message twice."""
     events = table(spark, sf_dir, "events")
     files = file_count(events, "event_id")
     sent = _messages(events).select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("copy")).drop("copy")
@@ -93,6 +91,25 @@ def stream_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
         ingest=lambda messages: None,
         clock=lambda: datetime(2024, 3, 1, tzinfo=timezone.utc),
     )
+    return arrivals, folder, files
+
+
+_OUTCOMES_SQL = f"""
+    select outcome, environment, count(*) as messages from ({_CLASSIFIED_SQL}) group by outcome, environment"""
+
+
+@query(_OUTCOMES_SQL)
+def stream_idle_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same messages through a stream that listens, and stops after two seconds without one."""
+    arrivals, folder, files = _sent_twice(spark, sf_dir)
+    arrivals.listen(spark, f"{folder}/messages", f"{folder}/checkpoint", max(1, files // 3), "500 milliseconds", timedelta(seconds=2))
+    return arrivals.history(spark).groupBy("outcome", "environment").agg(F.count(F.lit(1)).alias("messages"))
+
+
+@query(_OUTCOMES_SQL, name="stream_dedupe_outcomes")
+def stream_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message twice, in files the stream takes in several batches; each is handled once."""
+    arrivals, folder, files = _sent_twice(spark, sf_dir)
     arrivals.run(spark, f"{folder}/messages", f"{folder}/checkpoint", files_per_batch=max(1, files // 3))
     return arrivals.history(spark).groupBy("outcome", "environment").agg(F.count(F.lit(1)).alias("messages"))
 

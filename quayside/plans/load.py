@@ -35,7 +35,7 @@ SOURCE_SNAPSHOT = "source_snapshot"
 class LoadSpec:
     """Files below ``path`` with this extension, where they come from and go to.
 
-    ``path`` is a path prefix as seen after the storage root is cut off.
+    ``path`` is a path prefix as seen after the storage root is cut off. ``notify`` asks for a notice of each file loaded on arrival.
     """
 
     name: str
@@ -43,6 +43,7 @@ class LoadSpec:
     extension: str
     source: Any
     target: Any
+    notify: bool = False
 
     def frame_tokens(self, run: Run, frame: dict[str, str], snapshot: str | None = None) -> dict[str, str]:
         """All tokens a target template may use for one frame; later ones win."""

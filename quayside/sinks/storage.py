@@ -39,6 +39,11 @@ def remove(spark: SparkSession, path: str) -> None:
         raise OSError(f"could not delete {path}")
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, where = _open(spark, path)
+    fs.mkdirs(where)
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     fs, where = _open(spark, path)
     if not fs.exists(where):

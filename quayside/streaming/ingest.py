@@ -14,7 +14,7 @@ from quayside.operators.lineage import Run
 from quayside.plans.load import LoadSpec, delete_loaded, load_planned, resolve_specs
 from quayside.session import checkpoint, small_table
 from quayside.sinks import storage
-from quayside.sinks.audit import FAILED, SUCCESS
+from quayside.sinks.audit import SUCCESS, load_states, read_audit
 from quayside.sources.frames import Files
 from quayside.sources.manifest import list_files
 
@@ -29,13 +29,16 @@ class MessageLoader:
     is passed over.
 
     The audit is the memory of what was loaded: a message with a SUCCESS row is not loaded again, and
-    one that began and did not end has its file's rows deleted first. So a batch that runs again adds nothing.
+    one that began and failed or did not end has its file's rows deleted first. So a batch that runs again adds nothing.
+
+    With ``notices``, files of specs that ask for it leave a row there once they are loaded: message, file and what was written.
     """
 
     location: str
     specs: Callable[[], Sequence[LoadSpec]]
     audit: str
     run: Callable[[], Run] = Run.now
+    notices: str | None = None
 
     def __call__(self, messages: DataFrame) -> DataFrame | None:
         spark = messages.sparkSession
@@ -49,22 +52,16 @@ class MessageLoader:
             F.concat(F.lit("/"), "container", "subject").alias("subject"),
         )
         known = resolve_specs(files, specs).where("spec is not null")
-        begun = None
-        if storage.exists(spark, self.audit):
-            states = spark.read.parquet(self.audit).select("ingest_id", "status")
-            states = states.join(known.select(F.col("message_id").alias("ingest_id")).distinct(), "ingest_id", "left_semi")
-            ended = F.bool_or(F.col("status") == SUCCESS).alias("loaded"), F.bool_or(F.col("status") == FAILED).alias("failed")
-            states = checkpoint(states.groupBy("ingest_id").agg(*ended))
-            loaded = states.where("loaded").select(F.col("ingest_id").alias("message_id"))
-            known = known.join(loaded, "message_id", "left_anti")
-            begun = states.where("not loaded and not failed").select("ingest_id")
-        known = checkpoint(known)
+        states = checkpoint(load_states(spark, self.audit, known.select(F.col("message_id").alias("ingest_id"))))
+        loaded = states.where("loaded").select(F.col("ingest_id").alias("message_id"))
+        begun = states.where("not loaded").select("ingest_id")
+        known = checkpoint(known.join(loaded, "message_id", "left_anti"))
 
         # one entry per message of this micro-batch
         asked = [(r["path"], storage.qualified(spark, r["path"])) for r in known.select("path").distinct().collect()]
-        present = [q for p, q in asked if storage.exists(spark, p)]
-        absent = [p for p, _ in asked if not storage.exists(spark, p)]
-        failed = [(p, "file does not exist") for p in absent]
+        there = {p: storage.exists(spark, p) for p, _ in asked}
+        present = [q for p, q in asked if there[p]]
+        failed = [(p, "file does not exist") for p, _ in asked if not there[p]]
         if present:
             named = small_table(spark, asked, "asked string, path string")
             listed = list_files(spark, Files.literal(present))
@@ -82,9 +79,9 @@ class MessageLoader:
                 F.col("first.correlation_id").alias("correlation_id"),
             )
             planned, run = checkpoint(planned), self.run()
-            if begun is not None:
-                self._undo(planned.join(begun, "ingest_id", "left_semi"), specs, run)
+            self._undo(planned.join(begun, "ingest_id", "left_semi"), specs, run)
             report = load_planned(spark, specs, planned, run, self.audit)
+            self._notify(specs, planned, run)
             back = {q: p for p, q in asked}
             failed += [(back[q], error) for q, error in report.failures]
         if not failed:
@@ -92,6 +89,19 @@ class MessageLoader:
         errors = small_table(spark, failed, "path string, error string")
         return known.join(errors, "path").select("message_id", "error")
 
+    def _notify(self, specs: Sequence[LoadSpec], planned: DataFrame, run: Run) -> None:
+        """A row for each file that this run loaded, of specs that ask for one."""
+        asking = [s.name for s in specs if s.notify]
+        if not self.notices or not asking:
+            return
+        spark = planned.sparkSession
+        done = read_audit(spark, self.audit, planned.where(F.col("spec").isin(asking)).select("ingest_id"))
+        done = done.where((F.col("status") == SUCCESS) & (F.col("at") == F.lit(run.at).cast("timestamp")) & F.col("configuration_name").isin(asking))
+        written = F.transform("ingested_details", lambda d: d["ingested_path"])
+        rows = done.select(F.col("ingest_id").alias("message_id"), "correlation_id", "source_path", "configuration_name", written.alias("written"), "at")
+        if not rows.isEmpty():
+            rows.write.mode("append").parquet(self.notices)
+
     @staticmethod
     def _undo(planned: DataFrame, specs: Sequence[LoadSpec], run: Run) -> None:
         """Delete what a load that did not end may have added. Targets that replace need no delete."""

@@ -181,3 +181,147 @@ def test_files_are_loaded_on_arrival(spark, tmp_path):
     assert values(log, "ingest_id", "correlation_id", "status") == [
         ("1", "c-1", "SUCCESS"), ("2", "c-2", "FAILED"), ("5", "c-5", "SUCCESS")
     ]
+
+
+def test_a_batch_lists_and_reads_the_buckets_of_its_ids_only(spark, tmp_path):
+    stream = Stream(spark, tmp_path)
+    stream.arrivals.process(frame(spark, [message(f"m{n}", body("CreateFile")) for n in range(200)]), 0)
+    asked = frame(spark, [message("m7", body()), message("new", body())]).where("message_id = 'm7'")
+    found = stream.arrivals.seen(spark, asked, 1)
+    assert values(found, "message_id") == [("m7",)]
+    files = [f for f in found.inputFiles() if "/seen/" in f]
+    folders = {f.split("/bucket=")[1].split("/")[0] for f in files}
+    assert len(folders) == 1 and len(list((tmp_path / "outcomes_state" / "seen").glob("bucket=*"))) > 1
+    assert not any("/outcomes/" in f for f in found.inputFiles())
+    # a batch that runs again does not count what it noted itself
+    assert stream.arrivals.seen(spark, asked, 0).collect() == []
+
+
+def test_repeats_of_long_ago_are_found_by_day(spark, tmp_path):
+    stream = Stream(spark, tmp_path)
+    stream.arrivals.process(frame(spark, [CASES["plain"][0]]), 0)
+    stream.now = START + timedelta(days=40)
+    stream.arrivals.process(frame(spark, [CASES["plain"][0]]), 1)
+    assert stream.loaded == ["plain"]
+    stream.arrivals.remember_days = 30
+    stream.arrivals.process(frame(spark, [CASES["plain"][0]]), 2)
+    assert stream.loaded == ["plain", "plain"]
+
+
+def waiting_hours(stream):
+    return sorted(int(p.name.split("=")[1]) for p in (stream.folder / "outcomes_state" / "delayed").glob("due_hour=*"))
+
+
+def test_hours_leave_when_their_messages_came_back(spark, tmp_path):
+    stream = Stream(spark, tmp_path)
+    stream.arrivals.process(frame(spark, [CASES["pending"][0]]), 0)
+    first = int(START.timestamp()) // 3600
+    assert waiting_hours(stream) == [first]
+    # a batch that runs again an hour later leaves nothing of its first run
+    stream.now = START + timedelta(hours=1)
+    stream.arrivals.process(frame(spark, [CASES["pending"][0]]), 0)
+    hour = stream.folder / "outcomes_state" / "delayed"
+    assert [p.parent.name for p in hour.glob("due_hour=*/batch_id=0")] == [f"due_hour={first + 1}"]
+    stream.now = START + timedelta(hours=2)
+    # hours to come are not listed
+    assert stream.arrivals._hours(spark) == [h for h in waiting_hours(stream) if h <= first + 2]
+    stream.arrivals.release(spark)
+    assert ("pending-1", "delay") in stream.outcomes()
+    stream.now = START + timedelta(hours=4)
+    stream.arrivals.release(spark)
+    stream.arrivals.process(frame(spark, [CASES["create"][0]]), 1)
+    # the message that came back and still waits does so for this very hour
+    assert waiting_hours(stream) == [first + 4]
+    assert [r[0] for r in stream.outcomes() if r[0].startswith("pending")] == ["pending", "pending-1", "pending-1-2"]
+
+
+def test_a_release_that_breaks_off_is_done_again(spark, tmp_path, monkeypatch):
+    stream = Stream(spark, tmp_path)
+    stream.arrivals.process(frame(spark, [CASES["pending"][0]]), 0)
+    stream.now = START + timedelta(hours=3)
+    with monkeypatch.context() as patch:
+        patch.setattr(storage, "make_folder", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            stream.arrivals.release(spark)
+    stream.arrivals.release(spark)
+    stream.arrivals.release(spark)
+    assert stream.outcomes() == [("pending", "delay"), ("pending-1", "delay")]
+
+
+def test_listening_ends_after_an_idle_time(spark, tmp_path):
+    """Messages sent while the stream listens are handled, delayed ones that come due as well; then silence ends it."""
+    import threading
+    import time
+
+    stream = Stream(spark, tmp_path)
+    stream.send(CASES["plain"][0], CASES["pending"][0], CASES["plain"][0])
+    begun = time.monotonic()
+
+    def later():
+        while not stream.loaded and time.monotonic() - begun < 60:
+            time.sleep(0.2)
+        stream.send(CASES["success"][0], CASES["plain"][0])
+        stream.now = START + timedelta(minutes=6)
+
+    sender = threading.Thread(target=later)
+    sender.start()
+    listen = {"every": "300 milliseconds", "idle": timedelta(seconds=6)}
+    stream.arrivals.listen(spark, str(tmp_path / "messages"), str(tmp_path / "checkpoint"), 1, **listen)
+    sender.join()
+    assert sorted(stream.loaded) == ["plain", "success"]
+    assert [r[0] for r in stream.outcomes()] == ["pending", "pending-1", "plain", "success"]
+    assert not spark.streams.active
+
+
+class Breaking(SnapshotFiles):
+    """A target that fails for one record type until it is mended."""
+
+    broken = True
+
+    def write(self, df, tokens, appended=()):
+        if tokens.get("type") == "B" and Breaking.broken:
+            raise RuntimeError("no room")
+        return super().write(df, tokens, appended)
+
+
+def test_a_failure_half_way_leaves_no_row_twice(spark, tmp_path):
+    """One of two frames was appended when the load failed; the batch runs again once the target is mended."""
+    from quayside.sources.delimited import DelimitedRecords, RecordType
+
+    stamp = "2024_01_01_00_00_00"
+    folder = tmp_path / "raw" / "in" / f"snapshot_date={stamp}"
+    folder.mkdir(parents=True)
+    (folder / "a.csv").write_text("A,1\nB,2\nA,3\n")
+    source = DelimitedRecords("erp", ",", 1, [RecordType("A", "^A", ["kind", "id"]), RecordType("B", "^B", ["kind", "id"])])
+    spec = LoadSpec("orders", "/raw/in", "csv", source, Breaking(str(tmp_path / "out-{type}")), notify=True)
+    loader = MessageLoader(f"{tmp_path}/{{container}}{{subject}}", lambda: [spec], str(tmp_path / "audit"), notices=str(tmp_path / "notices"))
+    stream = Stream(spark, tmp_path, loader)
+    subject = f"/blobServices/default/containers/raw/blobs/in/snapshot_date={stamp}/a.csv"
+    batch = frame(spark, [message("1", body(subject=subject))])
+    Breaking.broken = True
+    stream.arrivals.process(batch, 0)
+    assert stream.outcomes("message_id", "outcome", "reason") == [("1", "dead_letter", "no room")]
+    assert not (tmp_path / "notices").exists()
+    Breaking.broken = False
+    stream.arrivals.process(batch, 0)
+    assert stream.outcomes() == [("1", "ingest")]
+    for kind, ids in (("A", [("1",), ("3",)]), ("B", [("2",)])):
+        assert values(storage.read_table_files(spark, f"{tmp_path}/out-{kind}.parquet"), "id") == ids
+    stream.arrivals.process(batch, 0)
+    assert values(storage.read_table_files(spark, f"{tmp_path}/out-A.parquet"), "id") == [("1",), ("3",)]
+    notices = spark.read.parquet(str(tmp_path / "notices"))
+    assert [(r.message_id, r.configuration_name, sorted(w.rsplit("/", 1)[1] for w in r.written)) for r in notices.collect()] == [("1", "orders", ["out-A.parquet", "out-B.parquet"])]
+
+
+def test_the_audit_of_a_few_loads_is_found_in_their_folders(spark, tmp_path):
+    from quayside.sinks import audit
+
+    files = spark.range(300).selectExpr("concat('/in/', id) as path", "concat('id', id) as ingest_id", "'c' as correlation_id")
+    audit.record(audit.audit_rows(files, audit.STARTED, "orders", START), str(tmp_path / "audit"))
+    audit.record(audit.audit_rows(files.where("path = '/in/7'"), audit.SUCCESS, "orders", START), str(tmp_path / "audit"))
+    asked = spark.createDataFrame([("id7",), ("other",)], "ingest_id string").where("ingest_id = 'id7'")
+    rows = audit.read_audit(spark, str(tmp_path / "audit"), asked)
+    assert len({f.split("/id_bucket=")[1].split("/")[0] for f in rows.inputFiles() if "id_bucket" in f}) == 1
+    assert values(rows, "ingest_id", "status", "day") == [("id7", "STARTED", "2024-01-01"), ("id7", "SUCCESS", "2024-01-01")]
+    assert audit.read_audit(spark, str(tmp_path / "audit")).count() == 301
+    assert [tuple(r) for r in audit.load_states(spark, str(tmp_path / "audit"), asked).collect()] == [("id7", True)]
