@@ -54,7 +54,7 @@ def xml_rowtag(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.col("p_brand").alias("name"), F.col("p_size").alias("size")).alias("brand"),
     )
     rows.write.format("xml").options(rootTag="parts", rowTag="part").save(folder)
-    frame = Xml("erp", [XmlRow("part", flatten=True)]).read(spark, Files([folder]))[0]
+    frame = Xml("erp", [XmlRow("part", flatten=True, split=True)]).read(spark, Files([folder]))[0]
     return frame.df.drop(SOURCE_NAME)
 
 
@@ -62,13 +62,15 @@ def xml_rowtag(spark: SparkSession, sf_dir: str) -> DataFrame:
     select cast(c_custkey as varchar) as id, c_name as text, null as plan_code from customer
     union all select cast(s_suppkey as varchar), null, s_name from supplier""")
 def xml_two_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two kinds of elements in one folder of files; leaves stay text without inference."""
-    folder = scratch_path(spark, "xml")
+    """Two kinds of elements in each file; leaves stay text without inference, and one kind is read by several tasks a file."""
     members = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("_id"), F.col("c_name").alias("_VALUE"))
     plans = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("_id"), F.col("s_name").alias("code"))
-    members.write.format("xml").options(rootTag="all", rowTag="member").save(f"{folder}/members")
-    plans.write.format("xml").options(rootTag="all", rowTag="plan").save(f"{folder}/plans")
-    member, plan = Xml("erp", [XmlRow("member"), XmlRow("plan", infer=False)]).read(spark, Files([folder]))
+    files = file_count(members, "_id")
+    elements = [rows.select(F.col("_id").alias("at"), F.to_xml(F.struct("*"), {"rowTag": tag}).alias("value")) for rows, tag in ((members, "member"), (plans, "plan"))]
+    dealt = elements[0].union(elements[1]).select(shard("at", files), "at", "value")
+    ends = spark.range(files).selectExpr("cast(id as int) as shard", "stack(2, -1L, '<all>', 9223372036854775807L, '</all>') as (at, value)")
+    folder = land_lines(dealt.union(ends), files, "xml", ["at"])
+    member, plan = Xml("erp", [XmlRow("member", split=True), XmlRow("plan", infer=False)]).read(spark, Files([folder]))
     return member.df.select("id", F.col("value").alias("text"), F.lit(None).cast("string").alias("plan_code")).union(
         plan.df.select("id", F.lit(None).cast("string"), "code")
     )

@@ -4,6 +4,9 @@ A scan assigns ``_position`` (``monotonically_increasing_id``) right above the
 files, before any shuffle. Inside one file block positions are consecutive, so a
 small table with the first position and row count of each block is enough to turn
 positions into line numbers: one join to that table and no shuffle of the lines.
+
+The table is joined by one number for file and block, so a block takes ``BLOCK_BYTES`` of a broadcast. A table of more than ``PART_BLOCKS`` blocks
+is broadcast in parts, one join after another; the lines stay where they are. Only beyond ``MOST_PARTS`` parts, a gigabyte in all, are they shuffled.
 """
 
 from __future__ import annotations
@@ -18,6 +21,9 @@ from quayside.session import checkpoint
 BLOCK = "_block"
 POSITION = "_position"
 CHUNK_BITS = 16
+BLOCK_BYTES = 32
+PART_BLOCKS = (64 << 20) // BLOCK_BYTES
+MOST_PARTS = 16
 
 
 def with_positions(scan: DataFrame) -> DataFrame:
@@ -44,15 +50,27 @@ def block_table(positions: DataFrame, first_row: Column | None = None) -> DataFr
     return checkpoint(blocks.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0))))
 
 
-def number_rows(positions: DataFrame, blocks: DataFrame, offset: int = 0) -> DataFrame:
+def _with_blocks(positions: DataFrame, blocks: DataFrame, part_blocks: int) -> DataFrame:
+    """Add what the table says of each row's block."""
+    key = F.xxhash64(SOURCE_NAME, BLOCK)
+    table = blocks.select(SOURCE_NAME, BLOCK, "_first", "_before", key.alias("_key"))
+    size = table.agg(F.count(F.lit(1)).alias("blocks"), F.count_distinct("_key").alias("keys")).first()
+    parts = -(-size["blocks"] // part_blocks)
+    if parts > MOST_PARTS or size["keys"] < size["blocks"]:
+        return lookup(positions, table.drop("_key"), [SOURCE_NAME, BLOCK], salt=F.col(POSITION))
+    joined, found = positions.withColumn("_key", key), [F.lit(None).cast("struct<_first:bigint,_before:bigint>")]
+    for part in range(parts):
+        these = table.where(F.pmod("_key", F.lit(parts)) == part).select("_key", F.struct("_first", "_before").alias(f"_part_{part}"))
+        joined = joined.join(F.broadcast(these), "_key", "left")
+        found.append(F.col(f"_part_{part}"))
+    block = F.coalesce(*found)
+    return joined.withColumn("_first", block["_first"]).withColumn("_before", block["_before"])
+
+
+def number_rows(positions: DataFrame, blocks: DataFrame, offset: int = 0, part_blocks: int = PART_BLOCKS) -> DataFrame:
     """Replace block and position by the 1-based row number in the file, plus ``offset``."""
     columns = [c for c in positions.columns if c not in (BLOCK, POSITION)]
-    joined = lookup(
-        positions,
-        blocks.select(SOURCE_NAME, BLOCK, "_first", "_before"),
-        [SOURCE_NAME, BLOCK],
-        salt=F.col(POSITION),
-    )
+    joined = _with_blocks(positions, blocks, part_blocks)
     # positions only compare within one task; a changed file layout must not pass unseen
     task = F.shiftright(F.col(POSITION), 33)
     number = F.when(

@@ -65,13 +65,18 @@ class Json:
 
 @dataclass(frozen=True)
 class XmlRow:
-    """One repeated element. ``infer=False`` with no schema keeps text such as ``007`` as it is."""
+    """One repeated element. ``infer=False`` with no schema keeps text such as ``007`` as it is.
+
+    With ``split``, large files are cut and read by many tasks: the closing tag ends a record of text, and each element is parsed on its own. The
+    elements must not hold elements of their own name, and their closing tags must be written without space and not stand in comments or CDATA sections.
+    """
 
     row_tag: str
     flatten: bool = False
     primitives_as_string: bool = True
     schema: T.StructType | None = None
     infer: bool = True
+    split: bool = False
 
 
 @dataclass(frozen=True)
@@ -94,23 +99,44 @@ class Xml:
         return [Frame(self._read(spark, files, r), t) for r, t in zip(self.rows, self.type_tokens())]
 
     def _read(self, spark: SparkSession, files: Files, row: XmlRow) -> DataFrame:
-        reader = files.reader(spark).options(
-            rowTag=row.row_tag,
-            excludeAttribute=False,
-            nullValue="",
-            attributePrefix="_",
-            valueTag="_VALUE",
-            ignoreSurroundingSpaces=False,
-            charset="UTF-8",
-            inferSchema=row.infer,
-        )
-        if row.schema is not None:
-            reader = reader.schema(row.schema)
-        df = _with_file(reader.format("xml").load(list(files.paths)))
+        options = {
+            "rowTag": row.row_tag,
+            "excludeAttribute": "false",
+            "nullValue": "",
+            "attributePrefix": "_",
+            "valueTag": "_VALUE",
+            "ignoreSurroundingSpaces": "false",
+            "charset": "UTF-8",
+            "inferSchema": str(row.infer).lower(),
+        }
+        if row.split:
+            df = self._read_split(spark, files, row, options)
+        else:
+            reader = files.reader(spark).options(**options)
+            if row.schema is not None:
+                reader = reader.schema(row.schema)
+            df = _with_file(reader.format("xml").load(list(files.paths)))
         if row.flatten:
             df = flatten_all(df)
         return cast_leaves_to_string(df) if row.primitives_as_string else clean_columns(df)
 
+    @staticmethod
+    def _read_split(spark: SparkSession, files: Files, row: XmlRow, options: dict[str, str]) -> DataFrame:
+        """Elements cut out of the text between closing tags, so that a file is read in as many tasks as it has splits."""
+        text = files.load(spark, "text", lineSep=f"</{row.row_tag}>")
+        start = f"<{re.escape(row.row_tag)}(?=[\\s/>])(?:[^\"'>]++|\"[^\"]*+\"|'[^']*+')*+>"
+        # without content up to its own end, else up to the closing tag, which the reader took away
+        found = F.regexp_extract_all("value", F.lit(f"(?s){start}(?:(?<=/>)|.*+)"), F.lit(0))
+        whole = F.transform(found, lambda e: F.when(e.rlike(f"(?s)^{start}$") & e.endswith("/>"), e).otherwise(F.concat(e, F.lit(f"</{row.row_tag}>"))))
+        elements = text.select(F.explode(whole).alias("element"), F.col("_metadata.file_path").alias(SOURCE_NAME))
+        schema = row.schema
+        if schema is None:
+            strings = getattr(elements.select("element")._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
+            # the text is read once for the types of all elements
+            schema = T._parse_datatype_json_string(spark.read.options(**options)._jreader.xml(strings).schema().json())
+        parsed = elements.select(F.from_xml("element", schema, options).alias("element"), SOURCE_NAME)
+        return parsed.select("element.*", SOURCE_NAME)
+
 
 @dataclass(frozen=True)
 class Parquet:

@@ -86,3 +86,28 @@ def test_small_updates_do_not_shuffle_the_table(spark):
 
 def test_lineage_ids_need_no_python(spark):
     assert "Python" not in plan(spark.range(3).select(sha1_base36(F.col("id").cast("string"))))
+
+
+def test_a_large_block_table_shuffles_no_lines(spark, land, small_splits, monkeypatch):
+    """More blocks than one broadcast takes: the table comes in parts, and lines keep their places."""
+    from quayside.operators import numbering
+
+    text = "".join(f"line {n}\n" for n in range(3000))
+    folder = land({"a.txt": text, "b.txt": text, "c.txt": "one\n"})
+    source = FixedWidth("s", [FixedColumn("a", 9)])
+    want = sorted(map(tuple, source.read(spark, Files([folder]))[0].df.select("a", "meta_source_line_number").collect()))
+    monkeypatch.setattr(numbering.number_rows, "__defaults__", (0, 3))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = source.read(spark, Files([folder]))[0].df
+        text = plan(df)
+        assert shuffles(text) == 0 and text.count("BroadcastHashJoin") > 5
+        assert sorted(map(tuple, df.select("a", "meta_source_line_number").collect())) == want
+        # too many parts: joined with the lines shuffled, same numbers
+        monkeypatch.setattr(numbering, "MOST_PARTS", 2)
+        monkeypatch.setattr(numbering.lookup, "__defaults__", (None, None, -1))
+        df = source.read(spark, Files([folder]))[0].df
+        assert shuffles(plan(df)) > 0
+        assert sorted(map(tuple, df.select("a", "meta_source_line_number").collect())) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -94,3 +94,32 @@ def test_credentials_stay_out_of_the_rows():
     source = Jdbc("erp", "jdbc:db://me:secret@host:1/base?password=secret;x=1", [JdbcTable("t")], user="me", password="secret")
     assert source.plain_url == "jdbc:db://host:1/base" and "secret" not in repr(source).replace(source.url, "")
     assert source.options(source.tables[0])["password"] == "secret"
+
+
+SPLIT = """<?xml version="1.0"?>
+<r>
+<member id="1"><name> Ann &lt;x&gt; </name><code>007</code><tag>a</tag><tag>b</tag></member>
+<member/><member id="3" note="a > b"/><member id='4'
+ note="/"><name lang="fr">Bo</name><code></code></member><plan><p>9</p></plan><members id="9"></members>
+<member id="5"><name>C<b/></name></member>
+<plan><p>10</p></plan>
+</r>"""
+
+
+def test_split_xml_gives_what_whole_files_give(spark, land, small_splits):
+    """Many rows, cut into splits of two kilobytes."""
+    body = "".join(f'<member id="{n}"><name>name {n}</name><code>{n % 7}</code></member>\n' for n in range(400))
+    folder = land({"a.xml": SPLIT, "b.xml": "<r>" + body + "</r>"})
+    frames = [Xml("s", [XmlRow("member", split=split), XmlRow("plan", split=split)]).read(spark, Files([folder])) for split in (False, True)]
+    for whole, split in zip(*frames):
+        assert whole.df.schema == split.df.schema and whole.tokens == split.tokens
+        assert values(whole.df, *whole.df.columns) == values(split.df, *split.df.columns)
+    assert frames[1][0].df.rdd.getNumPartitions() > 10
+    assert frames[1][0].df.count() == 405
+
+
+def test_split_xml_with_a_schema(spark, land):
+    folder = land({"a.xml": SPLIT})
+    schema = T.StructType([T.StructField("_id", T.LongType()), T.StructField("code", T.StringType())])
+    df = Xml("s", [XmlRow("member", schema=schema, split=True, primitives_as_string=False)]).read(spark, Files([folder]))[0].df
+    assert values(df, "id", "code") == sorted([(1, "007"), (None, None), (3, None), (4, None), (5, None)], key=repr)
