@@ -17,6 +17,7 @@ from quayside.examples.text import (
     CUSTOMER_LAYOUT,
     ORDER_FILES,
     land_customers_fixed,
+    land_order_records,
     land_orders_csv,
 )
 from quayside.operators.lineage import Run
@@ -26,7 +27,7 @@ from quayside.plans.reports import failure_digest, last_messages, load_rate, wri
 from quayside.session import scratch_path
 from quayside.sinks import storage
 from quayside.sinks.targets import SAVE_MODES, HistoryTable, ManagedTable, SnapshotFiles
-from quayside.sources.delimited import Delimited
+from quayside.sources.delimited import Delimited, DelimitedRecords, RecordType
 
 DATABASE = "quayside_examples"
 RUN = Run(datetime(2024, 6, 1, 12, 0, 0, tzinfo=timezone.utc), "loader", "rev1", "1.0")
@@ -136,6 +137,23 @@ def load_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(f"""
+    select 'orders_header' as target, cast(o_orderkey as varchar) as k, cast(o_custkey as varchar) as v, '{STAMP}' as snapshot_date from orders
+    union all select 'orders_detail', cast(l_orderkey as varchar), cast(l_partkey as varchar), '{STAMP}' from lineitem""")
+def load_record_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of two record types, loaded by a spec of three into a target per type; the type without rows gets none."""
+    folder, work = land_order_records(spark, sf_dir), scratch_path(spark, "types")
+    types = [RecordType("header", "^O$", ["tag", "k", "v"]), RecordType("none", "^X$", ["tag", "k", "v"]), RecordType("detail", "^L$", ["tag", "k", "v"])]
+    root = storage.qualified(spark, folder.rsplit("/", 1)[0])
+    spec = LoadSpec("orders", root, "txt", DelimitedRecords("erp", "|", 1, types), SnapshotFiles(f"{work}/orders_{{type}}"))
+    report = load(spark, [spec], [folder], RUN)
+    frames = [
+        storage.read_table_files(spark, w.path).select(F.lit(w.path.rsplit("/", 1)[1].removesuffix(".parquet")).alias("target"), "k", "v", "snapshot_date")
+        for w in report.written["orders"]
+    ]
+    return reduce(DataFrame.unionByName, frames)
+
+
 @query(f"""
     select status, 'shard=' || (o_orderkey % {ORDER_FILES}) as folder,
            case when status = 'SUCCESS' then '{STAMP}' end as snapshot_date,

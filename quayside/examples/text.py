@@ -107,16 +107,22 @@ def running_line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exclusive_running_sum(counted, "breaks", "doc_id", "breaks_before")
 
 
-@query("""
-    select 'O' as tag, cast(o_orderkey as varchar) as k, cast(o_custkey as varchar) as v from orders
-    union all select 'L', cast(l_orderkey as varchar), cast(l_partkey as varchar) from lineitem""")
-def delimited_record_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order and line records in the same folder of files, split again by their tag."""
+def land_order_records(spark: SparkSession, sf_dir: str) -> str:
+    """Files of order and line records, told apart by their first field."""
     orders = table(spark, sf_dir, "orders").select(F.lit("O"), "o_orderkey", "o_custkey", F.lit("unused"))
     lines = table(spark, sf_dir, "lineitem").select(F.lit("L"), "l_orderkey", "l_partkey", F.lit(""))
     both = orders.union(lines)
     folder = f"{scratch_path(spark, 'records')}/snapshot_date={STAMP}"
     both.select(F.concat_ws("|", *both.columns)).write.text(folder)
+    return folder
+
+
+@query("""
+    select 'O' as tag, cast(o_orderkey as varchar) as k, cast(o_custkey as varchar) as v from orders
+    union all select 'L', cast(l_orderkey as varchar), cast(l_partkey as varchar) from lineitem""")
+def delimited_record_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order and line records in the same folder of files, split again by their tag."""
+    folder = land_order_records(spark, sf_dir)
     types = [RecordType("header", "^O$", ["tag", "k", "customer"]), RecordType("detail", "^L$", ["tag", "k", "part"])]
     header, detail = DelimitedRecords("erp", "|", 1, types).read(spark, Files([folder]))
     whole = header.df.withColumnRenamed("customer", "v").unionByName(detail.df.withColumnRenamed("part", "v"))

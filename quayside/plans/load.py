@@ -20,7 +20,7 @@ from quayside.operators.lineage import Run, file_facts, with_lineage
 from quayside.operators.routing import match_prefix, roll_up, unresolved_severity
 from quayside.operators.schema import clean_columns
 from quayside.plans.reports import failure_digest
-from quayside.session import checkpoint, small_table
+from quayside.session import checkpoint, scratch_path, small_table
 from quayside.sinks import storage
 from quayside.sinks.audit import FAILED, STARTED, SUCCESS, audit_rows, record
 from quayside.sinks.targets import NotRegistered, WriteInfo
@@ -182,9 +182,12 @@ def _load_group(spark, spec: LoadSpec, group: DataFrame, run: Run, audit, report
         record(audit_rows(group, STARTED, spec.name, run.at), audit)
     written: list[WriteInfo] = []
     done = dict(retry or {})
+    # sources of several record types go through their files once
+    staged = scratch_path(spark, "kinds") if hasattr(spec.source, "read_once") else None
     try:
         facts = checkpoint(file_facts(group.select(SOURCE_NAME)))
-        frames = spec.source.read(spark, _scan(group, spec.extension))
+        files = _scan(group, spec.extension)
+        frames = spec.source.read_once(spark, files, staged) if staged else spec.source.read(spark, files)
         stamps = _target_stamps(spec, facts)
         for frame in frames:
             stamped = _stamp(spec, frame, facts, run)
@@ -193,7 +196,8 @@ def _load_group(spark, spec: LoadSpec, group: DataFrame, run: Run, audit, report
                 if key not in done:
                     rows = stamped if stamp is None else stamped.where(F.col(SNAPSHOT) == stamp)
                     tokens = spec.frame_tokens(run, frame.tokens, stamp)
-                    done[key] = None if rows.isEmpty() else report.write(spec.target, rows, tokens)
+                    empty = frame.rows == 0 or ((frame.rows is None or len(stamps) > 1) and rows.isEmpty())
+                    done[key] = None if empty else report.write(spec.target, rows, tokens)
                 if done[key]:
                     written.append(done[key])
     except Exception as error:  # noqa: BLE001 - whatever fails is recorded and isolated
@@ -207,6 +211,9 @@ def _load_group(spark, spec: LoadSpec, group: DataFrame, run: Run, audit, report
         for half in (F.col("path") < middle, F.col("path") >= middle):
             _load_group(spark, spec, group.where(half), run, audit, report, done)
         return
+    finally:
+        if staged and storage.exists(spark, staged):
+            storage.remove(spark, staged)
     known = report.written.setdefault(spec.name, [])
     known += [w for w in written if w not in known]
     record(audit_rows(group, SUCCESS, spec.name, run.at, written), audit)

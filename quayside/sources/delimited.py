@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,7 +22,7 @@ from quayside.operators.numbering import (
 )
 from quayside.operators.schema import rename_positional
 from quayside.session import checkpoint
-from quayside.sources.frames import Files, Frame
+from quayside.sources.frames import Files, Frame, stage_kinds
 
 MAX_NAMED_FILES = 100_000
 _BLANK = r"^[\x00-\x20]*$"
@@ -233,6 +233,15 @@ class DelimitedRecords:
         return [{"sourceOffset": "", "type": t.type_name} for t in self.types]
 
     def read(self, spark: SparkSession, files: Files) -> list[Frame]:
+        records = self._records(spark, files)
+        return [Frame(self.split(records, t), tokens) for t, tokens in zip(self.types, self.type_tokens())]
+
+    def read_once(self, spark: SparkSession, files: Files, path: str) -> list[Frame]:
+        """The same frames, the files parsed once for all of them and the records staged below ``path``."""
+        staged = stage_kinds(self._records(spark, files), [self._is(t) for t in self.types], path)
+        return [Frame(self._named(df, t), tokens, rows=rows) for (df, rows), t, tokens in zip(staged, self.types, self.type_tokens())]
+
+    def _records(self, spark: SparkSession, files: Files) -> DataFrame:
         width = max(len(t.columns) for t in self.types)
         names = [f"col{n}" for n in range(1, width + 1)]
         csv = Delimited(self.source_system, self.delimiter, False, self.encoding, multi_line=self.multi_line)
@@ -240,15 +249,19 @@ class DelimitedRecords:
             schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
             options = {"multiLine": True, "encoding": self.encoding, **csv.options()}
             scan = files.reader(spark).schema(schema).options(**options).csv(list(files.paths))
-            records = _number_records(scan, has_header=False)
-        else:
-            lines = with_positions(text_lines(spark, files, self.encoding))
-            numbered = number_rows(lines, block_table(lines))
-            records = csv._parse(numbered.where(~F.col("value").rlike(_BLANK)), names)
-        return [Frame(self.split(records, t), tokens) for t, tokens in zip(self.types, self.type_tokens())]
+            return _number_records(scan, has_header=False)
+        lines = with_positions(text_lines(spark, files, self.encoding))
+        numbered = number_rows(lines, block_table(lines))
+        return csv._parse(numbered.where(~F.col("value").rlike(_BLANK)), names)
 
     def split(self, records: DataFrame, kind: RecordType) -> DataFrame:
         """The records of one kind, under its own column names."""
-        tag = F.col(f"col{self.record_type_index}")
+        return self._named(records.where(self._is(kind)), kind)
+
+    def _is(self, kind: RecordType) -> Column:
+        return tag_matches(F.col(f"col{self.record_type_index}"), kind.pattern)
+
+    @staticmethod
+    def _named(records: DataFrame, kind: RecordType) -> DataFrame:
         renamed = [F.col(f"col{n}").alias(name) for n, name in enumerate(kind.columns, 1)]
-        return records.where(tag_matches(tag, kind.pattern)).select(*renamed, LINE_NUMBER, SOURCE_NAME)
+        return records.select(*renamed, LINE_NUMBER, SOURCE_NAME)

@@ -13,7 +13,7 @@ from quayside.functions.names import clean_name, require_unique
 from quayside.functions.text import CONTROL, tag_matches, trim_controls
 from quayside.operators.numbering import block_table, number_rows, with_positions
 from quayside.sources.delimited import text_lines
-from quayside.sources.frames import Files, Frame
+from quayside.sources.frames import Files, Frame, stage_kinds
 
 
 @dataclass(frozen=True)
@@ -91,10 +91,21 @@ class FixedWidthRecords:
         lines = numbered_lines(spark, files)
         return [Frame(self.split(lines, t), tokens) for t, tokens in zip(self.types, self.type_tokens())]
 
+    def read_once(self, spark: SparkSession, files: Files, path: str) -> list[Frame]:
+        """The same frames, the files scanned once for all of them and the lines staged below ``path``."""
+        lines = numbered_lines(spark, files).select("value", LINE_NUMBER, SOURCE_NAME)
+        staged = stage_kinds(lines, [self._is(t) for t in self.types], path)
+        return [Frame(self._cut(df, t), tokens, rows=rows) for (df, rows), t, tokens in zip(staged, self.types, self.type_tokens())]
+
     def split(self, lines: DataFrame, kind: FixedType) -> DataFrame:
-        tag = F.substring("value", self.tag_start, kind.tag_width or self.tag_width)
-        slices = cut(F.col("value"), kind.columns, F.trim)
-        return lines.where(tag_matches(tag, kind.pattern)).select(*slices, LINE_NUMBER, SOURCE_NAME)
+        return self._cut(lines.where(self._is(kind)), kind)
+
+    def _is(self, kind: FixedType) -> Column:
+        return tag_matches(F.substring("value", self.tag_start, kind.tag_width or self.tag_width), kind.pattern)
+
+    @staticmethod
+    def _cut(lines: DataFrame, kind: FixedType) -> DataFrame:
+        return lines.select(*cut(F.col("value"), kind.columns, F.trim), LINE_NUMBER, SOURCE_NAME)
 
     @staticmethod
     def _offset(kind: FixedType) -> str:

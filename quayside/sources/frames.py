@@ -8,7 +8,8 @@ from dataclasses import dataclass, field
 
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.readwriter import DataFrameReader
 
 
@@ -18,12 +19,14 @@ class Frame:
 
     The frame carries each row's file in ``meta_source_name``, as the encoded URI
     the scan gives it; lineage later puts the plain path there. ``layout`` is the
-    header of the files, for sources that give one frame per distinct header.
+    header of the files, for sources that give one frame per distinct header. ``rows`` is
+    their number, where reading has told it.
     """
 
     df: DataFrame
     tokens: dict[str, str] = field(default_factory=dict)
     layout: tuple[str, ...] = ()
+    rows: int | None = None
 
     @property
     def key(self) -> tuple:
@@ -62,3 +65,24 @@ class Files:
             if value is not None:
                 reader = reader.option(key, value)
         return reader.load(list(self.paths))
+
+
+def stage_kinds(records: DataFrame, kinds: Sequence[Column], path: str) -> list[tuple[DataFrame, int]]:
+    """The records of each kind and their number, from one pass that writes them to folders by kind.
+
+    ``kinds`` are conditions; a record goes to the folder of each that holds, and nowhere if none does. What is read again is the
+    staged columns of one kind.
+    """
+    spark = records.sparkSession
+    numbers = F.filter(F.array(*(F.when(kind, F.lit(n)) for n, kind in enumerate(kinds))), lambda n: n.isNotNull())
+    dealt = records.withColumn("_kind", F.explode(numbers))
+    counted = Observation()
+    counts = [F.count_if(F.col("_kind") == n).alias(f"kind_{n}") for n in range(len(kinds))]
+    dealt.observe(counted, *counts).write.partitionBy("_kind").parquet(path)
+    found = counted.get
+    staged = []
+    for n in range(len(kinds)):
+        rows = found.get(f"kind_{n}", 0)
+        df = spark.read.schema(records.schema).parquet(f"{path}/_kind={n}") if rows else spark.createDataFrame([], records.schema)
+        staged.append((df, rows))
+    return staged

@@ -195,3 +195,37 @@ def test_overwriting_keeps_all_files_of_one_load(spark, land, tmp_path, managed)
     with pytest.raises(LoadFailed, match="1 files failed"):
         load(spark, [spec], [str(tmp_path / "in")], RUN)
     assert values(stored(spark, spec), "id", "v") == [("1", None), ("2", "x"), ("3", None)]
+
+
+def ran(spark, after=-1):
+    """What the session ran after an execution: by number, the plan."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    runs = spark._jsparkSession.sharedState().statusStore().executionsList()
+    found = (runs.apply(i) for i in range(runs.size()))
+    return {r.executionId(): r.physicalPlanDescription() for r in found if r.executionId() > after}
+
+
+def five_types(kind):
+    if kind == "delimited":
+        types = [RecordType(t, f"^{t}$", ["t", "v"]) for t in "ABCDZ"]
+        return DelimitedRecords("erp", "|", 1, types), "A|1\nB|2\nC|3\nD|4\nA|5\nother|9\n"
+    from quayside.sources.fixed_width import FixedColumn, FixedType, FixedWidthRecords
+
+    types = [FixedType(t, f"^{t}$", [FixedColumn("t", 1), FixedColumn("v", 2)]) for t in "ABCDZ"]
+    return FixedWidthRecords("erp", 1, 1, types), "A1\nB2\nC3\nD4\nA5\nX9\n"
+
+
+@pytest.mark.parametrize("kind", ["delimited", "fixed"])
+def test_files_of_five_types_are_scanned_twice(spark, land, tmp_path, kind):
+    """Once to count lines and once to parse them, however many types there are."""
+    source, text = five_types(kind)
+    land({"a.txt": text, "b.txt": text})
+    spec = LoadSpec("five", f"file:{tmp_path}", "txt", source, SnapshotFiles(str(tmp_path / "out-{type}")))
+    before = max(ran(spark), default=-1)
+    report = load(spark, [spec], [str(tmp_path / "in")], RUN)
+    assert len([p for p in ran(spark, before).values() if "Scan text" in p]) == 2
+    got = {w.path.removesuffix(".parquet")[-1]: values(storage.read_table_files(spark, w.path), "v", "meta_source_line_number") for w in report.written["five"]}
+    assert got == {"A": [("1", 1), ("1", 1), ("5", 5), ("5", 5)], "B": [("2", 2)] * 2, "C": [("3", 3)] * 2, "D": [("4", 4)] * 2}
+    from quayside.session import shared_dir
+
+    assert not [p for p in storage.child_names(spark, shared_dir(spark)) if "kinds" in p]
