@@ -263,6 +263,30 @@ def upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(target.name({})).drop("meta_source_name")
 
 
+@query("""
+    select o_orderkey as k, o_orderpriority as priority,
+           case when o_orderpriority < '3' and o_orderkey % 2 = 0 then 'new ' else '' end || o_orderstatus as status,
+           case when o_orderpriority < '3' and o_orderkey % 2 = 0 then '2024_01_03_00_00_00' else '2024_01_02_00_00_00' end as snapshot_date
+    from orders
+    union all
+    select -o_orderkey, o_orderpriority, 'new ' || o_orderstatus, '2024_01_03_00_00_00' from orders
+    where o_orderpriority < '3' and o_orderkey % 2 = 0""")
+def upsert_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Updates and new orders of two priorities: the partitions of the others keep their files."""
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("k"), F.col("o_orderpriority").alias("priority"), F.col("o_orderstatus").alias("status")
+    )
+
+    def landed(rows: DataFrame, stamp: str) -> DataFrame:
+        return rows.withColumn("meta_source_name", F.lit(f"/landing/snapshot_date={stamp}/orders.csv")).withColumn("snapshot_date", F.lit(stamp))
+
+    target = ManagedTable(DATABASE, _fresh_name("orders"), scratch_path(spark, "parts"), keys=["k", "priority"], partition_columns=["priority"])
+    target.write(landed(orders, "2024_01_02_00_00_00"), {})
+    changed = orders.where((F.col("priority") < "3") & (F.col("k") % 2 == 0)).withColumn("status", F.concat(F.lit("new "), "status"))
+    target.write(landed(changed.unionByName(changed.withColumn("k", -F.col("k"))), "2024_01_03_00_00_00"), {})
+    return spark.table(target.name({})).select("k", "priority", "status", "snapshot_date")
+
+
 _FIRST_LOAD_SQL = f"""
     with e as ({EVENT_ROWS})
     select * from e {{where}} qualify row_number() over (partition by event_id % 1000 order by snapshot_date desc, event_type desc, event_id desc) = 1"""

@@ -44,6 +44,23 @@ def make_folder(spark: SparkSession, path: str) -> None:
     fs.mkdirs(where)
 
 
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a folder or file; the folder that it goes to is made."""
+    fs, where = _open(spark, path)
+    _, target = _open(spark, to)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(where, target):
+        raise OSError(f"could not move {path} to {to}")
+
+
+def leaf_folders(spark: SparkSession, root: str, depth: int) -> list[str]:
+    """The folders so many ``key=value`` levels below ``root``, by their path from there."""
+    found = [""]
+    for _ in range(depth):
+        found = [f"{f}/{n}" for f in found for n in child_names(spark, root + f) if "=" in n]
+    return [f.removeprefix("/") for f in found]
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     fs, where = _open(spark, path)
     if not fs.exists(where):

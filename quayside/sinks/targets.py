@@ -190,6 +190,8 @@ class ManagedTable:
     ``overwrite`` replaces the whole table. With ``keys`` each write is a merge: a
     format with row-level operations does it in place, Parquet gets a new version
     folder and the view of that name moves to it, the version before being kept.
+    Where the partition columns are among the keys, rows keep their partitions, and a Parquet merge reads and replaces only the
+    partitions that updates fall into; the others keep their files and there is no new version.
     One writer per table at a time is assumed.
     """
 
@@ -293,12 +295,18 @@ class ManagedTable:
 
     def _write_version(self, df: DataFrame, path: str, name: str) -> None:
         spark = df.sparkSession
+        self._finish_moves(spark, path)
         done = self.versions(spark, path)
         merged = self._updates(df)
         if done:
             current = storage.read_table_files(spark, f"{path}/version={done[-1]}")
             # the merge reads its updates several times
-            merged = merge_by_key(current, checkpoint(merged), self.keys, self.delete_unmatched, self.evolve)
+            updates = checkpoint(merged)
+            if self._keeps_partitions(current, updates):
+                self._merge_partitions(current, updates, path, done[-1])
+                spark.catalog.refreshTable(name)
+                return
+            merged = merge_by_key(current, updates, self.keys, self.delete_unmatched, self.evolve)
         fresh = f"{path}/version={done[-1] + 1 if done else 1}"
         writer = with_file_count(merged, self.num_files).write.mode("overwrite")
         if self.partition_columns:
@@ -308,6 +316,46 @@ class ManagedTable:
         for old in done[:-1]:
             storage.remove(spark, f"{path}/version={old}")
 
+    # partitions: merged rows are written beside the table and moved in once all are there
+
+    def _keeps_partitions(self, current: DataFrame, updates: DataFrame) -> bool:
+        """Whether a merge leaves all rows of other partitions, and the table's columns, as they are."""
+        among_keys = bool(self.partition_columns) and set(self.partition_columns) <= set(self.keys)
+        same_columns = not self.evolve or set(updates.columns) <= set(current.columns)
+        return among_keys and same_columns and not self.delete_unmatched
+
+    def _merge_partitions(self, current: DataFrame, updates: DataFrame, path: str, version: int) -> None:
+        spark, parts = current.sparkSession, list(self.partition_columns)
+        place = F.to_json(F.struct(*(F.col(quoted(c)).cast("string").alias(c) for c in parts)))
+        # one text per partition, as many as the catalog would name
+        touched = [r[0] for r in updates.select(place).distinct().collect()]
+        kinds = {f.name: f.dataType for f in updates.schema}
+        before = current.where(place.isin(touched)).withColumns({c: F.col(quoted(c)).cast(kinds[c]) for c in parts})
+        merged = merge_by_key(before, updates, self.keys, False, self.evolve)
+        work = self._moving(path, version)
+        with_file_count(merged, self.num_files).write.mode("overwrite").partitionBy(*parts).parquet(work)
+        self._finish_moves(spark, path)
+
+    @staticmethod
+    def _moving(path: str, version: int) -> str:
+        return f"{path}/_moving_{version}"
+
+    def _finish_moves(self, spark: SparkSession, path: str) -> None:
+        """Put merged partitions in the place of the old ones, also those that a driver which died left behind.
+
+        A folder without its _SUCCESS marker was not written to the end and goes.
+        """
+        for name in storage.child_names(spark, path):
+            if not name.startswith("_moving_"):
+                continue
+            work, root = f"{path}/{name}", f"{path}/version={name.removeprefix('_moving_')}"
+            if storage.exists(spark, f"{work}/_SUCCESS"):
+                for folder in storage.leaf_folders(spark, work, len(self.partition_columns)):
+                    storage.remove(spark, f"{root}/{folder}")
+                    storage.move(spark, f"{work}/{folder}", f"{root}/{folder}")
+                spark.catalog.refreshByPath(root)
+            storage.remove(spark, work)
+
     def delete(
         self, spark: SparkSession, tokens: Mapping[str, str], snapshot: str | None = None, file: str | None = None
     ) -> None:

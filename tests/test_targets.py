@@ -186,3 +186,60 @@ def test_folders_may_hold_quotes(spark, rows, tmp_path, name):
     keyed = ManagedTable("qs_test", name + "k", str(tmp_path / "it's `k`"), keys=["id"])
     keyed.write(rows, {})
     assert spark.table(keyed.name({})).count() == rows.count()
+
+
+def keyed_rows(spark, rows, stamp):
+    made = [(k, d, v, f"/in/snapshot_date={stamp}/x.csv", stamp) for k, d, v in rows]
+    return spark.createDataFrame(made, "k int, d string, v string, meta_source_name string, snapshot_date string")
+
+
+def files_of(folder):
+    return {str(p.relative_to(folder)) for p in folder.rglob("*.parquet")}
+
+
+def test_a_merge_replaces_touched_partitions_only(spark, tmp_path, name, monkeypatch):
+    target = ManagedTable("qs_test", name, str(tmp_path / "t"), keys=["k", "d"], partition_columns=["d"])
+    target.write(keyed_rows(spark, [(1, "a", "x"), (2, "a", "x"), (1, "b", "x"), (3, "c/ d", "x"), (4, None, "x")], S1), {})
+    version = tmp_path / "t" / "version=1"
+    before = files_of(version)
+    target.write(keyed_rows(spark, [(1, "a", "y"), (9, "c/ d", "y"), (5, "new", "y"), (4, None, "y")], S2), {})
+
+    def stored():
+        return values(spark.table(target.name({})), "k", "d", "v")
+
+    want = [(1, "a", "y"), (1, "b", "x"), (2, "a", "x"), (3, "c/ d", "x"), (4, None, "x"), (4, None, "y"), (5, "new", "y"), (9, "c/ d", "y")]
+    assert stored() == sorted(want, key=repr)
+    kept = {f for f in before if f.startswith("d=b/")}
+    assert kept <= files_of(version) and files_of(version) & before == kept
+    assert not (tmp_path / "t" / "version=2").exists()
+
+    # a driver that dies between two moves: the next write finishes them first
+    real, moved = storage.move, []
+
+    def dies(*args):
+        if moved:
+            raise KeyboardInterrupt
+        moved.append(real(*args))
+
+    monkeypatch.setattr(storage, "move", dies)
+    with pytest.raises(KeyboardInterrupt):
+        target.write(keyed_rows(spark, [(1, "a", "z"), (1, "b", "z")], S3), {})
+    monkeypatch.undo()
+    # what was not written to the end does not count
+    (tmp_path / "t" / "_moving_1x" / "d=b").mkdir(parents=True)
+    target.write(keyed_rows(spark, [(7, "e", "z")], S3), {})
+    assert not list((tmp_path / "t").glob("_moving*"))
+    got = {(k, d): v for k, d, v in stored() if d in ("a", "b", "e")}
+    assert got == {(1, "a"): "z", (2, "a"): "x", (1, "b"): "z", (7, "e"): "z"}
+
+
+def test_a_merge_that_may_move_rows_makes_a_version(spark, tmp_path, name):
+    target = ManagedTable("qs_test", name, str(tmp_path / "t"), keys=["k"], partition_columns=["d"])
+    target.write(keyed_rows(spark, [(1, "a", "x"), (2, "b", "x")], S1), {})
+    target.write(keyed_rows(spark, [(1, "b", "y")], S2), {})
+    assert values(spark.table(target.name({})), "k", "d", "v") == [(1, "b", "y"), (2, "b", "x")]
+    assert (tmp_path / "t" / "version=2").exists()
+    wider = ManagedTable("qs_test", name + "w", str(tmp_path / "w"), keys=["k", "d"], partition_columns=["d"])
+    wider.write(keyed_rows(spark, [(1, "a", "x"), (2, "b", "x")], S1), {})
+    wider.write(keyed_rows(spark, [(1, "a", "y")], S2).withColumn("more", F.lit("m")), {})
+    assert values(spark.table(wider.name({})), "k", "d", "v", "more") == [(1, "a", "y", "m"), (2, "b", "x", None)]
