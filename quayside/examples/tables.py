@@ -105,6 +105,18 @@ def delete_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read_events(spark, path)
 
 
+@query(f"""
+    with e as ({EVENT_ROWS}) select * from e
+    where not (event_type in ('click', 'view') and snapshot_date = '2024_01_03_00_00_00')""")
+def delete_file_managed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of two landed files deleted from a managed table at once: only data files that hold some are read and rewritten."""
+    target = ManagedTable(DATABASE, _fresh_name("events"), scratch_path(spark, "managed"), partition_columns=["event_type"])
+    target.write(_events_by_day(spark, sf_dir), {})
+    stamp = "2024_01_03_00_00_00"
+    target.delete(spark, {}, stamp, [f"/landing/snapshot_date={stamp}/{kind}.json" for kind in ("click", "view")])
+    return spark.table(target.name({})).select("event_id", "event_type", "snapshot_date")
+
+
 @query(f"""
     with e as ({EVENT_ROWS}) select * from e where snapshot_date <> '2024_01_03_00_00_00'""")
 def delete_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:

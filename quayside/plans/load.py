@@ -260,19 +260,24 @@ def _scan(group: DataFrame, extension: str) -> Files:
 
 
 def delete_loaded(spark: SparkSession, specs: dict[str, LoadSpec], planned: DataFrame, run: Run) -> None:
-    """Delete what the planned files wrote: per requested folder and spec, or per requested file."""
+    """Delete what the planned files wrote: per requested folder and spec, or of the requested files."""
     folders = planned.where("not as_file").select("request", "spec").distinct().collect()
     for row in folders:
         spec = specs[row["spec"]]
         stamp = _last_stamp(row["request"])
         for tokens in spec.source.type_tokens():
             spec.target.delete(spark, spec.frame_tokens(run, tokens, stamp), snapshot=stamp)
-    for row in planned.where("as_file").select("path", "spec").collect():
-        spec, stamp = specs[row["spec"]], _last_stamp(row["path"])
+    # all files of a spec and a stamp at once, so that a target is rewritten once for them
+    together: dict[tuple[str, str], list[str]] = {}
+    for row in planned.where("as_file").select("path", "spec").orderBy("path").collect():
+        stamp = _last_stamp(row["path"])
         if stamp is None:
             raise ValueError(f"no snapshot stamp in path: {row['path']}")
+        together.setdefault((row["spec"], stamp), []).append(row["path"])
+    for (name, stamp), files in together.items():
+        spec = specs[name]
         for tokens in spec.source.type_tokens():
-            spec.target.delete(spark, spec.frame_tokens(run, tokens, stamp), snapshot=stamp, file=row["path"])
+            spec.target.delete(spark, spec.frame_tokens(run, tokens, stamp), snapshot=stamp, file=files)
 
 
 def _last_stamp(path: str) -> str | None:

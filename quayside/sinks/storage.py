@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside import SNAPSHOT
+from quayside import SNAPSHOT, SOURCE_NAME
 from quayside.sources.frames import Files
 
 
@@ -91,16 +91,18 @@ def read_table_files(spark: SparkSession, root: str, files: Sequence[str] | None
     return reader.schema(schema).parquet(*paths)
 
 
-def delete_rows(spark: SparkSession, root: str, doomed: Column, partition_by: Sequence[str], scope: str | None = None) -> int:
+def delete_rows(
+    spark: SparkSession, root: str, doomed: Column, partition_by: Sequence[str], scope: str | None = None, among: Sequence[str] | None = None
+) -> int:
     """Rewrite just the data files that hold a doomed row; returns how many.
 
-    ``scope`` is a partition folder to look in. Kept rows are appended before the
+    ``scope`` is a partition folder to look in, ``among`` names the data files to look in. Kept rows are appended before the
     old files go, so a crash in between leaves rows twice rather than not at all.
     """
     where = scope or root
-    if not exists(spark, where):
+    if not exists(spark, where) or (among is not None and not among):
         return 0
-    table = read_table_files(spark, root, [where])
+    table = read_table_files(spark, root, [where] if among is None else Files.literal(among).paths)
     hit = table.where(doomed).select(F.col("_metadata.file_path").alias("file")).distinct()
     files = [unquote(r["file"]) for r in hit.toLocalIterator()]
     if not files:
@@ -115,9 +117,21 @@ def delete_rows(spark: SparkSession, root: str, doomed: Column, partition_by: Se
     return len(files)
 
 
-def rows_of_file(file: str) -> Column:
-    """Rows that came from one landed file, told by its path from the snapshot folder on."""
-    at = file.find(SNAPSHOT)
-    if at < 0:
-        raise ValueError(f"cannot delete by file: no {SNAPSHOT} folder in {file!r}")
-    return F.endswith(F.col("meta_source_name"), F.lit(file[at:]))
+def landed_suffixes(files: Sequence[str]) -> list[str]:
+    """The paths of landed files from their snapshot folder on."""
+    for file in files:
+        if SNAPSHOT not in file:
+            raise ValueError(f"cannot delete by file: no {SNAPSHOT} folder in {file!r}")
+    return [file[file.find(SNAPSHOT):] for file in files]
+
+
+def rows_of_files(files: Sequence[str]) -> Column:
+    """Rows that came from any of the landed files, told by their paths from the snapshot folder on."""
+    suffixes = landed_suffixes(files)
+    source = F.col(SOURCE_NAME)
+    last = F.regexp_extract(source, f".*({SNAPSHOT}.*)$", 1)
+    one_of = last.isin(sorted({s[s.rfind(SNAPSHOT):] for s in suffixes}))
+    if all(s.rfind(SNAPSHOT) == 0 for s in suffixes):
+        return one_of
+    ends = F.array(*map(F.lit, suffixes))
+    return one_of & F.exists(ends, lambda s: F.endswith(source, s))

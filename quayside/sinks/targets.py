@@ -11,12 +11,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside import SNAPSHOT
+from quayside import SNAPSHOT, SOURCE_NAME
 from quayside.functions.names import quoted
 from quayside.functions.paths import fill_text
 from quayside.operators.upsert import latest_per_key, merge_by_key
 from quayside.session import checkpoint
-from quayside.sinks import storage
+from quayside.sinks import file_index, storage
 
 SAVE_MODES = ("append", "overwrite", "ignore", "errorifexists")
 _NAME = re.compile(r"[a-zA-Z_0-9/.]+")
@@ -49,6 +49,10 @@ def _check_name(name: str) -> None:
         raise ValueError(f"not a valid table or database name: {name!r}")
 
 
+def _listed(files: str | Sequence[str]) -> list[str]:
+    return [files] if isinstance(files, str) else list(files)
+
+
 def with_file_count(df: DataFrame, num_files: int | None) -> DataFrame:
     """Spread rows evenly over ``num_files`` tasks; without a number, write as scanned."""
     return df if num_files is None else df.repartition(num_files)
@@ -111,13 +115,13 @@ class SnapshotFiles:
         """Called after files below ``path`` were removed."""
 
     def delete(
-        self, spark: SparkSession, tokens: Mapping[str, str], snapshot: str | None = None, file: str | None = None
+        self, spark: SparkSession, tokens: Mapping[str, str], snapshot: str | None = None, file: str | Sequence[str] | None = None
     ) -> None:
-        """Delete one file's rows, one snapshot, or with neither everything."""
+        """Delete the rows of a file or of several files of a snapshot, one snapshot, or with neither everything."""
         path = self.path(tokens)
         folder = f"{path}/{SNAPSHOT}={snapshot}" if snapshot else path
         if file and self.save_mode != "overwrite":
-            storage.delete_rows(spark, path, storage.rows_of_file(file), [SNAPSHOT], folder)
+            storage.delete_rows(spark, path, storage.rows_of_files(_listed(file)), [SNAPSHOT], folder)
         elif storage.exists(spark, folder):
             storage.remove(spark, folder)
         self.unregister(spark, path, tokens)
@@ -357,9 +361,12 @@ class ManagedTable:
             storage.remove(spark, work)
 
     def delete(
-        self, spark: SparkSession, tokens: Mapping[str, str], snapshot: str | None = None, file: str | None = None
+        self, spark: SparkSession, tokens: Mapping[str, str], snapshot: str | None = None, file: str | Sequence[str] | None = None
     ) -> None:
-        """Delete one file's rows, one snapshot's rows, or with neither everything."""
+        """Delete the rows of a file or of several files, one snapshot's rows, or with neither everything.
+
+        An index tells which data files hold rows of a landed file; no others are read.
+        """
         path, name = self.path(tokens), self.name(tokens)
         if not storage.exists(spark, path):
             return
@@ -367,14 +374,20 @@ class ManagedTable:
             spark.sql(f"DROP VIEW IF EXISTS {name}" if self._is_view(spark, name) else f"DROP TABLE IF EXISTS {name}")
             storage.remove(spark, path)
             return
-        doomed = storage.rows_of_file(file) if file else F.col(SNAPSHOT) == snapshot
+        files = _listed(file) if file else []
+        doomed = storage.rows_of_files(files) if files else F.col(SNAPSHOT) == snapshot
         if self.format != "parquet":
-            suffix = file[file.find(SNAPSHOT):] if file else ""
-            condition = f"endswith(meta_source_name, {sql_text(suffix)})" if file else f"{SNAPSHOT} = {sql_text(snapshot)}"
-            spark.sql(f"DELETE FROM {name} WHERE {condition}")
+            ends = " OR ".join(f"endswith({SOURCE_NAME}, {sql_text(s)})" for s in storage.landed_suffixes(files))
+            spark.sql(f"DELETE FROM {name} WHERE {ends or f'{SNAPSHOT} = {sql_text(snapshot)}'}")
             return
-        root = f"{path}/version={self.versions(spark, path)[-1]}" if self.keys else path
-        storage.delete_rows(spark, root, doomed, self.partition_columns)
+        root = path
+        if self.keys:
+            self._finish_moves(spark, path)
+            root = f"{path}/version={self.versions(spark, path)[-1]}"
+        among = None
+        if files:
+            among = file_index.data_files(spark, root, sorted({s[s.rfind(SNAPSHOT):] for s in storage.landed_suffixes(files)}))
+        storage.delete_rows(spark, root, doomed, self.partition_columns, among=among)
 
     @staticmethod
     def _is_view(spark: SparkSession, name: str) -> bool:

@@ -1,18 +1,21 @@
 """Spreadsheet workbooks (``.xlsx``, also ``.xlsx.bz2``), many files in one job.
 
-Each workbook is unpacked inside a task, sheet by sheet and row by row. What comes
+Each workbook is unpacked inside a task, sheet by sheet and row by row, from XML events: besides the packed
+file and its shared strings, which are kept as bytes, a task holds a batch of rows. What comes
 out is a frame of sheet rows, ``(file, sheet, row, cells)``; ranges, headers and
 sheet choice are plain DataFrame work on it.
 """
 
 from __future__ import annotations
 
+import array
 import bz2
 import io
 import re
 import zipfile
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -28,7 +31,9 @@ from quayside.session import checkpoint
 from quayside.sources.frames import Files, Frame
 
 ROWS_SCHEMA = f"{SOURCE_NAME} string, sheet_order int, sheet string, row int, cells array<string>"
+#: Rows of a batch, and characters after which it is handed on with fewer.
 BATCH_ROWS = 4096
+BATCH_CHARS = 1 << 22
 
 # fixed values: names used inside the workbook format
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
@@ -52,15 +57,33 @@ def cell_position(address: str) -> tuple[int, int]:
     return int(found[2]), column_number(found[1])
 
 
-def _shared_strings(book: zipfile.ZipFile) -> list[str]:
+class _Strings:
+    """The shared strings of a workbook: one run of bytes and where each ends."""
+
+    def __init__(self) -> None:
+        self.data, self.ends = bytearray(), array.array("Q", [0])
+
+    def add(self, text: str) -> None:
+        self.data += text.encode("utf-8", "surrogatepass")
+        self.ends.append(len(self.data))
+
+    def __getitem__(self, n: int) -> str:
+        if not 0 <= n < len(self.ends) - 1:
+            raise ValueError(f"no shared string {n}")
+        return self.data[self.ends[n] : self.ends[n + 1]].decode("utf-8", "surrogatepass")
+
+
+def _shared_strings(book: zipfile.ZipFile) -> _Strings:
+    strings = _Strings()
     if "xl/sharedStrings.xml" not in book.namelist():
-        return []
-    strings = []
+        return strings
     with book.open("xl/sharedStrings.xml") as part:
-        for _, item in ElementTree.iterparse(part):
-            if item.tag == _MAIN + "si":
-                strings.append("".join(t.text or "" for t in item.iter(_MAIN + "t")))
-                item.clear()
+        root = None
+        for event, item in ElementTree.iterparse(part, ("start", "end")):
+            root = item if root is None else root
+            if event == "end" and item.tag == _MAIN + "si":
+                strings.add("".join(t.text or "" for t in item.iter(_MAIN + "t")))
+                root.clear()
     return strings
 
 
@@ -73,7 +96,7 @@ def _sheets(book: zipfile.ZipFile) -> list[tuple[str, str]]:
     return [(n, t.lstrip("/") if t.startswith("/") else "xl/" + t) for n, t in parts]
 
 
-def _cell_text(cell: ElementTree.Element, strings: list[str]) -> str:
+def _cell_text(cell: ElementTree.Element, strings: _Strings) -> str:
     """Raw text of a cell; an error cell is empty."""
     kind = cell.get("t")
     if kind == "inlineStr":
@@ -88,7 +111,7 @@ def _cell_text(cell: ElementTree.Element, strings: list[str]) -> str:
     return value
 
 
-def _sheet_rows(part: io.BufferedIOBase, strings: list[str]) -> Iterator[tuple[int, list[str | None]]]:
+def _sheet_rows(part: io.BufferedIOBase, strings: _Strings) -> Iterator[tuple[int, list[str | None]]]:
     number = 0
     for event, node in ElementTree.iterparse(part, ("start", "end")):
         if node.tag == _MAIN + "sheetData" and event == "start":
@@ -113,14 +136,15 @@ def _unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             with zipfile.ZipFile(io.BytesIO(raw)) as book:
                 strings = _shared_strings(book)
                 for order, (sheet, target) in enumerate(_sheets(book)):
-                    pending, empty = [], True
+                    pending, chars, empty = [], 0, True
                     with book.open(target) as part:
                         for row, cells in _sheet_rows(part, strings):
                             pending.append((path, order, sheet, row, cells))
+                            chars += sum(len(c) for c in cells if c)
                             empty = False
-                            if len(pending) == BATCH_ROWS:
+                            if len(pending) == BATCH_ROWS or chars > BATCH_CHARS:
                                 yield pd.DataFrame(pending, columns=names)
-                                pending = []
+                                pending, chars = [], 0
                     if empty:  # the sheet still exists; row 0 lies in no range
                         pending.append((path, order, sheet, 0, []))
                     if pending:
@@ -283,7 +307,7 @@ class SheetOption:
 class WorkbookUnion:
     """All matching sheets of each workbook in one frame, with a sheet-name column.
 
-    The first matching option reads a sheet. Its label is the custom name, else the
+    Sheets of one workbook must have the same columns. Workbooks with other columns give frames of their own. The first matching option reads a sheet. Its label is the custom name, else the
     first capture group of the pattern, else the sheet name.
     """
 
@@ -319,11 +343,29 @@ class WorkbookUnion:
                     names += [] if self.sheet_column in names else [self.sheet_column]
                     frame = rename_positional(frame, names)
                 frames.append(clean_columns(frame))
-        whole = union_by_name(frames)
-        if whole is None:
-            session = rows.sparkSession
-            whole = session.createDataFrame([], f"emptyOutput string, {SOURCE_NAME} string")
-        return [Frame(whole, self.type_tokens()[0])]
+        if not frames:
+            return [Frame(rows.sparkSession.createDataFrame([], f"{SOURCE_NAME} string"), self.type_tokens()[0])]
+        by_columns: dict[tuple[str, ...], list[DataFrame]] = {}
+        for frame in frames:
+            by_columns.setdefault(tuple(sorted(frame.columns)), []).append(frame)
+        if len(by_columns) > 1:
+            self._require_one_layout(by_columns)
+        # sheets without rows count only where there are no others
+        wholes = {columns: union_by_name(group) for columns, group in by_columns.items()}
+        filled = {columns: df for columns, df in wholes.items() if len(wholes) == 1 or not df.isEmpty()}
+        chosen = filled or dict(list(wholes.items())[:1])
+        return [Frame(df, self.type_tokens()[0], columns) for columns, df in chosen.items()]
+
+    @staticmethod
+    def _require_one_layout(by_columns: dict[tuple[str, ...], list[DataFrame]]) -> None:
+        """Raise if a workbook has sheets of different columns."""
+        columns = list(by_columns)
+        used = [f.select(SOURCE_NAME, F.lit(n).alias("layout")).distinct() for n, c in enumerate(columns) for f in by_columns[c]]
+        mixed = reduce(DataFrame.union, used).groupBy(SOURCE_NAME).agg(F.collect_set("layout").alias("layouts")).where(F.size("layouts") > 1)
+        if found := mixed.first():
+            first, second = sorted(found["layouts"])[:2]
+            lacking = sorted(set(columns[first]) ^ set(columns[second]))
+            raise ValueError(f"sheets of {found[SOURCE_NAME]} differ in columns {lacking}")
 
     @staticmethod
     def _label(option: SheetOption) -> Column:

@@ -243,3 +243,49 @@ def test_a_merge_that_may_move_rows_makes_a_version(spark, tmp_path, name):
     wider.write(keyed_rows(spark, [(1, "a", "x"), (2, "b", "x")], S1), {})
     wider.write(keyed_rows(spark, [(1, "a", "y")], S2).withColumn("more", F.lit("m")), {})
     assert values(spark.table(wider.name({})), "k", "d", "v", "more") == [(1, "a", "y", "m"), (2, "b", "x", None)]
+
+
+def test_deletes_read_only_data_files_of_the_landed_files(spark, tmp_path, name, monkeypatch):
+    from quayside.sinks import file_index
+
+    target = ManagedTable("qs_test", name, str(tmp_path / "t"))
+    root = tmp_path / "t"
+
+    def landed(file, n, stamp=S1):
+        made = [(f"{file}{i}", f"file:/in/snapshot_date={stamp}/{file}.csv", stamp) for i in range(n)]
+        return spark.createDataFrame(made, "id string, meta_source_name string, snapshot_date string").coalesce(1)
+
+    for file in "abcd":
+        target.write(landed(file, 3), {})
+    target.write(landed("d", 2).unionByName(landed("e", 1)).coalesce(1), {})
+    names = {f.name: f for f in root.glob("*.parquet")}
+    read = []
+    real = storage.read_table_files
+    monkeypatch.setattr(storage, "read_table_files", lambda s, r, files=None: read.append(sorted(files or [])) or real(s, r, files))
+    target.delete(spark, {}, S1, ["/x/snapshot_date=" + S1 + "/d.csv", "/x/snapshot_date=" + S1 + "/a.csv"])
+    assert ids(spark.table(target.name({}))) == ["b0", "b1", "b2", "c0", "c1", "c2", "e0"]
+    # all files for the index, three to look in, the same three to rewrite at once
+    assert [len(r) for r in read] == [5, 3, 3] and read[1] == read[2]
+    kept = {f.name for f in root.glob("*.parquet")}
+    assert len(kept & set(names)) == 2
+    read.clear()
+    target.write(landed("f", 1), {})
+    target.delete(spark, {}, S1, "/x/snapshot_date=" + S1 + "/f.csv")
+    # the index knows all but the rewritten files and the new one
+    assert [len(r) for r in read] == [len(kept) - 2 + 1, 1, 1]
+    read.clear()
+    target.delete(spark, {}, S1, "/x/snapshot_date=" + S1 + "/gone.csv")
+    # no data file to look in
+    assert len(read) <= 1 and ids(spark.table(target.name({})))[-1] == "e0"
+    assert file_index.bring_up_to_date(spark, str(root)) == 0
+
+
+def test_rows_of_files_in_nested_snapshot_folders(spark):
+    names = ["/a/snapshot_date=1/b.csv", "/snapshot_date=1/x/snapshot_date=2/b.csv", "/snapshot_date=3/x/snapshot_date=2/b.csv", "/a/b.csv"]
+    rows = spark.createDataFrame([(n,) for n in names], "meta_source_name string")
+    hit = lambda *files: [r[0] for r in rows.where(storage.rows_of_files(files)).collect()]
+    assert hit("s3://x/snapshot_date=1/b.csv") == names[:1]
+    assert hit("/q/snapshot_date=1/x/snapshot_date=2/b.csv") == names[1:2]
+    assert hit("/q/snapshot_date=1/b.csv", "/snapshot_date=3/x/snapshot_date=2/b.csv") == [names[0], names[2]]
+    with pytest.raises(ValueError, match="no snapshot_date folder"):
+        hit("/a/b.csv")

@@ -99,3 +99,48 @@ def test_union_takes_the_first_matching_option(spark, land):
     assert values(frame.df, "id", "v_num", "month") == [("1", "x", "Jan"), ("2", "y", "Feb"), ("3", "w", "extra")]
     nothing = WorkbookUnion("s", "Month", [SheetOption("^Q", "A1", True)]).read(spark, Files([land({"a.xlsx": book})]))
     assert nothing[0].df.isEmpty()
+
+
+def test_workbooks_of_other_layouts_give_other_frames(spark, land):
+    def sheet(*rows):
+        return [{f"A{n}": a, f"B{n}": b} for n, (a, b) in enumerate(rows, 1)]
+
+    one = build_workbook({"Jan": sheet(("id", "v"), (1, "x")), "Feb": sheet(("v", "id"), ("y", 2)), "Mar": sheet(("other", "header"))})
+    two = build_workbook({"Jan": sheet(("id", "w"), (3, "z"))})
+    source = WorkbookUnion("s", "month", [SheetOption(".", "A1", True)])
+    frames = source.read(spark, Files([land({"a.xlsx": one, "b.xlsx": two, "c.xlsx": one})]))
+    got = {f.layout: values(f.df, "id", "month") for f in frames}
+    assert got == {
+        ("id", "meta_source_name", "month", "v"): [("1", "Jan"), ("1", "Jan"), ("2", "Feb"), ("2", "Feb")],
+        ("id", "meta_source_name", "month", "w"): [("3", "Jan")],
+    }
+    mixed = build_workbook({"Jan": sheet(("id", "v"), (1, "x")), "Feb": sheet(("id", "w"), (1, "x"))})
+    with pytest.raises(ValueError, match=r"mixed.xlsx differ in columns \['v', 'w'\]"):
+        source.read(spark, Files([land({"mixed.xlsx": mixed}, root="other")]))
+
+
+def test_a_large_workbook_is_read_in_bounded_memory():
+    """200,000 rows of shared and inline texts: beyond the packed file and the strings, no more than some batches."""
+    import tracemalloc
+
+    import pandas as pd
+
+    from quayside.sources import workbook
+
+    count = 200_000
+    body = "".join(f'<row r="{n}"><c r="A{n}" t="s"><v>{n % 20_000}</v></c><c r="B{n}"><v>{n}</v></c></row>' for n in range(1, count + 1))
+    content = with_shared_strings(build_workbook({"Sheet1": []}), "xl/worksheets/sheet1.xml", body, [f"text number {n}" for n in range(20_000)])
+    del body
+    batch = pd.DataFrame({"meta_source_name": ["file:/a.xlsx"], "content": [content]})
+    tracemalloc.start()
+    try:
+        rows, largest, last = 0, 0, None
+        for part in workbook._unpack(iter([batch])):
+            rows, largest, last = rows + len(part), max(largest, len(part)), part.iloc[-1]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows == count and largest <= workbook.BATCH_ROWS
+    assert list(last["cells"]) == [f"text number {count % 20_000}", str(count)]
+    # all rows as texts would take over 60 MB
+    assert peak < 12 << 20, peak
