@@ -77,7 +77,7 @@ def _fingerprints(words: Words, n: int, k: int) -> np.ndarray:
 def _hits(words: Words, index: Index, document_prints: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
     """(document, first word, end, item) of every maximal stretch that a document shares with an item."""
     document_of = words.text_of()
-    reached: dict[tuple[int, int], int] = {}  # by item word against document word: up to where they were compared
+    reached: dict[tuple[int, int, int], int] = {}  # by document, item, and item word against document word: up to where they were compared
     for width, (keys, places) in index.tables.items():
         own = runs(words.hashes, width)
         if not len(own):
@@ -91,10 +91,10 @@ def _hits(words: Words, index: Index, document_prints: np.ndarray) -> Iterator[t
             first, end = int(words.at[document]), int(words.at[document + 1])
             for there in places[low[c] : high[c]]:
                 item = int(index.item_of[there])
-                if reached.get((document, here - int(there)), 0) > here:
+                if reached.get((document, item, here - int(there)), 0) > here:
                     continue
                 left, right = _extend(words.hashes, here, first, end, index.words, int(there), int(index.at[item]), int(index.at[item + 1]))
-                reached[document, here - int(there)] = right
+                reached[document, item, here - int(there)] = right
                 if right - left >= min(index.n, int(index.at[item + 1] - index.at[item])):
                     yield document, left - first, right - first, item
 
