@@ -5,8 +5,9 @@ documents, a fingerprint grows with its document, the fingerprint of a union is
 fingerprints, and the share of one fingerprint inside another estimates how much of one document
 the other contains, however unequal their lengths.
 
-The query has a floor: a text of at most ``FEW`` shingles is written with all its hashes, and compared by all hashes of both texts. Those
-below the threshold are its scaled sketch, as of any text.
+The query has a floor: a text of at most ``FEW`` shingles is written with all its hashes, any other with those below the threshold. A written fingerprint begins with the
+threshold below which it is complete, as a part of the hash range, and two of them are compared by their hashes below the lower one of their thresholds. So a likeness depends
+on the two written fingerprints alone, and a union is complete below that threshold too.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from quayside.llm.words import runs, slices, whole_runs, words_of
 SHINGLE = 5
 #: The part of all shingles that is kept.
 FRACTION = 0.25
-#: Texts of at most so many shingles are compared by all of them; a sketch of more is empty with a probability of 1e-8.
+#: Texts of at most so many shingles are written with all of them; a sketch of more is empty with a probability of 1e-8.
 FEW = 64
 #: Bits of a hash that a fingerprint holds.
 BITS = 48
@@ -57,9 +58,18 @@ def sketches(texts: pa.Array, fraction: float = FRACTION) -> list[np.ndarray]:
     return np.split(key, np.searchsorted(text_of, np.arange(1, len(texts))))
 
 
-def written(sketch: np.ndarray) -> str:
-    """A fingerprint as text: its hashes in order, six bytes each, in base 64, so eight characters a hash."""
-    return base64.b64encode(sketch.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()).decode()
+def written(sketch: np.ndarray, fraction: float) -> str:
+    """A fingerprint as text: the threshold, a colon, and its hashes in order, six bytes each, in base 64, so eight characters a hash."""
+    return f"{fraction:g}:" + base64.b64encode(sketch.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()).decode()
+
+
+def read(text: str) -> tuple[np.ndarray, float]:
+    """The hashes and the threshold of a written fingerprint."""
+    fraction, _, hashes = text.partition(":")
+    parts = np.frombuffer(base64.b64decode(hashes), np.uint8).reshape(-1, 6)
+    whole = np.zeros((len(parts), 8), np.uint8)
+    whole[:, 2:] = parts
+    return whole.reshape(-1).view(">u8").astype(np.uint64), float(fraction)
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> float:
@@ -74,17 +84,15 @@ def scaled(whole: np.ndarray, fraction: float = FRACTION) -> np.ndarray:
     return whole[: np.searchsorted(whole, np.uint64(int(fraction * 2**BITS)))]
 
 
-def floored(whole: np.ndarray) -> np.ndarray:
-    """All hashes of a text of few shingles, the scaled sketch of another."""
-    return whole if len(whole) <= FEW else scaled(whole)
+def floored(whole: np.ndarray) -> tuple[np.ndarray, float]:
+    """All hashes of a text of few shingles, the scaled sketch of another, and the threshold below which they are all its hashes."""
+    return (whole, 1.0) if len(whole) <= FEW else (scaled(whole), FRACTION)
 
 
-def nearness(a: np.ndarray, b: np.ndarray) -> float:
-    """The overlap of two texts, given all their hashes: by all of them if one has few shingles. Only texts without words are empty."""
-    parts = scaled(a), scaled(b)
-    if min(len(a), len(b)) <= FEW or not all(map(len, parts)):
-        return overlap(a, b)
-    return overlap(*parts)
+def nearness(a: tuple[np.ndarray, float], b: tuple[np.ndarray, float]) -> float:
+    """The overlap of two fingerprints below the lower one of their thresholds."""
+    least = min(a[1], b[1])
+    return overlap(scaled(a[0], least), scaled(b[0], least))
 
 
 def fingerprint(docs: DataFrame, text: str = "text", fraction: float = FRACTION, to: str = "sketch") -> DataFrame:
@@ -158,13 +166,13 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not pairs:
                 continue
             edited = [texts[i][: len(texts[i]) - len(texts[i]) // 3] + texts[i + 1][: len(texts[i]) // 3] for i in pairs]
-            own, changed = sketches(pa.array(texts, pa.large_string()), 1.0), sketches(pa.array(edited, pa.large_string()), 1.0)
+            own, changed = ([floored(s) for s in sketches(pa.array(t, pa.large_string()), 1.0)] for t in (texts, edited))
             columns = [
                 [rows[i][0] for i in pairs],
                 [len(texts[i]) for i in pairs],
                 [hashlib.sha256(t.encode()).hexdigest() for t in edited],
-                [written(floored(own[i])) for i in pairs],
-                [written(floored(s)) for s in changed],
+                [written(*own[i]) for i in pairs],
+                [written(*s) for s in changed],
                 [nearness(own[i], s) for i, s in zip(pairs, changed)],
                 [nearness(own[i], own[i + 1]) for i in pairs],
             ]

@@ -1,6 +1,8 @@
 """Operators that treat each document by itself: language, leaks, shards, fingerprints, pages."""
 
+import base64
 import hashlib
+import random
 
 import pyarrow as pa
 import pytest
@@ -65,6 +67,36 @@ def test_held_out_language_is_right_nine_times_in_ten(spark):
     assert found.where("lang = lang_pred").count() >= 0.9 * found.count() > 0
 
 
+def brute_hits(doc, items, n=10):
+    """Words of a document inside an occurrence of a window of an item, and the items found."""
+    hit, found = set(), set()
+    for name, item in items:
+        size = min(n, len(item))
+        windows = {tuple(item[i : i + size]) for i in range(len(item) - size + 1)} if size else set()
+        for i in range(len(doc) - size + 1) if size else ():
+            if tuple(doc[i : i + size]) in windows:
+                hit |= set(range(i, i + size))
+                found.add(name)
+    return len(hit), sorted(found)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_hits_of_items_of_all_lengths(spark, seed):
+    """Items of 1 to 25 words beside each other, of few different words, so that places of several items fall on one diagonal."""
+    rng = random.Random(seed)
+    names = [f"w{i}" for i in range(rng.choice([3, 12, 40]))]
+    items = [(f"i{n}", [rng.choice(names) for _ in range(rng.randrange(1, rng.choice([4, 13, 26])))]) for n in range(60)]
+    docs = [[rng.choice([*names, "own", "other"]) for _ in range(rng.randrange(0, 90))] for _ in range(60)]
+    docs += [docs[0][:5] + items[n][1] + items[-n][1] + ["own"] + items[n][1] for n in range(1, 20)]
+    frame = spark.createDataFrame([(n, " ".join(d)) for n, d in enumerate(docs)], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(n, " ".join(w)) for n, w in items], "item_id string, text string")
+    got = {}
+    for row in decontaminate.find_leaks(frame, bench).collect():
+        covered = {i for s in row.leaks for i in range(s.start, s.end)}
+        got[row.doc_id] = (len(covered), sorted({s.item for s in row.leaks}))
+    assert got == {n: brute_hits(d, items) for n, d in enumerate(docs)}
+
+
 def test_shards_are_even_and_stable(spark):
     names = [f"s{i}" for i in range(20)]
     table, fewer = sharding.fill(names), sharding.fill(names[:-1])
@@ -117,10 +149,37 @@ def test_short_texts_are_alike_only_if_they_share_words():
     made = [r for b in fingerprint._compare(iter([batch])) for r in b.to_pylist()]
     near = {r["doc_id"]: r["near_next"] for r in made}
     assert all(near[n] == 0.0 for n in range(40)) and near[40] == near[42] == 1.0 and near[41] == near[43] == near[44] == 0.0
-    assert near[45] == 1.0  # the words that a long text begins with, all of them in it
-    assert all((r["fingerprint"] == "") == (r["doc_id"] in (42, 43)) for r in made)
+    assert all((r["fingerprint"] == "1:") == (r["doc_id"] in (42, 43)) for r in made)
     whole = fingerprint.sketches(pa.array([LONG]), 1.0)[0]
-    assert fingerprint.floored(whole).tolist() == fingerprint.sketches(pa.array([LONG]))[0].tolist()
+    kept, threshold = fingerprint.floored(whole)
+    assert kept.tolist() == fingerprint.sketches(pa.array([LONG]))[0].tolist() and threshold == fingerprint.FRACTION
+
+
+def likeness(a, b):
+    """The share of the smaller of two written fingerprints in the other, below the threshold up to which both are complete."""
+    (s, a), (t, b) = (x.split(":") for x in (a, b))
+    most = min(float(s), float(t)) * 2**48
+    sets = []
+    for text in (a, b):
+        raw = base64.b64decode(text)
+        sets.append({h for h in (int.from_bytes(raw[i : i + 6], "big") for i in range(0, len(raw), 6)) if h < most})
+    if not all(sets):
+        return float(sets[0] == sets[1])
+    return len(sets[0] & sets[1]) / min(map(len, sets))
+
+
+def test_likenesses_are_those_of_the_written_fingerprints(spark):
+    found = fingerprint.op10_fingerprint(spark, "/root/testdata/sf0.001").orderBy(F.desc("doc_id")).collect()
+    for row, after in zip(found, found[1:] + found[:1]):
+        assert row.near_edited == likeness(row.fingerprint, row.edited_fingerprint)
+        assert row.near_next == likeness(row.fingerprint, after.fingerprint)
+    assert {r.fingerprint.split(":")[0] for r in found} == {"1", "0.25"}
+    # a text of few shingles beside one of many that it begins
+    batch = pa.RecordBatch.from_arrays([pa.array([3, 2, 1]), pa.array([" ".join(LONG.split()[:60]), LONG, "x"]), pa.array([0, 0, 1])], ["doc_id", "text", "copy"])
+    first, second = [r for b in fingerprint._compare(iter([batch])) for r in b.to_pylist()]
+    assert first["near_next"] == likeness(first["fingerprint"], second["fingerprint"]) == 1.0
+    hashes, threshold = fingerprint.read(first["fingerprint"])
+    assert threshold == 1.0 and len(hashes) == 56 and fingerprint.written(hashes, threshold) == first["fingerprint"]
 
 
 @pytest.mark.parametrize("blocks", [1, 3, 7])
