@@ -10,7 +10,7 @@ from quayside.examples.landing import table
 from quayside.functions import paths
 from quayside.functions.text import sha1_base36
 from quayside.operators.lookup import lookup
-from quayside.operators.routing import first_environment, match_prefix, roll_up, unresolved_severity
+from quayside.operators.routing import first_environment, match_key, match_prefix, roll_up, unresolved_severity
 from quayside.session import checkpoint
 
 # host and path of a page, without scheme, query and fragment
@@ -110,7 +110,7 @@ def spec_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = ["container", "subject", "extension"]
     specs = keyed.groupBy(*key).agg(F.min("page_id").alias("first")).where(F.col("first") % 2 == 0)
     name = F.concat("container", F.lit("."), "extension", F.lit(" spec")).alias("spec")
-    return lookup(keyed, checkpoint(specs.select(*key, name)), key).select("page_id", "spec")
+    return match_key(keyed, checkpoint(specs.select(*key, name)), key, ["spec"]).select("page_id", "spec")
 
 
 def _spec_table(pages: DataFrame) -> DataFrame:

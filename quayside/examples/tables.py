@@ -22,10 +22,11 @@ from quayside.examples.text import (
 )
 from quayside.operators.lineage import Run
 from quayside.operators.upsert import merge_by_key
-from quayside.plans.load import LoadReport, LoadSpec, load
+from quayside.plans.load import Environment, LoadReport, LoadSpec, load
 from quayside.plans.reports import failure_digest, last_messages, load_rate, written_targets
 from quayside.session import scratch_path
 from quayside.sinks import storage
+from quayside.sinks.audit import read_audit
 from quayside.sinks.targets import SAVE_MODES, HistoryTable, ManagedTable, SnapshotFiles
 from quayside.sources.delimited import Delimited, DelimitedRecords, RecordType
 
@@ -149,6 +150,52 @@ def load_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(f"""
+    with o as (select o_orderkey as k, case o_orderkey % 3 when 0 then 'prod' when 1 then 'test' end as environment from orders)
+    select environment, cast(k as varchar) as k, case environment when 'prod' then 'bank/prod' else 'test' end as folder, '{STAMP}' as snapshot_date
+    from o where environment is not null""")
+def load_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order files of two environments and of none in one folder: one spec, whose tables and folders are named by the environment's parameters."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"))
+    folder, work, name = scratch_path(spark, "landed"), scratch_path(spark, "routed"), _fresh_name("orders")
+    places = ["bank/prod", "test", "elsewhere"]
+    for n, place in enumerate(places):
+        orders.where(F.col("k") % 3 == n).write.option("header", True).csv(f"{folder}/{place}/snapshot_date={STAMP}")
+    directory = work + "/${lineOfBusinessDirectory}${environment}/orders"
+    target = HistoryTable(directory, "append", database="${hiveDbPrefix}" + DATABASE, table=name)
+    environments = [Environment("prod", "bank"), Environment("test")]
+    load(spark, [LoadSpec("orders", storage.qualified(spark, folder), "csv", Delimited("erp"), target)], [folder], RUN, environments=environments)
+    written = [
+        spark.table(f"{prefix}{DATABASE}.{name}_history").select(
+            F.lit(environment).alias("environment"), "k",
+            F.regexp_extract(F.col("_metadata.file_path"), f"{work.rsplit('/', 1)[1]}/(.*)/orders_history", 1).alias("folder"), "snapshot_date",
+        )
+        for environment, prefix in (("prod", ""), ("test", "test_"))
+    ]
+    return written[0].unionByName(written[1])
+
+
+@query(f"""
+    select * from (values
+      ('SUCCESS', 'orders', null, {ORDER_FILES}::bigint, {ORDER_FILES}::bigint), ('SKIPPED', 'customer', 'no load spec', {CUSTOMER_FILES}::bigint, 0::bigint),
+      ('SKIPPED', 'old', 'hidden file', 1::bigint, 0::bigint), ('SUCCESS', 'none', null, 1::bigint, 0::bigint)) t(status, kind, error, files, targets)""")
+def load_audit_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the audit says of files that load, have no spec, lie in a hidden folder, or hold nothing."""
+    orders, audit = land_orders_csv(spark, sf_dir), scratch_path(spark, "audit")
+    nation, other = table(spark, sf_dir, "nation").select("n_name"), scratch_path(spark, "other")
+    nation.coalesce(1).write.csv(f"{other}/_old/snapshot_date={STAMP}")
+    nation.where("n_name is null").coalesce(1).write.csv(f"{other}/none/snapshot_date={STAMP}")
+    requests = {"orders": orders, "customer": land_customers_fixed(spark, sf_dir), "old": f"{other}/_old", "none": f"{other}/none"}
+    root = storage.qualified(spark, orders).split("/quayside-")[0]
+    spec = LoadSpec("all", root, "csv", Delimited("erp"), SnapshotFiles(scratch_path(spark, "out")))
+    load(spark, [spec], [requests["orders"], requests["customer"], other], RUN, audit=audit)
+    kind = F.coalesce(*(F.when(F.contains("source_path", F.lit(folder.split("/quayside-")[1])), F.lit(k)) for k, folder in requests.items()))
+    ended = read_audit(spark, audit).where("status <> 'STARTED'").withColumn("kind", kind)
+    return ended.groupBy("status", "kind", "error").agg(
+        F.count(F.lit(1)).alias("files"), F.sum(F.size("ingested_details")).cast("bigint").alias("targets")
+    )
+
+
 @query(f"""
     select 'orders_header' as target, cast(o_orderkey as varchar) as k, cast(o_custkey as varchar) as v, '{STAMP}' as snapshot_date from orders
     union all select 'orders_detail', cast(l_orderkey as varchar), cast(l_partkey as varchar), '{STAMP}' from lineitem""")

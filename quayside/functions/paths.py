@@ -55,6 +55,11 @@ def short_subject(path: Column) -> Column:
     return F.substring_index(path, SNAPSHOT_FOLDER, 1)
 
 
+def store_account(url: Column) -> Column:
+    """Account of ``abfss://container@ACCOUNT.rest/path``, or null."""
+    return F.nullif(F.regexp_extract(url, r"abfss://[^@]+@([^./]+)", 1), F.lit(""))
+
+
 def store_container(url: Column) -> Column:
     """Container of ``abfss://CONTAINER@account/path``, or null."""
     return F.nullif(F.regexp_extract(url, r"abfss://([^@]+)@", 1), F.lit(""))
@@ -100,6 +105,7 @@ def fill_text(template: str, tokens: dict[str, str]) -> str:
     return template
 
 
+# fixed values: the names of the parameters, the environment without a prefix, and how prefix and folder are made
 def environment_parameters(environment: str, line_of_business: str | None = None) -> dict[str, str]:
     """The ``${name}`` parameters a load spec may use."""
     return {

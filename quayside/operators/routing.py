@@ -62,6 +62,15 @@ def match_prefix(
     return found.select(*files.columns, *[best[v].alias(v) for v in values])
 
 
+def match_key(files: DataFrame, table: DataFrame, key: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """Attach the values that the table holds under the whole key, null without an entry; null keys match nothing. An entry that repeats is an error."""
+    facts = table.agg(F.count(F.lit(1)).alias("entries"), F.count_distinct(F.struct(*key)).alias("distinct"), row_bytes().alias("size")).first()
+    if facts["distinct"] < facts["entries"]:
+        repeated = table.groupBy(*key).count().where("count > 1").select(*key).take(5)
+        raise ValueError(f"more than one entry for {[tuple(r) for r in repeated]}")
+    return lookup(files, table.select(*key, *values), list(key), size=facts["size"])
+
+
 def roll_up(requests: DataFrame) -> DataFrame:
     """Replace each requested path by the shortest requested folder that holds it.
 

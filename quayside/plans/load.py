@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields, is_dataclass, replace
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,25 +17,39 @@ from pyspark.sql import functions as F
 from quayside import SNAPSHOT, SOURCE_NAME
 from quayside.functions import paths
 from quayside.operators.lineage import Run, file_facts, with_lineage
-from quayside.operators.routing import match_prefix, roll_up, unresolved_severity
+from quayside.operators.routing import first_environment, match_key, match_prefix, roll_up, unresolved_severity
 from quayside.operators.schema import clean_columns
 from quayside.plans.reports import failure_digest
 from quayside.session import checkpoint, scratch_path, small_table
 from quayside.sinks import storage
-from quayside.sinks.audit import FAILED, STARTED, SUCCESS, audit_rows, record
+from quayside.sinks.audit import FAILED, SKIPPED, STARTED, SUCCESS, audit_rows, record
 from quayside.sinks.targets import NotRegistered, WriteInfo
 from quayside.sources.frames import Files, Frame
-from quayside.sources.manifest import list_files
+from quayside.sources.manifest import empty_files, hidden_files, list_files
 
 MAX_NAMED_FILES = 100_000
 SOURCE_SNAPSHOT = "source_snapshot"
 
 
+@dataclass(frozen=True)
+class Environment:
+    """Where files belong: those whose path contains the line of business and the name."""
+
+    name: str
+    line_of_business: str | None = None
+
+    @property
+    def text(self) -> str:
+        return (f"{self.line_of_business}/" if self.line_of_business else "") + self.name
+
+
 @dataclass(frozen=True)
 class LoadSpec:
     """Files below ``path`` with this extension, where they come from and go to.
 
     ``path`` is a path prefix as seen after the storage root is cut off. ``notify`` asks for a notice of each file loaded on arrival.
+    With ``container`` (and ``account``) the spec is for files of that store whose path up to the snapshot folder is just ``path``; such a
+    spec goes before those by prefix. Names and directories may hold ``${name}`` parameters of an environment.
     """
 
     name: str
@@ -44,6 +58,23 @@ class LoadSpec:
     source: Any
     target: Any
     notify: bool = False
+    container: str | None = None
+    account: str | None = None
+
+    def for_environment(self, environment: Environment) -> "LoadSpec":
+        """The spec with the environment's parameters in all its texts."""
+        parameters = paths.environment_parameters(environment.name, environment.line_of_business)
+
+        def filled(value):
+            if isinstance(value, str):
+                return paths.fill_parameters(value, parameters)
+            if is_dataclass(value):
+                return replace(value, **{f.name: filled(getattr(value, f.name)) for f in fields(value) if f.init})
+            if isinstance(value, (list, tuple)):
+                return type(value)(map(filled, value))
+            return value
+
+        return replace(filled(self), name=self.name)
 
     def frame_tokens(self, run: Run, frame: dict[str, str], snapshot: str | None = None) -> dict[str, str]:
         """All tokens a target template may use for one frame; later ones win."""
@@ -101,19 +132,27 @@ class LoadFailed(RuntimeError):
 
 
 def plan_files(
-    spark: SparkSession, specs: Sequence[LoadSpec], requests: Sequence[str], roots: Sequence[str] = (), run_id: str = ""
+    spark: SparkSession,
+    specs: Sequence[LoadSpec],
+    requests: Sequence[str],
+    roots: Sequence[str] = (),
+    run_id: str = "",
+    environments: Sequence[Environment] = (),
 ) -> DataFrame:
-    """Every file under the requests with its request, subject and spec name.
+    """Every file under the requests with its request, subject, environment and spec name.
 
-    A requested file without a spec is an error; one found inside a requested
-    folder is left out. The plan is checkpointed. ``run_id`` tells loads of one file apart.
+    A file that cannot be loaded has a ``reason`` and a ``severity``: an error if it was requested itself, a warning if it was found in a
+    requested folder. Reasons are a path that belongs to no environment, no spec, and a hidden name, which no scan reads. The plan is checkpointed. ``run_id`` tells loads of one file apart.
     """
     asked = [(p, storage.is_folder(spark, p)) for p in (storage.qualified(spark, r.rstrip("/")) for r in requests)]
     requested = small_table(spark, asked, "path string, is_folder boolean")
     folders = {p for p, folder in asked if folder}
     parents = [r["path"] for r in roll_up(requested).collect()]
 
-    listed = list_files(spark, Files.literal(parents))
+    files = Files.literal(parents)
+    listed = list_files(spark, files).withColumn("hidden", F.lit(False))
+    unlisted = empty_files(spark, files, listed).withColumn("hidden", F.lit(False))
+    listed = listed.unionByName(unlisted).unionByName(hidden_files(spark, parents).withColumn("hidden", F.lit(True)))
     entries = [(p, p, p not in folders) for p in parents]
     parent_table = small_table(spark, entries, "prefix string, request string, as_file boolean")
     source = F.col("path")
@@ -122,22 +161,34 @@ def plan_files(
 
     planned = planned.withColumn("subject", paths.store_subject(source, list(roots)))
     planned = planned.withColumn("extension", paths.extension(source))
-    planned = resolve_specs(planned, specs)
-    planned = planned.withColumn("severity", unresolved_severity(F.col("spec"), F.col("as_file")))
+    route = first_environment(source, [(e.text, e.text) for e in environments]) if environments else F.lit("")
+    planned = resolve_specs(planned.withColumn("environment", route), specs)
+    reason = F.when(F.col("hidden"), "hidden file").when(F.col("environment").isNull(), "no environment").when(F.col("spec").isNull(), "no load spec")
+    planned = planned.withColumn("reason", reason)
+    severity = unresolved_severity(F.when(F.col("reason").isNull(), F.lit("")), F.col("as_file"))
+    planned = planned.withColumn("severity", severity)
     planned = planned.withColumn("ingest_id", F.sha2(F.concat_ws("|", source, F.col("modified").cast("string"), F.lit(run_id)), 256))
-    planned = checkpoint(planned.withColumn("correlation_id", F.col("ingest_id")))
-
-    lost = planned.where("severity = 'error'")
-    if first := [r["path"] for r in lost.take(10)]:
-        raise ValueError(f"no load spec for {lost.count()} requested files, the first of them {first}")
-    return planned.where("spec is not null")
+    return checkpoint(planned.withColumn("correlation_id", F.col("ingest_id")))
 
 
 def resolve_specs(files: DataFrame, specs: Sequence[LoadSpec]) -> DataFrame:
-    """Add the name of the spec with the longest path prefix of each ``subject`` and its ``extension``."""
-    entries = [(s.path.rstrip("/"), s.extension, s.name) for s in specs]
-    table = small_table(files.sparkSession, entries, "prefix string, extension string, spec string")
-    return match_prefix(files, table, "subject", "prefix", ["spec"], on=["extension"])
+    """Add the name of each file's spec: that of its account, container, ``subject`` up to the snapshot folder and ``extension``, else the one with the longest path prefix."""
+    spark = files.sparkSession
+    entries = [(s.path.rstrip("/"), s.extension, s.name) for s in specs if s.container is None]
+    table = small_table(spark, entries, "prefix string, extension string, spec string")
+    found = match_prefix(files, table, "subject", "prefix", ["spec"], on=["extension"])
+    stored = [s for s in specs if s.container is not None]
+    for with_account in (False, True):
+        keyed = [(s.account or "", s.container, s.path.rstrip("/"), s.extension, s.name) for s in stored if bool(s.account) == with_account]
+        if not keyed:
+            continue
+        kept, key = found.columns, ["_account", "_container", "_short", "extension"]
+        account = paths.store_account(F.col("path")) if with_account else F.lit("")
+        short = paths.short_subject(F.col("subject"))
+        found = found.withColumns({"_account": account, "_container": paths.store_container(F.col("path")), "_short": short})
+        found = match_key(found, small_table(spark, keyed, "_account string, _container string, _short string, extension string, _stored string"), key, ["_stored"])
+        found = found.withColumn("spec", F.coalesce("_stored", "spec")).select(*kept)
+    return found
 
 
 def load(
@@ -148,19 +199,42 @@ def load(
     roots: Sequence[str] = (),
     audit: str | None = None,
     reingest: bool = False,
+    environments: Sequence[Environment] = (),
 ) -> LoadReport:
-    """Load all requested files; with ``reingest`` delete what they wrote before."""
+    """Load all requested files; with ``reingest`` delete what they wrote before.
+
+    Every file that is found leaves rows in the audit: those that cannot be loaded say why, those of no length succeed and write nothing. With environments, each
+    file goes to the first one that its path names, or to the only one there is, and its spec is filled with that one's parameters.
+    """
     run = run or Run.now()
-    planned = plan_files(spark, specs, requests, roots, run.at.isoformat())
+    planned = plan_files(spark, specs, requests, roots, run.at.isoformat(), environments)
+    lost = planned.where("severity = 'error'")
+    left = planned.where("severity = 'warning'")
+    record(audit_rows(left, SKIPPED, F.col("spec"), run.at, error=F.col("reason")), audit)
+    if first := [(r["reason"], r["path"]) for r in lost.take(10)]:
+        record(audit_rows(lost, FAILED, F.col("spec"), run.at, error=F.col("reason")), audit)
+        raise ValueError(f"{first[0][0]} for {lost.count()} requested files, the first of them {[p for _, p in first]}")
+    planned = planned.where("severity is null")
+    resolved = [s for environment in environments for s in _in_environment(specs, environment)] or list(specs)
+    if environments:
+        planned = planned.withColumn("spec", F.concat_ws(" in ", "spec", "environment"))
     if reingest:
-        delete_loaded(spark, {s.name: s for s in specs}, planned, run)
-    report = load_planned(spark, specs, planned, run, audit)
+        delete_loaded(spark, {s.name: s for s in resolved}, planned, run)
+    report = load_planned(spark, resolved, planned.where("size > 0"), run, audit)
+    empty = planned.where("size = 0")
+    record(audit_rows(empty, STARTED, F.col("spec"), run.at), audit)
+    record(audit_rows(empty, SUCCESS, F.col("spec"), run.at), audit)
+    report.files = planned
     if report.failures:
         frame = small_table(spark, report.failures, "subject string, error string")
         raise LoadFailed(failure_digest(frame).first(), report)
     return report
 
 
+def _in_environment(specs: Sequence[LoadSpec], environment: Environment) -> list[LoadSpec]:
+    return [replace(s.for_environment(environment), name=f"{s.name} in {environment.text}") for s in specs]
+
+
 def load_planned(
     spark: SparkSession, specs: Sequence[LoadSpec], planned: DataFrame, run: Run, audit: str | None = None
 ) -> LoadReport:

@@ -18,15 +18,17 @@ from quayside.sinks.targets import WriteInfo
 
 # fixed values: the three states of a file
 STARTED, SUCCESS, FAILED = "STARTED", "SUCCESS", "FAILED"
+#: A file that was found and is not loaded; its error says why.
+SKIPPED = "SKIPPED"
 
 
 def audit_rows(
     files: DataFrame,
     status: str,
-    configuration: str,
+    configuration: str | Column,
     at: datetime,
     written: Sequence[WriteInfo] = (),
-    error: str | None = None,
+    error: str | Column | None = None,
 ) -> DataFrame:
     """One row per file. ``files`` has ``path``, ``ingest_id`` and ``correlation_id``."""
     details = [
@@ -42,7 +44,7 @@ def audit_rows(
     stamp = snapshot_or_null(F.col("path")) if status == SUCCESS else F.lit(None).cast("string")
     return files.select(
         F.col("path").alias("source_path"),
-        F.lit(configuration).alias("configuration_name"),
+        F.lit(configuration).cast("string").alias("configuration_name"),
         "ingest_id",
         "correlation_id",
         F.lit(status).alias("status"),

@@ -45,7 +45,7 @@ def _check_mode(mode: str) -> None:
 
 
 def _check_name(name: str) -> None:
-    if not _NAME.fullmatch(re.sub(r"\{\w+\}", "token", name)):
+    if not _NAME.fullmatch(re.sub(r"\$?\{\w+\}", "token", name)):
         raise ValueError(f"not a valid table or database name: {name!r}")
 
 

@@ -229,3 +229,49 @@ def test_files_of_five_types_are_scanned_twice(spark, land, tmp_path, kind):
     from quayside.session import shared_dir
 
     assert not [p for p in storage.child_names(spark, shared_dir(spark)) if "kinds" in p]
+
+
+def test_nothing_vanishes(spark, land, tmp_path):
+    """Hidden, empty and unknown files leave a row; a file that was asked for and cannot be loaded is an error."""
+    folder = land({"a.csv": "id\n1\n", "zero.csv": "", "_latest": "x", ".b.csv": "id\n2\n", "_old/deep/c.csv": "id\n3\n", "d.bin": "?", "sub/e[1].csv": "id\n4\n", "_SUCCESS": ""})
+    spec, audit = csv_spec(tmp_path), str(tmp_path / "audit")
+    report = load(spark, [spec], [str(tmp_path / "in")], RUN, audit=audit)
+    log = spark.read.parquet(audit)
+    name = F.substring_index("source_path", f"{S1}/", -1)
+    got = values(log.select(name.alias("n"), "status", "error", F.size("ingested_details").alias("t")), "n", "status", "error", "t")
+    assert [r for r in got if r[1] != "STARTED"] == sorted([
+        ("a.csv", "SUCCESS", None, 1), ("sub/e[1].csv", "SUCCESS", None, 1), ("zero.csv", "SUCCESS", None, 0), ("_latest", "SKIPPED", "hidden file", 0),
+        (".b.csv", "SKIPPED", "hidden file", 0), ("_old/deep/c.csv", "SKIPPED", "hidden file", 0), ("d.bin", "SKIPPED", "no load spec", 0),
+    ], key=repr)
+    assert values(stored(spark, spec), "id") == [("1",), ("4",)] and report.files.count() == 3
+    for bad, why in (("_latest", "hidden file"), ("d.bin", "no load spec")):
+        with pytest.raises(ValueError, match=f"{why} for 1 requested files"):
+            load(spark, [spec], [f"{folder}/{bad}"], RUN, audit=audit)
+    assert spark.read.parquet(audit).where("status = 'FAILED'").count() == 2
+
+
+def test_specs_by_environment_and_store(spark, land, tmp_path):
+    import dataclasses
+
+    from quayside.plans.load import Environment, resolve_specs
+
+    land({"bank/prod/a.csv": "id\n1\n", "bank/test/a.csv": "id\n2\n", "shop/prod/a.csv": "id\n3\n"})
+    target = SnapshotFiles(str(tmp_path / "out") + "/${lineOfBusinessDbPrefix}${environment}")
+    spec = csv_spec(tmp_path, target)
+    both = [Environment("prod", "bank"), Environment("test", "bank")]
+    load(spark, [spec], [str(tmp_path / "in")], RUN, audit=str(tmp_path / "audit"), environments=both)
+    read = lambda name: values(storage.read_table_files(spark, str(tmp_path / f"out/{name}.parquet")), "id")
+    assert read("bank_prod") == [("1",)] and read("bank_test") == [("2",)]
+    log = spark.read.parquet(str(tmp_path / "audit"))
+    assert values(log.where("status = 'SUCCESS'"), "configuration_name") == [("orders in bank/prod",), ("orders in bank/test",)]
+    assert values(log.where("status = 'SKIPPED'"), "error") == [("no environment",)]
+    # a single environment takes everything
+    load(spark, [spec], [str(tmp_path / "in")], RUN, environments=[Environment("dev")], reingest=True)
+    assert read("dev") == [("1",), ("2",), ("3",)]
+    keyed = dataclasses.replace(spec, name="keyed", path="/in/a", container="raw")
+    mine = dataclasses.replace(keyed, name="mine", account="lake")
+    deep = dataclasses.replace(spec, name="deep", path="/in")
+    rows = [(f"abfss://{c}@{a}.x.net{p}/snapshot_date={S1}/f.csv", f"{p}/snapshot_date={S1}/f.csv", "csv") for c, a, p in
+            [("raw", "lake", "/in/a"), ("raw", "sea", "/in/a"), ("raw", "lake", "/in/b"), ("other", "lake", "/in/a"), ("raw", "lake", "/out")]]
+    found = resolve_specs(spark.createDataFrame(rows, "path string, subject string, extension string"), [keyed, mine, deep])
+    assert [r["spec"] for r in found.orderBy(F.monotonically_increasing_id()).collect()] == ["mine", "keyed", "deep", "deep", None]
