@@ -126,6 +126,45 @@ def delete_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read_events(spark, path)
 
 
+@query(f"""
+    with e as ({EVENT_ROWS}) select kind, event_id, event_type, snapshot_date
+    from e, (values ('files'), ('history'), ('managed'), ('keyed')) k(kind) where event_id % 2 = 0""")
+def delete_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events written to each kind of target, everything deleted, tables and views with it, and half the events written again."""
+    events = _events_by_day(spark, sf_dir)
+    work, name = scratch_path(spark, "all"), _fresh_name("events")
+    targets = {
+        "files": SnapshotFiles(f"{work}/files"),
+        "history": HistoryTable(f"{work}/history", "append", database=DATABASE, table=name + "_h"),
+        "managed": ManagedTable(DATABASE, name + "_m", f"{work}/managed"),
+        "keyed": ManagedTable(DATABASE, name + "_k", f"{work}/keyed", keys=["event_id"]),
+    }
+    read = []
+    for kind, target in targets.items():
+        target.write(events, {})
+        target.delete(spark, {})
+        tables = target.names({}) if kind == "history" else [target.name({})] if kind != "files" else []
+        left = [t for t in tables if spark.catalog.tableExists(t)] + [target.path({})] * storage.exists(spark, target.path({}))
+        if left:
+            raise AssertionError(f"{left} after everything was deleted")
+        target.write(events.where("event_id % 2 = 0"), {})
+        # the view shows the newest snapshot, its history table all of them
+        rows = spark.table(tables[-1]) if tables else storage.read_table_files(spark, target.path({}))
+        read.append(rows.select(F.lit(kind).alias("kind"), "event_id", "event_type", "snapshot_date"))
+    return reduce(DataFrame.unionByName, read)
+
+
+@query(f"""
+    with e as ({EVENT_ROWS}) select snapshot_date, count(*) as events, 3::bigint as files from e group by snapshot_date having count(*) > 60""")
+def written_file_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events written by three tasks: three files to each snapshot that has rows for all of them."""
+    target = SnapshotFiles(scratch_path(spark, "counted"), num_files=3)
+    target.write(_events_by_day(spark, sf_dir), {})
+    rows = storage.read_table_files(spark, target.path({})).select("snapshot_date", F.col("_metadata.file_path").alias("file"))
+    counted = rows.groupBy("snapshot_date").agg(F.count(F.lit(1)).alias("events"), F.count_distinct("file").alias("files"))
+    return counted.where("events > 60")
+
+
 def _orders_spec(spark: SparkSession, folder: str) -> LoadSpec:
     target = HistoryTable(scratch_path(spark, "orders"), "append", database=DATABASE, table=_fresh_name("orders"))
     root = storage.qualified(spark, folder.rsplit("/", 1)[0])

@@ -80,8 +80,8 @@ def csv_skip_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""
     select doc_id, 1 + row_number() over w
              + coalesce(sum(breaks) over (partition by shard order by doc_id
-                          rows between unbounded preceding and 1 preceding), 0) as meta_source_line_number
-    from (select doc_id, doc_id % {DOC_FILES} as shard,
+                          rows between unbounded preceding and 1 preceding), 0) as meta_source_line_number, letters
+    from (select doc_id, doc_id % {DOC_FILES} as shard, md5(regexp_replace(coalesce(text, ''), '[ \\t\\n\\r\\f\\x0b]+', '', 'g')) as letters,
                  len(regexp_extract_all(text, '\\r\\n|\\r|\\n')) as breaks from documents)
     window w as (partition by shard order by doc_id)""")
 def multiline_physical_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,7 +94,8 @@ def multiline_physical_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     writer.csv(folder)
     frame = Delimited("archive", multi_line=True, escape='"').read(spark, Files([folder]))[0]
-    return frame.df.select(F.col("doc_id").cast("bigint").alias("doc_id"), LINE_NUMBER)
+    letters = F.md5(F.regexp_replace(F.coalesce("text", F.lit("")), r"[ \t\n\r\f\x0b]+", "")).alias("letters")
+    return frame.df.select(F.col("doc_id").cast("bigint").alias("doc_id"), LINE_NUMBER, letters)
 
 
 @query("""

@@ -27,7 +27,6 @@ from quayside.sinks.targets import NotRegistered, WriteInfo
 from quayside.sources.frames import Files, Frame
 from quayside.sources.manifest import empty_files, hidden_files, list_files
 
-MAX_NAMED_FILES = 100_000
 SOURCE_SNAPSHOT = "source_snapshot"
 
 
@@ -260,7 +259,7 @@ def _load_group(spark, spec: LoadSpec, group: DataFrame, run: Run, audit, report
     staged = scratch_path(spark, "kinds") if hasattr(spec.source, "read_once") else None
     try:
         facts = checkpoint(file_facts(group.select(SOURCE_NAME)))
-        files = _scan(group, spec.extension)
+        files = _scan(group)
         frames = spec.source.read_once(spark, files, staged) if staged else spec.source.read(spark, files)
         stamps = _target_stamps(spec, facts)
         for frame in frames:
@@ -321,16 +320,9 @@ def _target_stamps(spec: LoadSpec, facts: DataFrame) -> list[str | None]:
     return sorted(r[0] for r in facts.select(SNAPSHOT).distinct().collect())
 
 
-def _scan(group: DataFrame, extension: str) -> Files:
-    """The group's files by name, or past a bound their folders.
-
-    Folders may hold files of other groups; the lookup of file facts drops their rows.
-    """
-    names = [r[0] for r in group.select(SOURCE_NAME).take(MAX_NAMED_FILES + 1)]
-    if len(names) <= MAX_NAMED_FILES:
-        return Files.named(names)
-    folders = group.select(paths.parent(F.col("path"))).distinct()
-    return Files.literal([r[0] for r in folders.toLocalIterator()], f"*.{extension}" if extension else None)
+def _scan(group: DataFrame) -> Files:
+    """The group's files by name, however many: Spark's file index holds them on the driver as well."""
+    return Files.named(r[0] for r in group.select(SOURCE_NAME).toLocalIterator())
 
 
 def delete_loaded(spark: SparkSession, specs: dict[str, LoadSpec], planned: DataFrame, run: Run) -> None:

@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 from quayside import LINE_NUMBER, SOURCE_NAME
 from quayside.functions.names import clean_name, quoted, require_unique
 from quayside.functions.text import line_breaks, tag_matches
-from quayside.operators.lookup import lookup
 from quayside.operators.numbering import (
     BLOCK,
     block_table,
@@ -24,7 +23,6 @@ from quayside.operators.schema import rename_positional
 from quayside.session import checkpoint
 from quayside.sources.frames import Files, Frame, stage_kinds
 
-MAX_NAMED_FILES = 100_000
 _BLANK = r"^[\x00-\x20]*$"
 
 
@@ -92,17 +90,12 @@ class Delimited:
         frames = []
         for example in examples:
             these = layouts.where(F.col("_layout") == example["_layout"]).select(SOURCE_NAME)
-            named = _few_names(these) if len(examples) > 1 else None
-            if named:
+            if len(examples) > 1:
                 # number these files alone, rather than go through all of them once per layout
-                frames += self._read_lines(spark, Files.named(named))
+                frames += self._read_lines(spark, Files.named(r[0] for r in these.toLocalIterator()))
                 continue
             names = self._names(spark, self._line(spark, example["file"], skipped + 1))
-            chosen = data
-            if len(examples) > 1:
-                wanted = these.withColumn("_wanted", F.lit(True))
-                chosen = lookup(data, wanted, [SOURCE_NAME]).where("_wanted").drop("_wanted")
-            frames.append(self._parse(chosen, names))
+            frames.append(self._parse(data, names))
         return frames
 
     def _parse(self, lines: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -180,12 +173,6 @@ def _first_layouts(blocks: DataFrame) -> DataFrame:
     return first.select(SOURCE_NAME, F.col("_first_row").alias("_layout"))
 
 
-def _few_names(files: DataFrame) -> list[str] | None:
-    """The file names, unless there are too many to hand to a scan one by one."""
-    names = [r[0] for r in files.take(MAX_NAMED_FILES + 1)]
-    return names if len(names) <= MAX_NAMED_FILES else None
-
-
 def _distinct_layouts(layouts: DataFrame) -> list:
     """One example file per layout: each becomes a frame of its own, so the driver must know them all."""
     examples = layouts.groupBy("_layout").agg(F.min(SOURCE_NAME).alias("file")).collect()

@@ -143,8 +143,7 @@ def test_keyed_load_takes_the_newest_file(spark, land, tmp_path):
     assert values(spark.table(f"qs_test.t{name}"), "id", "v") == [("1", "old"), ("2", "new"), ("3", "new")]
 
 
-def test_scan_by_folder_past_the_name_limit(spark, land, tmp_path, monkeypatch):
-    monkeypatch.setattr("quayside.plans.load.MAX_NAMED_FILES", 1)
+def test_files_of_other_specs_in_a_folder_are_not_read(spark, land, tmp_path):
     folder = land({"a.csv": "id\n1\n", "b.csv": "id\n2\n", "special/c.csv": "id\n3\n"})
     deep = LoadSpec("special", f"file:{folder}/special", "csv", Delimited("x"), SnapshotFiles(str(tmp_path / "special")))
     spec = csv_spec(tmp_path)
