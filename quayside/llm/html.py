@@ -8,7 +8,7 @@ What says of itself that it is a menu, a form, an advert and so on (by its tag,
 Inside an article only containers are candidates for deletion, never paragraphs or headings: passages that
 many articles quote stay.
 
-Counting sends three numbers per candidate. Hashes depend on the host, so a hot host is many keys, never one group. Candidates
+Counting sends four numbers per candidate. Hashes depend on the host, so a hot host is many keys, never one group. Candidates
 are written to the shared folder, so pages are parsed twice and not three times. The hashes of the templates are counted before they
 are broadcast; more than ``MOST_TEMPLATES`` come back to the pages by joins.
 """
@@ -31,10 +31,12 @@ from quayside.llm.buckets import written
 from quayside.llm.frames import col
 from quayside.llm.registry import query
 from quayside.llm.words import slices
+from quayside.operators.lookup import lookup
 from quayside.session import scratch_path
 
-#: On so many different pages of a host an element is template.
+#: On so many different pages of a host an element is template, and on this part of all of them where that is more.
 MIN_PAGES = 5
+MIN_SHARE = 0.001
 #: Hashes that may be broadcast, 32 MB.
 MOST_TEMPLATES = 1 << 22
 
@@ -182,35 +184,44 @@ def hashes(top: Element, host: str) -> dict[int, int]:
     return found
 
 
-def article(top: Element) -> tuple[Element, bool]:
-    """The element with the page's own text, and whether the page names it.
+def articles(top: Element) -> tuple[list[Element], bool]:
+    """The elements with the page's own text, in page order, and whether the page names them.
 
-    The article, the longest if there are several, or the main part; else the whole page.
+    All articles that are in no other and in nothing that says it is a menu, an advert, comments and so on; if all are, the longest of them. Without
+    an article the main part, the longest if there are several, else the whole page.
     """
-    articles, mains = [], []
-    inside = 0
+    free, found, mains = [], [], []
+    inside = marked = 0
     for node, out in _walk(top):
-        if isinstance(node, Element) and node.tag == "article":
+        if not isinstance(node, Element):
+            continue
+        step = -1 if out else 1
+        if node.tag == "article":
             if not out and not inside:
-                articles.append(node)
-            inside += -1 if out else 1
-        elif isinstance(node, Element) and not out and (node.tag == "main" or "role" in node.attributes and re.search(r"""role\s*=\s*["']?main\b""", node.attributes)):
+                found.append(node)
+                if not marked and not node.marked():
+                    free.append(node)
+            inside += step
+        elif not out and (node.tag == "main" or "role" in node.attributes and re.search(r"""role\s*=\s*["']?main\b""", node.attributes)):
             mains.append(node)
-    chosen = articles or mains
-    if not chosen:
-        return top, False
-    if len(chosen) == 1:
-        return chosen[0], True
-    return max(chosen, key=lambda e: sum(len(b) for b in blocks(e, frozenset(), {}))), True
-
-
-def candidates(top: Element, own: Element, named: bool, digests: dict[int, int]) -> set[int]:
-    """Hashes of the elements that may be template: containers, and outside the article also blocks of text."""
+        if node.marked():
+            marked += step
+    if free:
+        return free, True
+    chosen = found or mains
+    if len(chosen) < 2:
+        return chosen or [top], bool(chosen)
+    return [max(chosen, key=lambda e: sum(len(b) for b in blocks(e, frozenset(), {})))], True
+
+
+def candidates(top: Element, own: list[Element], named: bool, digests: dict[int, int]) -> set[int]:
+    """Hashes of the elements that may be template: containers, and outside the articles also blocks of text."""
     found, inside = set(), 0
+    texts = {id(e) for e in own} if named else set()
     for node, out in _walk(top):
         if not isinstance(node, Element):
             continue
-        if node is own and named:
+        if id(node) in texts:
             inside += -1 if out else 1
         elif not out and node.tag in (CONTAINERS if inside else BLOCKS) and node.tag not in ("html", "body", "main", "article") and node.parts:
             found.add(digests[id(node)])
@@ -257,12 +268,12 @@ def _titled(node: Element, top: Element) -> bool:
 def main_text(page: str, host: str, doomed: Callable[[set[int]], frozenset[int]]) -> str:
     """The text of a page. ``doomed`` says which of its candidates are template."""
     top = parse(page)
-    own, named = article(top)
+    own, named = articles(top)
     digests = hashes(top, host)
     gone = doomed(candidates(top, own, named, digests))
     if gone and named:  # in an article only containers can be template
-        digests = {id(n): digests[id(n)] for n, out in _walk(own) if not out and isinstance(n, Element) and n.tag in CONTAINERS}
-    return "\n\n".join(blocks(own, gone, digests))
+        digests = {id(n): digests[id(n)] for e in own for n, out in _walk(e) if not out and isinstance(n, Element) and n.tag in CONTAINERS}
+    return "\n\n".join(block for e in own for block in blocks(e, gone, digests))
 
 
 def host(url: Column) -> Column:
@@ -277,16 +288,19 @@ def _candidate_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             rows, found, bodies = [], [], []
             for row, (name, page) in enumerate(zip(batch.column("host").to_pylist(), batch.column("html").to_pylist())):
                 top = parse(page or "")
-                main, named = article(top)
+                main, named = articles(top)
                 own = candidates(top, main, named, hashes(top, name))
                 if not own:
                     continue
-                text = "\n".join(blocks(main, frozenset(), {}))
+                text = "\n".join(block for e in main for block in blocks(e, frozenset(), {}))
                 body = int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
                 rows += [row] * len(own)
                 bodies += [body] * len(own)
                 found += sorted(own)
-            yield pa.RecordBatch.from_arrays([batch.column("k").take(pa.array(rows, pa.int64())), pa.array(found, pa.int64()), pa.array(bodies, pa.int64())], ["k", "element", "body"])
+            sites = [int.from_bytes(hashlib.blake2b((name or "").encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True) for name in batch.column("host").to_pylist()]
+            of_pages = pa.array(rows, pa.int64())
+            columns = [batch.column("k").take(of_pages), pa.array(found, pa.int64()), pa.array(bodies, pa.int64()), pa.array(sites, pa.int64()).take(of_pages)]
+            yield pa.RecordBatch.from_arrays(columns, ["k", "element", "body", "site"])
 
 
 def _among(own: set[int], table: np.ndarray) -> frozenset[int]:
@@ -297,7 +311,7 @@ def _among(own: set[int], table: np.ndarray) -> frozenset[int]:
     return frozenset(hashed[table[at] == hashed].tolist()) if len(table) else frozenset()
 
 
-def extract(pages: DataFrame, url: str = "url", html: str = "html", min_pages: int = MIN_PAGES, to: str = "main_text", most_templates: int = MOST_TEMPLATES) -> DataFrame:
+def extract(pages: DataFrame, url: str = "url", html: str = "html", min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE, to: str = "main_text", most_templates: int = MOST_TEMPLATES) -> DataFrame:
     """Add the main text of each page.
 
     A null or empty page has empty text. Pages without an address or with a broken one count as pages of one nameless host. Markup that is cut
@@ -309,10 +323,13 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html", min_pages: i
     names = [f"c{i}" for i in range(len(kept))]
     rows = pages.select(*(col(c).alias(n) for c, n in zip(kept, names)), host(col(url)).alias("host"), col(html).alias("html"), F.xxhash64(host(col(url)), col(html)).alias("k"))
     path = scratch_path(spark, "elements")
-    rows.select("host", "k", "html").mapInArrow(_candidate_rows, "k bigint, element bigint, body bigint").write.parquet(path)
+    rows.select("host", "k", "html").mapInArrow(_candidate_rows, "k bigint, element bigint, body bigint, site bigint").write.parquet(path)
     found = spark.read.parquet(path)
-    on_pages = found.select("element", "body").distinct().groupBy("element").agg(F.count("*").alias("n"))
-    template = written(on_pages.where(F.col("n") >= min_pages).select("element"), "templates")
+    # an element's hash tells its host, so one host is many keys; hosts are few rows beside their pages
+    on_pages = found.select("element", "site", "body").distinct().groupBy("element", "site").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
+    sites = written(found.select("site", "body").distinct().groupBy("site").agg(F.count("*").alias("pages")), "sites")
+    often = lookup(on_pages, sites, ["site"], salt=F.col("element")).where(F.col("n") >= min_share * F.col("pages"))
+    template = written(often.select("element"), "templates")
     schema = T.StructType([*(rows.schema[n] for n in names), T.StructField("text", T.StringType())])
     if template.count() <= most_templates:
         known = spark.sparkContext.broadcast(np.sort(np.asarray(template.toArrow()["element"])))

@@ -220,6 +220,9 @@ def test_templates_are_found_by_counting(spark):
         ("<nav>menu</nav><article><header><h1>T&eacute;</h1></header><p>a\n b<p>c</article><footer>f</footer>", "Té\n\na b\n\nc"),
         ("<main><p>x</p><aside>y</aside><form>z</form><section class='comments'>no</section></main>", "x"),
         ("<article><p>x</p><article>a reader's comment</article></article>", "x"),
+        ("<article><p>one</article><nav>menu</nav><article><h1>t</h1><p>two</article>", "one\n\nt\n\ntwo"),
+        ("<article><p>x</article><aside><article><p>card</article></aside><div class=comments><article>no</article></div>", "x"),
+        ("<div class=related><article><p>a</article><article><p>longer one</article></div>", "longer one"),
         ("<div class='cookie-notice'>no</div><div id=sideBar>no</div><div hidden>no</div><p>yes", "yes"),
         ("<script>var t='</p>'</script><style>p{}</style><!-- <p>no</p> --><p title='a>b'>yes</p>", "yes"),
         ("<ul><li>a<li>b<ul><li>c</ul>d</ul><table><tr><td>1<td>2", "a\n\nb\n\nc\n\nd\n\n1\n\n2"),
@@ -233,6 +236,18 @@ def test_text_of_pages(page, text):
     assert html.main_text(page, "h", lambda own: frozenset()) == text
 
 
+def test_what_a_small_part_of_a_host_repeats_is_no_template(spark):
+    """Six of 200 pages quote one list; a menu stands on all of them."""
+    quoted = "<ul><li>quoted</li><li>list</li></ul>"
+    pages = [(i, "http://h.example/x", f"<article><p>text {i}</p>{MENU}{quoted if i < 6 else ''}</article>") for i in range(200)]
+    pages += [(200 + i, "http://small.example/x", f"<article><p>own {i}</p>{quoted}</article>") for i in range(6)]
+    df = spark.createDataFrame(pages, "page_id bigint, url string, html string")
+    got = {r.page_id: r.main_text for r in html.extract(df, min_share=0.1).collect()}
+    assert all(got[i] == f"text {i}" + "\n\nquoted\n\nlist" * (i < 6) for i in range(200))
+    assert all(got[200 + i] == f"own {i}" for i in range(6))
+    assert {r.main_text for r in html.extract(df).where("page_id < 6").collect()} == {f"text {i}" for i in range(6)}
+
+
 def test_hosts(spark):
     urls = spark.createDataFrame([("HTTP://u:p@A.Example:80/x",), ("//b.example?q",), ("mailto:x",), (None,)], "u string")
     assert [r[0] for r in urls.select(html.host(F.col("u"))).collect()] == ["a.example", "b.example", "", ""]
