@@ -27,6 +27,7 @@ class Run:
     def now(cls, **kwargs) -> "Run":
         return cls(datetime.now(timezone.utc), **kwargs)
 
+    # fixed values: the tokens that templates may name, and how their dates are written
     @property
     def tokens(self) -> dict[str, str]:
         return {

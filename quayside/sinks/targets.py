@@ -76,6 +76,7 @@ class SnapshotFiles:
     def __post_init__(self):
         _check_mode(self.save_mode)
 
+    # fixed values: the tokens that templates may name
     @property
     def tokens(self) -> dict[str, str]:
         return {"targetType": self.target_type, "saveMode": self.save_mode, "parquetDir": self.directory}
@@ -142,6 +143,7 @@ class HistoryTable(SnapshotFiles):
         _check_name(self.database)
         _check_name(self.table)
 
+    # fixed values: the tokens that templates may name
     @property
     def tokens(self) -> dict[str, str]:
         return {
@@ -219,6 +221,7 @@ class ManagedTable:
         if self.keys and self.save_mode != "append":
             raise ValueError("keys need save mode append")
 
+    # fixed values: the tokens that templates may name
     @property
     def tokens(self) -> dict[str, str]:
         return {

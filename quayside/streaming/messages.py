@@ -59,7 +59,7 @@ def classify(messages: DataFrame, environments: Sequence[tuple[str, str]]) -> Da
     parsed = parsed.withColumn("container", blob_container(event["subject"]))
     status = F.lower("copy_status")
     is_copy = event["data"]["api"] == COPY_API
-    unhandled = F.concat(F.lit("Unhandled event type "), event["eventType"])
+    unhandled = F.concat(F.lit("not an event of a new file: "), event["eventType"])
 
     rules = [
         (event.isNull(), DEAD_LETTER, F.lit("unparsable message")),

@@ -17,6 +17,7 @@ ENVIRONMENTS = [("prod", "LakeProd"), ("test", "laketest")]
 START = datetime(2024, 1, 1, tzinfo=timezone.utc)
 
 
+# fixed values: the fields of a message body, its event names and envelope
 def body(api="PutBlob", topic="/accounts/lakeprod", event="Microsoft.Storage.BlobCreated", subject=None):
     subject = subject or "/blobServices/default/containers/raw/blobs/in/a.csv"
     return json.dumps({"topic": topic, "subject": subject, "eventType": event, "data": {"api": api, "x": 1}, "id": "1"})
@@ -55,7 +56,7 @@ def test_outcomes(spark):
     out = classify(frame(spark, [m for m, _ in CASES.values()]), ENVIRONMENTS)
     assert {r["message_id"]: r["outcome"] for r in out.collect()} == {k: o for k, (_, o) in CASES.items()}
     row = out.where("message_id = 'deleted'").first()
-    assert row["reason"] == "Unhandled event type Microsoft.Storage.BlobDeleted"
+    assert row["reason"] == "not an event of a new file: Microsoft.Storage.BlobDeleted"
     row = out.where("message_id = 'plain'").first()
     assert (row["environment"], row["container"], row["subject"]) == ("prod", "raw", "/in/a.csv")
     assert out.where("message_id = 'pending'").first()["delay_seconds"] == 300
