@@ -59,10 +59,11 @@ class SpecsUnavailable(RuntimeError):
 
 
 class _Activity(StreamingQueryListener):
-    """Notes when a query last took in rows."""
+    """Notes when a query last took in rows, and whether it has looked for any yet."""
 
     def __init__(self) -> None:
         self.query_id: str | None = None
+        self.looked = False
         self.last = time.monotonic()
 
     def note(self) -> None:
@@ -72,11 +73,14 @@ class _Activity(StreamingQueryListener):
         pass
 
     def onQueryProgress(self, event) -> None:
-        if str(event.progress.id) == self.query_id and event.progress.numInputRows > 0:
-            self.note()
+        if str(event.progress.id) == self.query_id:
+            self.looked = True
+            if event.progress.numInputRows > 0:
+                self.note()
 
     def onQueryIdle(self, event) -> None:
-        pass
+        if str(event.id) == self.query_id:
+            self.looked = True
 
     def onQueryTerminated(self, event) -> None:
         pass
@@ -127,8 +131,8 @@ class Arrivals:
             activity.query_id = str(query.id)
             poll = min(max(idle.total_seconds() / 10, 0.1), 10)
             while not query.awaitTermination(poll):
-                if self._busy(query):
-                    # a long micro-batch is no silence
+                if self._busy(query) or not (activity.looked or query.lastProgress):
+                    # a long start or micro-batch is no silence
                     activity.note()
                 elif self._release(spark, settled=False):
                     activity.note()
@@ -143,7 +147,8 @@ class Arrivals:
     @staticmethod
     def _busy(query: StreamingQuery) -> bool:
         status = query.status
-        return bool(status["isDataAvailable"]) or (bool(status["isTriggerActive"]) and "Getting offsets" not in status["message"])
+        looking = "Getting offsets" in status["message"]
+        return status["isDataAvailable"] or (status["isTriggerActive"] and not looking) or status["message"].startswith("Initializing")
 
     def _start(self, spark: SparkSession, messages: str, checkpoint_dir: str, files_per_batch: int, **trigger) -> StreamingQuery:
         reader: DataStreamReader = spark.readStream.schema(MESSAGE_SCHEMA).option("maxFilesPerTrigger", files_per_batch)

@@ -274,6 +274,16 @@ def test_listening_ends_after_an_idle_time(spark, tmp_path):
     assert not spark.streams.active
 
 
+def test_listening_to_nothing_ends(spark, tmp_path):
+    import time
+
+    stream = Stream(spark, tmp_path)
+    begun = time.monotonic()
+    listen = {"every": "200 milliseconds", "idle": timedelta(seconds=1)}
+    stream.arrivals.listen(spark, str(tmp_path / "messages"), str(tmp_path / "checkpoint"), 1, **listen)
+    assert time.monotonic() - begun < 60 and stream.outcomes() == []
+
+
 class Breaking(SnapshotFiles):
     """A target that fails for one record type until it is mended."""
 
