@@ -14,16 +14,16 @@ from quayside.operators.lineage import Run
 from quayside.plans.load import LoadSpec, delete_loaded, load_planned, resolve_specs
 from quayside.session import checkpoint, small_table
 from quayside.sinks import storage
-from quayside.sinks.audit import SUCCESS, load_states, read_audit
+from quayside.sinks.audit import SUCCESS, audit_rows, load_states, read_audit, record
 from quayside.sources.frames import Files
-from quayside.sources.manifest import list_files
+from quayside.sources.manifest import empty_files, list_files
 
 
 @dataclass
 class MessageLoader:
     """The ingest callback of ``Arrivals``: loads a batch of messages spec by spec.
 
-    ``location`` says where a file lies, with ``{container}`` and ``{subject}`` in
+    A file of no length succeeds and writes nothing; one with a hidden name, which no scan reads, is a failure. ``location`` says where a file lies, with ``{container}`` and ``{subject}`` in
     it. ``specs`` is asked for at every batch and may raise ``SpecsUnavailable``;
     spec paths are prefixes of ``/<container><subject>``. A message without a spec
     is passed over.
@@ -59,12 +59,15 @@ class MessageLoader:
 
         # one entry per message of this micro-batch
         asked = [(r["path"], storage.qualified(spark, r["path"])) for r in known.select("path").distinct().collect()]
-        there = {p: storage.exists(spark, p) for p, _ in asked}
-        present = [q for p, q in asked if there[p]]
-        failed = [(p, "file does not exist") for p, _ in asked if not there[p]]
+        hidden = {p for p, _ in asked if p.rsplit("/", 1)[-1].startswith(("_", "."))}
+        there = {p: storage.exists(spark, p) for p, _ in asked if p not in hidden}
+        present = [q for p, q in asked if there.get(p)]
+        failed = [(p, "hidden file" if p in hidden else "file does not exist") for p, _ in asked if not there.get(p)]
         if present:
             named = small_table(spark, asked, "asked string, path string")
-            listed = list_files(spark, Files.literal(present))
+            files = Files.literal(present)
+            listed = list_files(spark, files)
+            listed = listed.unionByName(empty_files(spark, files, listed))
             listed = listed.withColumn("path", paths.plain_path(F.col(SOURCE_NAME))).join(named, "path")
             # two messages on one file load it once
             by_file = known.groupBy(F.col("path").alias("asked")).agg(
@@ -74,13 +77,15 @@ class MessageLoader:
                 SOURCE_NAME,
                 "path",
                 "asked",
+                "size",
                 F.col("first.spec").alias("spec"),
                 F.col("first.message_id").alias("ingest_id"),
                 F.col("first.correlation_id").alias("correlation_id"),
             )
             planned, run = checkpoint(planned), self.run()
             self._undo(planned.join(begun, "ingest_id", "left_semi"), specs, run)
-            report = load_planned(spark, specs, planned, run, self.audit)
+            report = load_planned(spark, specs, planned.where("size > 0"), run, self.audit)
+            record(audit_rows(planned.where("size = 0"), SUCCESS, F.col("spec"), run.at), self.audit)
             self._notify(specs, planned, run)
             back = {q: p for p, q in asked}
             failed += [(back[q], error) for q, error in report.failures]

@@ -164,6 +164,8 @@ def test_files_are_loaded_on_arrival(spark, tmp_path):
     (folder / "a.csv").write_text("id\n1\n")
     (folder / "b.csv").write_text("id\n2\n")
     (folder / "bad.csv").write_text("a b,a.b\n2\n")
+    (folder / "zero.csv").write_text("")
+    (folder / "_hidden.csv").write_text("id\n9\n")
     spec = LoadSpec("orders", "/raw/in", "csv", Delimited("erp"), SnapshotFiles(str(tmp_path / "out")))
     loader = MessageLoader(f"{tmp_path}/{{container}}{{subject}}", lambda: [spec], str(tmp_path / "audit"))
     stream = Stream(spark, tmp_path, loader)
@@ -173,14 +175,14 @@ def test_files_are_loaded_on_arrival(spark, tmp_path):
         return message(name, body(subject=path), metadata={"correlationId": "c-" + name})
 
     stream.send(arrived("1", "a.csv"), arrived("2", "bad.csv"), arrived("3", "gone.csv"), arrived("4", "x.unknown"))
-    stream.send(arrived("5", "b.csv"), arrived("1", "a.csv"))
+    stream.send(arrived("5", "b.csv"), arrived("1", "a.csv"), arrived("6", "zero.csv"), arrived("7", "_hidden.csv"))
     stream.run()
     out = storage.read_table_files(spark, spec.target.path({}))
     assert values(out, "id") == [("1",), ("2",)]
-    assert stream.outcomes() == [("1", "ingest"), ("2", "dead_letter"), ("3", "dead_letter"), ("4", "ingest"), ("5", "ingest")]
+    assert stream.outcomes() == [("1", "ingest"), ("2", "dead_letter"), ("3", "dead_letter"), ("4", "ingest"), ("5", "ingest"), ("6", "ingest"), ("7", "dead_letter")]
     log = spark.read.parquet(str(tmp_path / "audit")).where("status <> 'STARTED'")
     assert values(log, "ingest_id", "correlation_id", "status") == [
-        ("1", "c-1", "SUCCESS"), ("2", "c-2", "FAILED"), ("5", "c-5", "SUCCESS")
+        ("1", "c-1", "SUCCESS"), ("2", "c-2", "FAILED"), ("5", "c-5", "SUCCESS"), ("6", "c-6", "SUCCESS")
     ]
 
 
