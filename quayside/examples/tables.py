@@ -378,10 +378,14 @@ def upsert_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     def landed(rows: DataFrame, stamp: str) -> DataFrame:
         return rows.withColumn("meta_source_name", F.lit(f"/landing/snapshot_date={stamp}/orders.csv")).withColumn("snapshot_date", F.lit(stamp))
 
-    target = ManagedTable(DATABASE, _fresh_name("orders"), scratch_path(spark, "parts"), keys=["k", "priority"], partition_columns=["priority"])
+    # order 0 and its new order have one number, as have orders k and -k: what tells them apart is a key too
+    orders = orders.withColumn("mirrored", F.lit(False))
+    keys = ["k", "priority", "mirrored"]
+    target = ManagedTable(DATABASE, _fresh_name("orders"), scratch_path(spark, "parts"), keys=keys, partition_columns=["priority"])
     target.write(landed(orders, "2024_01_02_00_00_00"), {})
     changed = orders.where((F.col("priority") < "3") & (F.col("k") % 2 == 0)).withColumn("status", F.concat(F.lit("new "), "status"))
-    target.write(landed(changed.unionByName(changed.withColumn("k", -F.col("k"))), "2024_01_03_00_00_00"), {})
+    new = changed.withColumns({"k": -F.col("k"), "mirrored": F.lit(True)})
+    target.write(landed(changed.unionByName(new), "2024_01_03_00_00_00"), {})
     return spark.table(target.name({})).select("k", "priority", "status", "snapshot_date")
 
 

@@ -289,3 +289,15 @@ def test_rows_of_files_in_nested_snapshot_folders(spark):
     assert hit("/q/snapshot_date=1/b.csv", "/snapshot_date=3/x/snapshot_date=2/b.csv") == [names[0], names[2]]
     with pytest.raises(ValueError, match="no snapshot_date folder"):
         hit("/a/b.csv")
+
+
+def test_mirrored_orders_are_new_whatever_their_numbers(spark, tmp_path):
+    """Order 0 is its own mirror image, and 6 and -6 are each other's: all their new orders are inserted."""
+    from quayside.examples import tables
+
+    made = [(k, p, "F") for k, p in [(0, "1-URGENT"), (6, "2-HIGH"), (-6, "2-HIGH"), (7, "1-URGENT"), (8, "5-LOW")]]
+    spark.createDataFrame(made, "o_orderkey bigint, o_orderpriority string, o_orderstatus string").write.parquet(str(tmp_path / "orders.parquet"))
+    got = [tuple(r) for r in tables.upsert_partitioned(spark, str(tmp_path)).collect()]
+    old = [(k, p, s, "2024_01_02_00_00_00") for k, p, s in made if k in (7, 8)]
+    new = [(i, p, "new F", "2024_01_03_00_00_00") for k, p, _ in made if k not in (7, 8) for i in (k, -k)]
+    assert sorted(got) == sorted(old + new)
