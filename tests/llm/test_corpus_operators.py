@@ -288,6 +288,17 @@ def test_near_documents_share_a_class(spark):
     assert neardup.groups(docs.limit(0)).count() == neardup.keep_one(docs.limit(0)).count() == 0
 
 
+def test_every_shingle_weighs_by_its_own_frequency(spark):
+    """Two texts are alike but for passages that 4 % of the documents have: linked, as those weigh less. With rare passages they are not."""
+    base, passages = prose(1, 300), [" ".join(prose(70 + n, 40)) for n in range(2)]
+    rows = [(n, " ".join(base) + " " + passages[n]) for n in range(2)]
+    rows += [(10 + n, " ".join(prose(2, 300)) + " " + " ".join(prose(80 + n, 40))) for n in range(2)]
+    rows += [(100 + n, " ".join(prose(100 + n, 150)) + (" " + passages[n % 2] if n < 10 else "")) for n in range(126)]
+    got = texts(neardup.groups(documents(spark, rows)), "doc_id", "class_id", "class_size")
+    assert got == brute_groups(rows)
+    assert {(0, 0, 2), (1, 0, 2), (10, 10, 1), (11, 11, 1)} <= set(got)
+
+
 def test_a_large_group_has_the_threshold_of_a_small_one(spark):
     """A third of the rows are copies of one text, and edited copies with a plain similarity of 0.81 to 0.88 to it."""
     base = prose(1, 300)
