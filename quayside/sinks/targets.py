@@ -15,7 +15,7 @@ from quayside import SNAPSHOT, SOURCE_NAME
 from quayside.functions.names import quoted
 from quayside.functions.paths import fill_text
 from quayside.operators.upsert import latest_per_key, merge_by_key
-from quayside.session import checkpoint
+from quayside.session import checkpoint, open_writers
 from quayside.sinks import file_index, storage
 
 SAVE_MODES = ("append", "overwrite", "ignore", "errorifexists")
@@ -99,7 +99,8 @@ class SnapshotFiles:
                 raise ValueError(f"a snapshot in the frame already exists below {path}")
             df, mode = df.where(~clash), "append"
         writer = with_file_count(df, self.num_files).write.mode(mode).partitionBy(SNAPSHOT)
-        writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+        with open_writers(spark):
+            writer.option("partitionOverwriteMode", "dynamic").parquet(path)
         try:
             return self.register(spark, df.schema, path, tokens)
         except Exception as error:
@@ -261,7 +262,8 @@ class ManagedTable:
         writer = with_file_count(df, self.num_files).write.format(self.format).mode(self.save_mode)
         if self.partition_columns:
             writer = writer.partitionBy(*self.partition_columns)
-        writer.option("overwriteSchema", "true").option("partitionOverwriteMode", "static").save(path)
+        with open_writers(spark):
+            writer.option("overwriteSchema", "true").option("partitionOverwriteMode", "static").save(path)
         try:
             if self.save_mode == "overwrite":
                 spark.sql(f"DROP TABLE IF EXISTS {name}")
@@ -318,7 +320,8 @@ class ManagedTable:
         writer = with_file_count(merged, self.num_files).write.mode("overwrite")
         if self.partition_columns:
             writer = writer.partitionBy(*self.partition_columns)
-        writer.parquet(fresh)
+        with open_writers(spark):
+            writer.parquet(fresh)
         spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.{quoted(fresh)}")
         for old in done[:-1]:
             storage.remove(spark, f"{path}/version={old}")
@@ -340,7 +343,8 @@ class ManagedTable:
         before = current.where(place.isin(touched)).withColumns({c: F.col(quoted(c)).cast(kinds[c]) for c in parts})
         merged = merge_by_key(before, updates, self.keys, False, self.evolve)
         work = self._moving(path, version)
-        with_file_count(merged, self.num_files).write.mode("overwrite").partitionBy(*parts).parquet(work)
+        with open_writers(spark):
+            with_file_count(merged, self.num_files).write.mode("overwrite").partitionBy(*parts).parquet(work)
         self._finish_moves(spark, path)
 
     @staticmethod

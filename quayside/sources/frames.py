@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.readwriter import DataFrameReader
 
+from quayside.session import open_writers
+
 
 @dataclass(frozen=True)
 class Frame:
@@ -78,7 +80,8 @@ def stage_kinds(records: DataFrame, kinds: Sequence[Column], path: str) -> list[
     dealt = records.withColumn("_kind", F.explode(numbers))
     counted = Observation()
     counts = [F.count_if(F.col("_kind") == n).alias(f"kind_{n}") for n in range(len(kinds))]
-    dealt.observe(counted, *counts).write.partitionBy("_kind").parquet(path)
+    with open_writers(spark):
+        dealt.observe(counted, *counts).write.partitionBy("_kind").parquet(path)
     found = counted.get
     staged = []
     for n in range(len(kinds)):

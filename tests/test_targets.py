@@ -301,3 +301,21 @@ def test_mirrored_orders_are_new_whatever_their_numbers(spark, tmp_path):
     old = [(k, p, s, "2024_01_02_00_00_00") for k, p, s in made if k in (7, 8)]
     new = [(i, p, "new F", "2024_01_03_00_00_00") for k, p, _ in made if k not in (7, 8) for i in (k, -k)]
     assert sorted(got) == sorted(old + new)
+
+
+def test_partitioned_writes_sort_no_rows_of_few_folders(spark, tmp_path, monkeypatch):
+    """Files are held open instead, and what lies in further folders is written all the same."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from quayside.sources.frames import stage_kinds
+
+    setting, seen, write = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.parquet
+    before = spark.conf.get(setting)
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **b: (seen.append(int(spark.conf.get(setting))), write(self, *a, **b))[1])
+    made = spark.range(0, 400, 1, 2).selectExpr("cast(id as string) as id", "'f' as meta_source_name", "format_string('2024_01_%02d_00_00_00', id % 20 + 1) as snapshot_date")
+    target = SnapshotFiles(str(tmp_path / "many"), "append")
+    target.write(made, {})
+    staged = stage_kinds(made.select("id"), [F.col("id") % 3 == n for n in range(3)], str(tmp_path / "kinds"))
+    assert len(seen) == 2 and min(seen) >= 3 and spark.conf.get(setting) == before
+    assert values(storage.read_table_files(spark, target.path({})).select("id", "snapshot_date")) == values(made.select("id", "snapshot_date"))
+    assert [n for _, n in staged] == [134, 133, 133] and ids(staged[0][0]) == sorted(str(i) for i in range(0, 400, 3))
