@@ -30,8 +30,8 @@ def shard(key: str, files: int) -> Column:
 
 
 def placed(rows: DataFrame, files: int, order: list[str]) -> DataFrame:
-    """Bring each shard's rows into one task, in order."""
-    return rows.repartition(files, "shard").sortWithinPartitions("shard", *order)
+    """Bring each shard's rows into a task of its own, in order."""
+    return rows.repartitionById(files, F.coalesce("shard", F.lit(0))).sortWithinPartitions("shard", *order)
 
 
 def land_lines(lines: DataFrame, files: int, label: str, order: list[str], stamp: str = STAMP) -> str:

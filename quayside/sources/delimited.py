@@ -24,6 +24,8 @@ from quayside.session import checkpoint
 from quayside.sources.frames import Files, Frame, stage_kinds
 
 _BLANK = r"^[\x00-\x20]*$"
+#: Records that may span lines are summed up in chunks of two to the power of so many.
+RECORD_BITS = 12
 
 
 @dataclass(frozen=True)
@@ -154,7 +156,8 @@ def _number_records(scan: DataFrame, has_header: bool) -> DataFrame:
     positions = with_positions(scan)
     records = number_rows(positions, block_table(positions), offset=int(has_header))
     counted = records.withColumn("_breaks", line_breaks([F.col(quoted(n)) for n in names]))
-    summed = exclusive_running_sum(counted, "_breaks", LINE_NUMBER, "_earlier", (SOURCE_NAME,))
+    # whole records go through the windows, so chunks are of fewer rows
+    summed = exclusive_running_sum(counted, "_breaks", LINE_NUMBER, "_earlier", (SOURCE_NAME,), RECORD_BITS)
     return summed.select(
         *map(quoted, names), (F.col(LINE_NUMBER) + F.col("_earlier")).alias(LINE_NUMBER), SOURCE_NAME
     )

@@ -161,3 +161,14 @@ def test_running_sum_whatever_the_chunk(spark, bits):
     assert values(exclusive_running_sum(df, "v", "n", "s", ("p",), bits)) == sorted(want, key=repr)
     whole = [(p, n, v, sum(x for _, m, x in rows if m < n)) for p, n, v in rows]
     assert values(exclusive_running_sum(df, "v", "n", "s", (), bits)) == sorted(whole, key=repr)
+
+
+def test_each_landed_shard_has_a_task_of_its_own(spark):
+    """Hashed shards would meet in one task, which would write and read several files' rows."""
+    from pyspark.sql import functions as F
+
+    from quayside.examples.landing import placed
+
+    rows = spark.range(0, 4000, 1, 4).selectExpr("id", "cast(id % 40 as int) as shard")
+    tasks = placed(rows, 40, ["id"]).groupBy(F.spark_partition_id().alias("task")).agg(F.count_distinct("shard").alias("n"), F.count("*").alias("rows"))
+    assert [(r.n, r.rows) for r in tasks.collect()] == [(1, 100)] * 40
