@@ -7,12 +7,15 @@ the next shorter retained context, down to the distribution of words alone, and
 that is retained.
 
 Trees grow level by level: a run of words can only be frequent if both shorter runs in it are, so each level counts only such
-runs. Spark counts them over all documents. Words are numbered for that, and a run is two numbers: those of the run
-without its last word, and of that word.
+runs. What is frequent does not depend on the size of the corpus. Runs are known by hashes, made from those of the two shorter runs in them, and all of them, their
+counts and states are tables that are grouped and joined by Spark.
 
-What is broadcast has a greatest size: ``HOT_WORDS`` words at most, and of each level the runs that make up ``RARE`` of
-all words, which are 1 / RARE at most. Counts of all other words stay in a table that grows with the corpus and are joined by
-word; as the frequent words are not among these, no key of the join is hot.
+The logarithm of a word's probability is a sum: that of the distribution of words, of each retained context what it leaves to the
+shorter one, and of each stored run what it gains over that. So a run has one value, whatever stands before it, and a text's score is the
+sum of the values of all runs in it.
+
+What is broadcast has a greatest size and changes no result: ``HOT_WORDS`` words and ``HOT_RUNS`` values of runs at most, the most frequent, and bitmaps. All other
+words and runs stay in tables that grow with the corpus and are joined; as the frequent ones are not among these, no key of the joins is hot.
 """
 
 from __future__ import annotations
@@ -20,7 +23,8 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from functools import reduce
 from itertools import chain, repeat
 
 import numpy as np
@@ -28,24 +32,29 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quayside.llm.bitmap import among, bitmap
+from quayside.llm.buckets import discard, written
 from quayside.llm.frames import col
 from quayside.llm.registry import query
-from quayside.llm.words import slices
-from quayside.session import scratch_path
+from quayside.llm.words import MIX_1, mix, slices, words_of
 
 #: The longest context, in words.
 DEPTH = 3
-#: The part of all words that a run of words must make up to be stored, if it occurs ``LEAST`` times.
-RARE = 2e-7
+#: Times that a run of words must occur to be stored.
 LEAST = 2
 #: What a context must gain over the shorter one, in nats per next word that is stored.
 GAIN = 3.0
 #: Taken off each stored count, for words that never followed.
 DISCOUNT = 0.75
-#: Words that are broadcast.
+#: Words, and values of runs, that are broadcast.
 HOT_WORDS = 400_000
+HOT_RUNS = 1 << 21
 #: Different words that a task counts before it hands them on.
 COUNTED = 400_000
+#: The hash of a text's end.
+END = np.uint64(0x8F14E45FCEEA167A)
+HIGH = np.uint64(0xFFFFFFFF00000000)
+
 
 def _rows(texts: pa.Array) -> list[list[bytes]]:
     """The words of each text in order, with A to Z in lower case, and the end. White space is what bytes.split takes for it: 0x20 and
@@ -87,129 +96,127 @@ def word_counts(docs: DataFrame, text: Column, learned: Column) -> DataFrame:
 # -- the tree
 
 
+def longer(before: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """Hashes of runs, from those of the runs without their last and without their first words."""
+    return mix(before * np.uint64(MIX_1) + after)
+
+
+def runs_of(texts: pa.Array, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Of 1 to ``length`` words: the hash of the run at each place, the text that it begins in, and whether it ends there too."""
+    words = words_of(texts, "spaced_lower")
+    first = np.repeat(np.arange(len(texts)), np.diff(words.at) + 1)
+    keys = np.insert(words.hashes, words.at[1:], END)
+    for size in range(1, length + 1):
+        if size > 1:
+            keys = longer(keys[:-1], keys[1:])
+        text_of = first[: len(keys)]
+        yield keys, text_of, text_of == first[len(first) - len(keys) :]
+
+
 @dataclass
 class Level:
-    """Frequent runs of words of one length, and the states of the contexts that they begin with."""
+    """Stored runs of words of one length, and the states of the contexts that they begin with."""
 
-    keys: np.ndarray  # in order: number of the run without its last word, and of that word
-    n: np.ndarray
-    share: np.ndarray = field(default=None)  # of the run's last word in its state, discounted; 0 if the state is not retained
-    rest: np.ndarray = field(default=None)  # by context: what its state leaves to the shorter one; 1 if it is not retained
-
-    def find(self, before: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """Numbers of runs, -1 for those that are not stored."""
-        found = np.full(len(word), -1, np.int64)
-        chosen = np.flatnonzero((before >= 0) & (word >= 0))
-        if len(self.keys):
-            keys = before[chosen] << 32 | word[chosen]
-            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-            found[chosen] = np.where(self.keys[at] == keys, at, -1)
-        return found
+    keys: np.ndarray  # a bitmap of the runs
+    runs: DataFrame  # key, n, value, of runs that have one
+    states: DataFrame  # retained contexts: key, n, value
 
 
 @dataclass
 class Tree:
+    """The most frequent words, the longer runs, and the most frequent of these."""
+
     numbers: dict[bytes, int]
     counts: np.ndarray  # by word
     base: np.ndarray  # by word: logarithm to base 10
+    values: np.ndarray  # by word: the same and what the word leaves as a context
     levels: list[Level] = field(default_factory=list)
 
-    def rows_of(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers of all words, -1 for other words and before each text; and where texts begin."""
-        sizes = np.array([len(words) + 1 for words in texts], np.int64)
-        starts = np.cumsum(sizes) - sizes
-        words = chain.from_iterable(chain((b"\n",), row) for row in texts)  # a line feed is no word
-        return np.fromiter(map(self.numbers.get, words, repeat(-1)), np.int64, int(sizes.sum())), starts
-
-    def runs(self, ids: np.ndarray, levels: int) -> list[np.ndarray]:
-        """Of each length, the number of the run that ends at each word."""
-        found = [ids]
-        for level in self.levels[:levels]:
-            before = np.append(-1, found[-1][:-1])
-            found.append(level.find(before, ids))
-        return found
-
-    def probabilities(self, ids: np.ndarray) -> np.ndarray:
-        """Of each word after the words before it. For a word without a number: what its states leave to the distribution of words."""
-        p = np.where(ids >= 0, 10 ** self.base[ids], 1.0) if len(self.base) else np.ones(len(ids))
-        runs = self.runs(ids, len(self.levels))
-        for length, level in enumerate(self.levels):
-            context = np.append(-1, runs[length][:-1])
-            inside = np.flatnonzero(context >= 0)
-            run = runs[length + 1][inside]
-            share = np.where(run >= 0, level.share[run], 0.0) if len(level.share) else 0.0
-            p[inside] = share + level.rest[context[inside]] * p[inside]
-        return p
-
-    def add(self, keys: np.ndarray, n: np.ndarray, gain: float, discount: float) -> None:
-        """Take in the counts of the next longer runs, and retain the contexts whose distributions diverge."""
-        order = np.argsort(keys)
-        keys, n = keys[order], n[order]
-        context, word = keys >> 32, keys & 0xFFFFFFFF
-        totals = self.levels[-1].n if self.levels else self.counts
-        # the distribution of the shorter context, for the same last words
-        if self.levels:
-            shorter = self.levels[-1]
-            before = self.levels[-2].n if len(self.levels) > 1 else self.counts
-            begun = self._tail(context)
-            parent = shorter.n[shorter.find(begun, word)] / before[begun]
-        else:
-            parent = 10 ** self.base[word]
-        total = totals[context]
-        size = len(totals)
-        stored = np.bincount(context, n.astype(float), size)
-        followers = np.bincount(context, minlength=size)
-        parent_stored = np.minimum(np.bincount(context, parent, size), 1 - 1e-9)
-        gains = np.bincount(context, n * np.log(n / total / parent), size)
-        left = np.maximum(totals - stored, 0)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            gains += np.where(left > 0, left * np.log(left / totals / (1 - parent_stored)), 0)
-        retained = (followers > 0) & (gains >= gain * followers)
-        share = np.where(retained[context], (n - discount) / total, 0.0)
-        rest = np.where(retained, 1 - np.bincount(context, share, size), 1.0)
-        self.levels.append(Level(keys, n, share, rest))
-
-    def _tail(self, run: np.ndarray) -> np.ndarray:
-        """Numbers of runs without their first words: the runs of one word less that end alike."""
-        level = len(self.levels) - 1
-        words = []
-        for below in range(level, -1, -1):
-            words.append(self.levels[below].keys[run] & 0xFFFFFFFF)
-            run = self.levels[below].keys[run] >> 32
-        found = words.pop()
-        for below in range(level):
-            found = self.levels[below].find(found, words.pop())
-        return found
-
-
-def grow(docs: DataFrame, tree: Tree, tokens: int, text: Column, learned: Column, depth: int = DEPTH, rare: float = RARE, least: int = LEAST, gain: float = GAIN, discount: float = DISCOUNT) -> Tree:
-    """Add the levels to a tree of words."""
-    spark = docs.sparkSession
+
+def _counts(rows: DataFrame, known: np.ndarray, level: int) -> DataFrame:
+    """How often runs of ``level + 1`` words occur, as rows (context, tail, n) of the hashes of the two shorter runs in them, which must be in a bitmap."""
+    known = rows.sparkSession.sparkContext.broadcast(known)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, "t", 1 << 23):
+                *_, (shorter, _, _), (keys, _, inside) = runs_of(batch.column("t"), level + 1)
+                may = among(shorter, known.value)
+                at = np.flatnonzero(inside & may[:-1] & may[1:])
+                # by context and run, half of each, so that equal runs mostly meet and the shuffle packs equal contexts
+                at = at[np.argsort(shorter[at] & HIGH | keys[at] >> np.uint64(32))]
+                first = np.flatnonzero(np.append(True, keys[at[1:]] != keys[at[:-1]])) if len(at) else at
+                n = np.diff(np.append(first, len(at)))
+                at = at[first]
+                made = [pa.array(shorter[at].view(np.int64)), pa.array(shorter[at + 1].view(np.int64)), pa.array(n)]
+                yield pa.RecordBatch.from_arrays(made, ["context", "tail", "n"])
+
+    # rows of a run are few: one from each batch
+    counted = rows.mapInArrow(count, "context bigint, tail bigint, n bigint").repartition("context", "tail")
+    return counted.groupBy("context", "tail").agg(F.sum("n").alias("n"))
+
+
+def _keyed(runs: DataFrame) -> DataFrame:
+    """Rows (context, tail, n) with the hash of the run."""
+
+    def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            before, after = (np.asarray(batch.column(c)).view(np.uint64) for c in ("context", "tail"))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(longer(before, after).view(np.int64))], ["context", "tail", "n", "key"])
+
+    return runs.mapInArrow(key, "context bigint, tail bigint, n bigint, key bigint")
+
+
+def grow(docs: DataFrame, words: DataFrame, text: Column, learned: Column, depth: int = DEPTH, least: int = LEAST, gain: float = GAIN, discount: float = DISCOUNT) -> list[Level]:
+    """The levels of a tree, from rows (key, n, ratio, p) of words. Each context whose distribution diverges is retained. ``discount`` is above 0."""
     rows = docs.where(learned).select(text.cast("string").alias("t"))
-    enough = max(least, rare * tokens)
-    for level in range(depth):
-        known = spark.sparkContext.broadcast(tree)
-
-        def count(batches: Iterator[pa.RecordBatch], known=known, level=level) -> Iterator[pa.RecordBatch]:
-            for whole in batches:
-                for batch in slices(whole, "t", 1 << 24):
-                    ids = np.concatenate([known.value.rows_of(_rows(part.column("t")))[0] for part in slices(batch, "t", 1 << 21)])
-                    if len(known.value.counts):
-                        ids[known.value.counts[ids] < enough] = -1  # in no frequent run
-                    runs = known.value.runs(ids, level)
-                    before = np.append(-1, runs[-1][:-1])
-                    both = (before >= 0) & (ids >= 0)
-                    if level:  # the run without its first word must be stored too
-                        both &= runs[-1] >= 0
-                    keys, n = np.unique(before[both] << 32 | ids[both], return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], ["key", "n"])
-
-        counts = rows.mapInArrow(count, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
-        frequent = counts.where(F.col("n") >= enough).toArrow()
-        if not len(frequent):
+    known, bits, levels = words, bitmap(words, "key"), []
+    n, total, parent, rest = F.col("n"), F.col("total"), F.col("parent"), F.col("rest")
+    for level in range(1, depth + 1):
+        frequent = _keyed(_counts(rows, bits, level).where(n >= least))
+        # the distribution of the shorter context, for the same last words; these joins also drop what is in the bitmap by chance
+        tails = known.select(F.col("key").alias("tail"), F.col("ratio").alias("parent"), F.col("p").alias("below"))
+        contexts = known.select(F.col("key").alias("context"), n.alias("total"))
+        runs = written(frequent.join(tails, "tail").join(contexts, "context").select("context", "key", "n", "total", "parent", "below"), "runs")
+        sums = runs.groupBy("context").agg(
+            F.max("total").alias("total"),
+            F.count(F.lit(1)).alias("followers"),
+            F.sum("n").alias("stored"),
+            F.least(F.sum("parent"), F.lit(1 - 1e-9)).alias("parent"),
+            F.sum(n * F.log(n / total / parent)).alias("gains"),
+            F.sum((n - discount) / total).alias("shares"),
+        )
+        left = total - F.col("stored")
+        gains = F.col("gains") + F.when(left > 0, left * F.log(left / total / (1 - parent))).otherwise(0.0)
+        states = written(sums.where(gains >= gain * F.col("followers")).select("context", total.alias("n"), (1 - F.col("shares")).alias("rest")), "states")
+        p = F.when(rest.isNull(), F.col("below")).otherwise((n - discount) / total + rest * F.col("below"))
+        value = F.when(rest.isNull(), 0.0).otherwise(F.log10("p") - F.log10(rest * F.col("below")))
+        valued = runs.join(states.select("context", "rest"), "context", "left").withColumn("p", p)
+        valued = written(valued.select("key", "n", (n / total).alias("ratio"), "p", value.alias("value")), "level")
+        discard(runs)
+        if level > 1:
+            discard(known)
+        known = valued
+        if known.isEmpty():
             break
-        tree.add(np.asarray(frequent["key"]), np.asarray(frequent["n"]), gain, discount)
-    return tree
+        bits = bitmap(known, "key")
+        own = written(known.where("value <> 0").select("key", "n", "value"), "values")
+        levels.append(Level(bits, own, states.select(F.col("context").alias("key"), "n", F.log10("rest").alias("value"))))
+    if known is not words:
+        discard(known)
+    return levels
+
+
+def _frequent(rows: DataFrame, most: int) -> Column:
+    """Which of the rows with counts ``n`` are the most frequent: of whole classes, by the counts' logarithms, and ``most`` rows at most."""
+    size = F.floor(F.log2(F.col("n") + F.lit(1)))
+    least, number = 64, 0
+    for row in sorted(rows.groupBy(size.alias("size")).count().collect(), key=lambda r: -r["size"]):
+        number += row["count"]
+        if number > most:
+            break
+        least = row["size"]
+    return size >= least
 
 
 # -- scores
@@ -217,33 +224,89 @@ def grow(docs: DataFrame, tree: Tree, tokens: int, text: Column, learned: Column
 
 @dataclass
 class Model:
-    words: DataFrame  # word, n, base
+    words: DataFrame  # word, n, base, value
+    runs: DataFrame  # key, value; a run that is also a context has two rows
     tree: Tree
     tokens: int
     different: int
+    hot: tuple[np.ndarray, np.ndarray]  # keys of the most frequent runs, in order, and their values
+    others: np.ndarray  # a bitmap of the other runs
+
+
+def _word_keys(words: DataFrame) -> DataFrame:
+    """Rows (word, n) with the hash of the word."""
+
+    def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, "word"):
+                found = words_of(batch.column("word"), "spaced_lower")
+                keys = np.full(batch.num_rows, END)  # the empty word
+                keys[np.diff(found.at) > 0] = found.hashes
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys.view(np.int64))], ["word", "n", "key"])
+
+    return words.mapInArrow(key, "word string, n bigint, key bigint")
 
 
 def train(docs: DataFrame, text: str = "text", learned: Column | None = None, **options) -> Model:
     """Count words and grow a tree. ``learned`` says which documents are learned from; of the others words are listed with count 0."""
     spark = docs.sparkSession
     learned = F.lit(True) if learned is None else F.coalesce(learned, F.lit(False))
-    path = scratch_path(spark, "words")
-    word_counts(docs, col(text), learned).write.parquet(path)
-    counts = spark.read.parquet(path)
+    counts = written(_word_keys(word_counts(docs, col(text), learned)), "words")
     tokens, different = counts.agg(F.sum("n"), F.count_if(F.col("n") > 0)).first()
     tokens = tokens or 0
-    words = counts.withColumn("base", F.log10((F.col("n") + 1) / F.lit(float(tokens + different + 1))))
-    size = F.floor(F.log2(F.col("n") + F.lit(1)))
-    least, number = 64, 0
-    for row in sorted(words.groupBy(size.alias("size")).count().collect(), key=lambda r: -r["size"]):
-        number += row["count"]
-        if number > HOT_WORDS:
-            break
-        least = row["size"]
-    hot = words.where(size >= least).toArrow()
+    p = (F.col("n") + 1) / F.lit(float(tokens + different + 1))
+    words = counts.withColumn("base", F.log10(p))
+    least = options.get("least", LEAST)
+    levels = grow(docs, counts.where(F.col("n") >= least).select("key", "n", p.alias("ratio"), p.alias("p")), col(text), learned, **options)
+    if levels:
+        left = levels[0].states.select("key", F.col("value").alias("left"))
+        words = words.join(left, "key", "left").withColumn("value", F.col("base") + F.coalesce("left", F.lit(0.0))).drop("left")
+    else:
+        words = words.withColumn("value", F.col("base"))
+    words = written(words.select("word", "n", "base", "value"), "words")
+    discard(counts)
+    hot = words.where(_frequent(words, HOT_WORDS)).toArrow()
     numbers = {w: i for i, w in enumerate(hot["word"].cast(pa.binary()).to_pylist())}
-    tree = Tree(numbers, np.asarray(hot["n"]), np.asarray(hot["base"]))
-    return Model(words, grow(docs, tree, tokens, col(text), learned, **options), tokens, different)
+    tree = Tree(numbers, *(np.asarray(hot[c]) for c in ("n", "base", "value")), levels)
+    valued = [x.runs for x in levels] + [x.states for x in levels[1:]]
+    runs = reduce(DataFrame.unionByName, valued) if valued else spark.createDataFrame([], "key bigint, n bigint, value double")
+    chosen = _frequent(runs, HOT_RUNS)
+    table = runs.where(chosen).select("key", "value").toArrow()
+    keys, at = np.unique(np.asarray(table["key"], dtype=np.int64).view(np.uint64), return_inverse=True)
+    # a run has one count, so both of its rows are frequent or neither is
+    runs = runs.where(~chosen).select("key", "value")
+    return Model(words, runs, tree, tokens, different, (keys, np.bincount(at, np.asarray(table["value"], dtype=float), len(keys))), bitmap(runs, "key"))
+
+
+def _run_sums(rows: DataFrame, model: Model) -> DataFrame:
+    """The sum of the values of the runs of two and more words in each text, as rows (k1, runs) from rows (k1, t)."""
+    known = rows.sparkSession.sparkContext.broadcast((model.hot, model.others, len(model.tree.levels)))
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (hot, values), others, levels = known.value
+        for whole in batches:
+            for batch in slices(whole, "t"):
+                texts, own = batch.column("t"), np.asarray(batch.column("k1"))
+                sums, keys, owners = np.zeros(len(texts)), [own], [own]
+                for size, (run, text_of, inside) in enumerate(runs_of(texts, levels + 1)):
+                    if not size:
+                        continue
+                    run, text_of = run[inside], text_of[inside]
+                    if len(hot):
+                        at = np.minimum(np.searchsorted(hot, run), len(hot) - 1)
+                        found = hot[at] == run
+                        sums += np.bincount(text_of[found], values[at[found]], len(texts))
+                        run, text_of = run[~found], text_of[~found]
+                    may = among(run, others)
+                    keys.append(run[may].view(np.int64))
+                    owners.append(own[text_of[may]])
+                keys, owners = np.concatenate(keys), np.concatenate(owners)
+                made = [pa.array(owners), pa.array(keys), pa.array(np.append(sums, np.zeros(len(keys) - len(sums))))]
+                yield pa.RecordBatch.from_arrays(made, ["k1", "key", "sum"])
+
+    # the sum over frequent runs has the text's own hash for a key, which spreads these rows
+    parts = rows.select("k1", "t").mapInArrow(look_up, "k1 bigint, key bigint, sum double").join(model.runs, "key", "left")
+    return parts.groupBy("k1").agg(F.sum(F.col("sum") + F.coalesce("value", F.lit(0.0))).alias("runs"))
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -256,7 +319,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     spark = docs.sparkSession
     new = ("n_tokens", "n_known", "base_score", "score")
     kept = [c for c in docs.columns if c not in new]
-    known = spark.sparkContext.broadcast(model.tree)
+    known = spark.sparkContext.broadcast(replace(model.tree, levels=[]))
     body = F.struct(*(col(c).alias(f"c{i}") for i, c in enumerate(c for c in kept if c != text)))
     rows = docs.select(body.alias("body"), col(text).cast("string").alias("t"))
     rows = rows.select(F.xxhash64("body", "t").alias("k1"), F.xxhash64(F.lit(1), "body", "t").alias("k2"), "t")
@@ -267,12 +330,13 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         for whole in batches:
             for batch in slices(whole, "t"):
                 texts = _rows(batch.column("t"))
-                ids, starts = tree.rows_of(texts)
+                sizes = np.array([len(words) + 1 for words in texts], np.int64)
+                starts = np.cumsum(sizes) - sizes
+                words = chain.from_iterable(chain((b"\n",), row) for row in texts)  # a line feed is no word
+                ids = np.fromiter(map(tree.numbers.get, words, repeat(-1)), np.int64, int(sizes.sum()))
                 hot = ids >= 0
-                own = [np.where(hot, tree.counts[ids] > 0, 0), np.where(hot, tree.base[ids], 0.0)] if len(tree.counts) else [np.zeros(len(ids))] * 2
-                logs = np.log10(tree.probabilities(ids))
-                logs[starts] = 0
-                sums = [np.add.reduceat(x, starts) for x in (*own, logs)]
+                own = [np.where(hot, x[ids], 0) for x in (tree.counts > 0, tree.base, tree.values)] if len(tree.counts) else [np.zeros(len(ids))] * 3
+                sums = [np.add.reduceat(x, starts) for x in own]
                 row_of, word_of, times = list(range(len(texts))), [b" %d" % row for row in range(len(texts))], [0] * len(texts)
                 for row, (start, words) in enumerate(zip(starts.tolist(), texts)):
                     other = np.flatnonzero(~hot[start + 1 : start + 1 + len(words)]).tolist()
@@ -288,7 +352,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column("k1").take(at), batch.column("k2").take(at), pa.array(word_of, pa.binary()).cast(pa.string()), pa.array(times, pa.int64()), *made], names)
 
     parts = rows.mapInArrow(look_up, "k1 bigint, k2 bigint, word string, n bigint, tokens bigint, known bigint, base double, tree double")
-    words = model.words.select("word", F.col("n").alias("count"), F.col("base").alias("word_base"))
+    words = model.words.select("word", F.col("n").alias("count"), F.col("base").alias("word_base"), F.col("value").alias("word_value"))
     joined = parts.join(words, "word", "left")
     # rows without a word hold the sums over frequent words; a repeated row comes as often as it is there, and so does each of its parts
     same = F.sum(F.when(F.col("n") == 0, 1).otherwise(0))
@@ -296,8 +360,10 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         F.max("tokens").alias("n_tokens"),
         ((F.sum("known") + F.sum(F.when(F.col("count") > 0, F.col("n")).otherwise(0))) / same).cast("bigint").alias("n_known"),
         ((F.sum("base") + F.sum(F.coalesce(F.col("n") * F.col("word_base"), F.lit(0.0)))) / same).alias("base_score"),
-        ((F.sum("tree") + F.sum(F.coalesce(F.col("n") * F.col("word_base"), F.lit(0.0)))) / same).alias("score"),
+        (F.sum("tree") + F.sum(F.coalesce(F.col("n") * F.col("word_value"), F.lit(0.0)))).alias("words"),
+        same.alias("same"),
     )
+    sums = sums.join(_run_sums(rows, model), "k1", "left").withColumn("score", (F.col("words") + F.coalesce("runs", F.lit(0.0))) / F.col("same"))
     keyed = docs.select(*map(col, kept)).withColumn("body of a row", body)
     keyed = keyed.withColumns({"first key": F.xxhash64("body of a row", col(text).cast("string")), "second key": F.xxhash64(F.lit(1), "body of a row", col(text).cast("string"))})
     out = keyed.join(sums, [keyed["first key"] == sums["k1"], keyed["second key"] == sums["k2"]])

@@ -457,3 +457,33 @@ def test_cold_words_are_joined(spark, monkeypatch):
     assert len(model.tree.numbers) <= 5
     cold = {r.doc_id: r.base_score for r in scoring.score(docs, model).collect()}
     assert cold == pytest.approx(whole)
+
+
+def test_scores_of_contexts_that_are_joined(spark, monkeypatch):
+    """What is broadcast decides nothing: with a few hot words and runs, all others are in contexts and runs as well."""
+    monkeypatch.setattr(scoring, "HOT_WORDS", 5)
+    monkeypatch.setattr(scoring, "HOT_RUNS", 3)
+    passage = prose(1, 30)
+    rows = [(i, " ".join(prose(10 + i, 15) + passage[i % 4 :] + prose(50 + i, 10))) for i in range(25)]
+    rows += [(30, " ".join(prose(99, 5) + ["new", "words"] + passage[5:12])), (30, " ".join(prose(99, 5) + ["new", "words"] + passage[5:12])), (31, ""), (32, None)]
+    docs = documents(spark, rows)
+    model = scoring.train(docs, learned=docs["doc_id"] < 25)
+    assert len(model.hot[0]) <= 3 and model.runs.count() > 50
+    learned = [[*t.split(), ""] for i, t in rows if i < 25]
+    got = scoring.score(docs, model).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        want = brute_score([*(r.text or "").split(), ""], learned, scoring.LEAST, scoring.GAIN, scoring.DISCOUNT)
+        assert r.score == pytest.approx(want, rel=1e-9)
+
+
+def test_what_is_stored_does_not_depend_on_the_size_of_the_corpus(spark):
+    passage = " ".join(f"rare{i}" for i in range(12))
+    docs = spark.createDataFrame([(1, passage), (2, f"once {passage}")], "doc_id bigint, text string")
+    # 11 million other words
+    many = spark.range(10, 120).select(F.col("id").alias("doc_id"), F.expr("repeat('w ', 100000)").alias("text"))
+    out = scoring.score(docs, scoring.train(docs.unionByName(many))).collect()
+    assert len(out) == 2
+    for r in out:
+        # a word of the passage is certain after the word before it, but for the discount
+        assert r.score > r.base_score + 11 * 5
