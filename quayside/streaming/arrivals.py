@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamReader, StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
-from quayside.session import checkpoint
+from quayside.session import scratch_path
 from quayside.sinks import storage
 from quayside.streaming.messages import (
     DEAD_LETTER,
@@ -101,6 +101,7 @@ class Arrivals:
     clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc)
     state: str = ""
     _lock: threading.Lock = field(default_factory=threading.Lock, repr=False)
+    _session: SparkSession | None = field(default=None, repr=False)
 
     def __post_init__(self) -> None:
         self.state = (self.state or f"{self.outcomes}_state").rstrip("/")
@@ -151,6 +152,7 @@ class Arrivals:
         return status["isDataAvailable"] or (status["isTriggerActive"] and not looking) or status["message"].startswith("Initializing")
 
     def _start(self, spark: SparkSession, messages: str, checkpoint_dir: str, files_per_batch: int, **trigger) -> StreamingQuery:
+        self._session = spark
         reader: DataStreamReader = spark.readStream.schema(MESSAGE_SCHEMA).option("maxFilesPerTrigger", files_per_batch)
         # time of arrival, so that no message is late; the column goes again behind the state store
         arrived = reader.json(messages).withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", REPEAT_WINDOW)
@@ -260,21 +262,30 @@ class Arrivals:
     # handling
 
     def _handle(self, batch: DataFrame, batch_id: int, settled: bool) -> None:
-        """``settled`` tells that all earlier batches are finished, so that what they have handled can leave the tables."""
-        spark, now = batch.sparkSession, _at(self.clock())
+        """``settled`` tells that all earlier batches are finished, so that what they have handled can leave the tables.
+
+        A micro-batch comes in a session of the stream, whose plans are not adaptive and have as many tasks as the state store has parts. So its rows are
+        written, and what follows runs in the session that started the stream.
+        """
+        spark, now = self._session or batch.sparkSession, _at(self.clock())
         names = T.StructType.fromDDL(MESSAGE_SCHEMA).names
         self._drop_attempt(spark, batch_id)
         if settled:
             self._drop_hours(spark, batch_id)
-        todo = batch.select(*names)
-        back = self._due(spark, batch_id)
-        if back is not None:
-            todo = todo.unionByName(back)
-        todo = checkpoint(todo.dropDuplicates(["message_id"]))
-        todo = todo.join(self.seen(spark, todo, batch_id), "message_id", "left_anti")
-        # handled several times below; the copy keeps all of them alike
-        handled = checkpoint(classify(todo, self.environments))
+        work = scratch_path(spark, "batch")
+        try:
+            todo = _written(spark, batch.select(*names), f"{work}/arrived")
+            back = self._due(spark, batch_id)
+            if back is not None:
+                todo = todo.unionByName(back)
+            todo = todo.dropDuplicates(["message_id"]).join(self.seen(spark, todo, batch_id), "message_id", "left_anti")
+            # handled several times below; the copy keeps all of them alike
+            self._settle(spark, _written(spark, classify(todo, self.environments), f"{work}/handled"), batch_id, now)
+        finally:
+            storage.remove(spark, work)
 
+    def _settle(self, spark: SparkSession, handled: DataFrame, batch_id: int, now: Column) -> None:
+        """Load what is to be loaded, and write down the outcomes."""
         result = self._ingest(handled)
         count = F.coalesce("delay_count", F.lit(0))
         wait = F.make_dt_interval(secs=F.col("delay_seconds").cast("decimal(18,6)"))
@@ -315,6 +326,12 @@ class Arrivals:
         )
 
 
+def _written(spark: SparkSession, rows: DataFrame, path: str) -> DataFrame:
+    """The rows, from a folder, in this session."""
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def _at(moment: datetime) -> Column:
     return F.lit(moment).cast("timestamp")
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import values
 from quayside.plans.load import LoadSpec
+from quayside.session import shared_dir
 from quayside.sinks import storage
 from quayside.sinks.targets import SnapshotFiles
 from quayside.sources.delimited import Delimited
@@ -338,3 +339,19 @@ def test_the_audit_of_a_few_loads_is_found_in_their_folders(spark, tmp_path):
     assert values(rows, "ingest_id", "status", "day") == [("id7", "STARTED", "2024-01-01"), ("id7", "SUCCESS", "2024-01-01")]
     assert audit.read_audit(spark, str(tmp_path / "audit")).count() == 301
     assert [tuple(r) for r in audit.load_states(spark, str(tmp_path / "audit"), asked).collect()] == [("id7", True)]
+
+
+def test_a_batch_is_handled_in_the_session_that_started_the_stream(spark, tmp_path):
+    """Plans of the stream's own session are not adaptive, and have a task for each part of the state store. A batch leaves no copies of its rows."""
+    seen = []
+
+    def ingest(messages):
+        seen.append((messages.sparkSession.conf.get("spark.sql.adaptive.enabled"), messages.count()))
+
+    rows = [(str(i), f'{{"topic": "/accounts/lakeprod", "subject": "/blobServices/default/containers/raw/blobs/in/{i}.csv", "eventType": "Microsoft.Storage.BlobCreated", "data": {{"api": "PutBlob"}}}}') for i in range(20)]
+    spark.createDataFrame(rows, "message_id string, body string").write.json(str(tmp_path / "messages"))
+    before = set(storage.child_names(spark, shared_dir(spark)))
+    arrivals = Arrivals(str(tmp_path / "outcomes"), [("prod", "lakeprod")], ingest)
+    arrivals.run(spark, str(tmp_path / "messages"), str(tmp_path / "checkpoint"), 100)
+    assert seen == [("true", 20)] and arrivals.history(spark).count() == 20
+    assert not [n for n in set(storage.child_names(spark, shared_dir(spark))) - before if "batch" in n]
