@@ -15,6 +15,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from quayside.llm import buckets, components, lines, neardup, packing, scoring, substrings
+from quayside.session import shared_dir
+from quayside.sinks import storage
 
 WORDS = [f"{a}{b}{c}" for a in "bcdfgl" for b in "aeiou" for c in ("n", "rt", "st", "mble")]
 
@@ -64,6 +66,16 @@ def test_every_member_meets_a_near_leader(spark):
     assert set(group.values()) == {0}
 
 
+def test_rounds_leave_only_their_pairs(spark):
+    """Tables that the next round has replaced are deleted."""
+    members = spark.createDataFrame([(b, k, 0) for b in range(3) for k in range(b, b + 6)], "bucket bigint, k1 bigint, k2 bigint")
+    before = set(storage.child_names(spark, shared_dir(spark)))
+    pairs = buckets.near_pairs(members, lambda found: found.where("abs(k1 - l1) <= 1"))
+    assert pairs.count()
+    left = [n.split("-")[1] for n in set(storage.child_names(spark, shared_dir(spark))) - before]
+    assert set(left) == {"near"}
+
+
 def test_the_origin_of_many_copies_leads_them(spark):
     """Copies are near their origin and not each other; each meets the origin in a bucket of its own, and the others in one."""
     rows = [(0, n, n) for n in range(1, 50)] + [(n, k, k) for n in range(1, 50) for k in (99, n)]
