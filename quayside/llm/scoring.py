@@ -173,11 +173,14 @@ def grow(docs: DataFrame, words: DataFrame, text: Column, learned: Column, depth
     known, bits, levels = words, bitmap(words, "key"), []
     n, total, parent, rest = F.col("n"), F.col("total"), F.col("parent"), F.col("rest")
     for level in range(1, depth + 1):
-        frequent = _keyed(_counts(rows, bits, level).where(n >= least))
+        # few of the runs that are counted are frequent: written, they leave the disk to the joins
+        counted = written(_counts(rows, bits, level).where(n >= least), "counted")
+        frequent = _keyed(counted)
         # the distribution of the shorter context, for the same last words; these joins also drop what is in the bitmap by chance
         tails = known.select(F.col("key").alias("tail"), F.col("ratio").alias("parent"), F.col("p").alias("below"))
         contexts = known.select(F.col("key").alias("context"), n.alias("total"))
         runs = written(frequent.join(tails, "tail").join(contexts, "context").select("context", "key", "n", "total", "parent", "below"), "runs")
+        discard(counted)
         sums = runs.groupBy("context").agg(
             F.max("total").alias("total"),
             F.count(F.lit(1)).alias("followers"),
@@ -363,7 +366,9 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         (F.sum("tree") + F.sum(F.coalesce(F.col("n") * F.col("word_value"), F.lit(0.0)))).alias("words"),
         same.alias("same"),
     )
-    sums = sums.join(_run_sums(rows, model), "k1", "left").withColumn("score", (F.col("words") + F.coalesce("runs", F.lit(0.0))) / F.col("same"))
+    # the sums are few rows; each is written before the next is made, as all runs of all texts are shuffled for them
+    run_sums, word_sums = written(_run_sums(rows, model), "run-sums"), written(sums, "word-sums")
+    sums = word_sums.join(run_sums, "k1", "left").withColumn("score", (F.col("words") + F.coalesce("runs", F.lit(0.0))) / F.col("same"))
     keyed = docs.select(*map(col, kept)).withColumn("body of a row", body)
     keyed = keyed.withColumns({"first key": F.xxhash64("body of a row", col(text).cast("string")), "second key": F.xxhash64(F.lit(1), "body of a row", col(text).cast("string"))})
     out = keyed.join(sums, [keyed["first key"] == sums["k1"], keyed["second key"] == sums["k2"]])

@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -76,6 +77,22 @@ def test_rounds_leave_only_their_pairs(spark):
     assert set(left) == {"near"}
 
 
+def shuffle_files(spark):
+    found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {f for f in (found.apply(i).getName() for i in range(found.size())) if f.startswith("shuffle")}
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    before = shuffle_files(spark)
+    table = buckets.written(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.count("*").alias("n")).repartition(3), "few")
+    for _ in range(50):
+        left = shuffle_files(spark) - before
+        if not left:
+            break
+        time.sleep(0.2)
+    assert not left and table.count() == 7
+
+
 def test_the_origin_of_many_copies_leads_them(spark):
     """Copies are near their origin and not each other; each meets the origin in a bucket of its own, and the others in one."""
     rows = [(0, n, n) for n in range(1, 50)] + [(n, k, k) for n in range(1, 50) for k in (99, n)]
