@@ -67,6 +67,18 @@ def test_every_member_meets_a_near_leader(spark):
     assert set(group.values()) == {0}
 
 
+def test_two_leaders_are_compared_once(spark):
+    members = spark.createDataFrame([(1, n, n * 7) for n in range(10)], "bucket bigint, k1 bigint, k2 bigint")
+    asked = []
+
+    def near(pairs):
+        asked.extend((r.k1, r.l1) for r in pairs.select("k1", "l1").collect())
+        return pairs
+
+    pairs = buckets.near_pairs(members, near, first=16)
+    assert len(asked) == len({frozenset(p) for p in asked}) and {n for p in asked for n in p} == set(range(10)) == {n for r in pairs.collect() for n in (r.k1, r.l1)}
+
+
 def test_rounds_leave_only_their_pairs(spark):
     """Tables that the next round has replaced are deleted."""
     members = spark.createDataFrame([(b, k, 0) for b in range(3) for k in range(b, b + 6)], "bucket bigint, k1 bigint, k2 bigint")
@@ -206,6 +218,20 @@ def test_one_word_of_ten_makes_no_other_line(spark):
     assert all(got[2 * n] == rows[2 * n][1] for n in range(60)) and sum(got[2 * n + 1] == "" for n in range(60)) >= 59
 
 
+def test_only_members_of_shared_buckets_are_written(spark):
+    """Tables of buckets are made a few at a time, and leave the members that meet another."""
+    rows = [("one short line", 1), ("one short lines", 2), ("quite another text", 3)]
+    texts_of = spark.createDataFrame(rows, "line string, k1 bigint")
+    nodes = spark.createDataFrame([(1, 1 << 10), (2, 1 << 50), (3, -1 >> 1 & (1 << 62) - 1)], "k1 bigint, k2 bigint")
+    parts = lines._members(texts_of, nodes, 0.8, 2, 4)
+    assert len(parts) == 1 + 2 * lines.TABLES // lines.AT_ONCE
+    for part in parts:
+        met = Counter(r.bucket for r in part.collect())
+        assert all(n > 1 for n in met.values()) and {1, 2} >= {r.k1 for r in part.select("k1").collect()} - {3}
+    found = lines._links(texts_of, nodes, 0.8, 2, 4)
+    assert {frozenset((r.k1, r.l1)) for r in found.collect()} == {frozenset((1, 2))}
+
+
 def test_line_rows_in_all_cases(spark):
     rows = [(1, "a b\nc"), (1, "a b\nc"), (None, "a b\nd"), (2, None), (3, "a b\nd\n-")]
     docs = documents(spark, rows).drop("n_chars")
