@@ -232,6 +232,44 @@ def test_only_members_of_shared_buckets_are_written(spark):
     assert {frozenset((r.k1, r.l1)) for r in found.collect()} == {frozenset((1, 2))}
 
 
+@pytest.mark.parametrize("size", [35, 90])
+def test_lines_with_changed_letters_go(spark, size):
+    """One letter of ten is another one, anywhere in lines of some 150 and 400 letters."""
+    rng, rows = random.Random(size), []
+    for n in range(50):
+        line = " ".join(prose(3000 + n, size))
+        changed = list(line)
+        for at in rng.sample(range(len(line)), len(line) // 10):
+            changed[at] = rng.choice("jqxz")
+        rows += [(2 * n, line), (2 * n + 1, "".join(changed))]
+    got = {r.doc_id: r.text for r in lines.dedup_lines(documents(spark, rows)).collect()}
+    assert all(got[2 * n] == rows[2 * n][1] for n in range(50)) and sum(got[2 * n + 1] == "" for n in range(50)) >= 40
+
+
+def test_kept_runs_depend_on_letters_alone(spark):
+    """A long line's buckets stay when letters are put before it; a short line has one for each run, and a bucket needs two lines."""
+    base = " ".join(prose(1, 400))
+    rows = [(1, base), (2, "x" * 30 + base), (3, "seventeen letters"), (4, "few"), (5, "ab" * 200)]
+    runs = lines._kept_runs(spark.createDataFrame(rows, "k1 bigint, line string"), lines.RUN)
+    found = {k: Counter(r.bucket for r in runs.where(F.col("k1") == k).collect()) for k, _ in rows}
+    assert 10 < len(found[1]) < 45 and len(set(found[1]) & set(found[2])) >= len(found[1]) - 4
+    assert len(found[3]) == 2 and len(found[4]) == 1 and len(found[5]) <= 2
+    nodes = spark.createDataFrame([(k, 0) for k, _ in rows], "k1 bigint, k2 bigint")
+    shared = lines._shared_runs(runs, nodes).collect()
+    assert {r.k1 for r in shared} == {1, 2} and len(shared) == len(set(shared)) == 2 * len(set(found[1]) & set(found[2]))
+
+
+def test_a_quotation_in_long_lines_is_not_compared_and_copies_are(spark):
+    """Lines of one SimHash bucket by chance are no reason to compare long texts; words that change places are."""
+    base = prose(1, 90)
+    texts_of = [" ".join(base), " ".join([base[1], base[0], *base[2:]]), " ".join(prose(2, 90))]
+    assert all(len(t) > lines.LONG for t in texts_of)
+    found = spark.createDataFrame(list(enumerate(texts_of)), "k1 bigint, line string")
+    # the first and the last share the first two blocks of bits and differ in the others
+    nodes = spark.createDataFrame([(0, 5), (1, 5), (2, 5 ^ ((1 << 63) - (1 << 31)))], "k1 bigint, k2 bigint")
+    assert {frozenset((r.k1, r.l1)) for r in lines._links(found, nodes, 0.0, 2, 4).collect()} == {frozenset((0, 1))}
+
+
 def test_line_rows_in_all_cases(spark):
     rows = [(1, "a b\nc"), (1, "a b\nc"), (None, "a b\nd"), (2, None), (3, "a b\nd\n-")]
     docs = documents(spark, rows).drop("n_chars")
